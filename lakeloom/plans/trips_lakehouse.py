@@ -11,7 +11,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lakeloom.functions import derive
 from lakeloom.functions.cleaning import (
@@ -69,7 +68,7 @@ LONGEST_DURATION = 24 * 3600
 
 # ---- Schemas ----------------------------------------------------------------
 
-TRIPS = T.StructType.fromDDL(
+TRIPS = (
     "id_recorrido bigint, id_usuario bigint, duracion_seg int, fecha_origen timestamp_ntz, fecha_destino timestamp_ntz, "
     "id_estacion_origen smallint, nombre_estacion_origen string, direccion_estacion_origen string, "
     "lat_estacion_origen double, long_estacion_origen double, "
@@ -77,6 +76,10 @@ TRIPS = T.StructType.fromDDL(
     "lat_estacion_destino double, long_estacion_destino double, "
     "modelo_bicicleta string, genero_usuario string, anio_archivo smallint"
 )
+USERS = (
+    "id_usuario bigint, genero_usuario string, edad_usuario int, fecha_alta date, hora_alta {time}, "
+    "tiene_dni boolean, anio_archivo smallint"
+)
 GOLD = {
     "dim_estacion": "id smallint, nombre string",
     "dim_fecha": "id int, dia int, mes int, semana int, anio int, fecha_completa date",
@@ -85,7 +88,7 @@ GOLD = {
     "fct_viajes": "id bigint, id_fecha int, id_demografia bigint, id_recorrido bigint, cantidad bigint, minutos int",
     "fact_actividad": "id bigint, id_fecha int, id_demografia bigint, id_estacion smallint, cantidad bigint",
 }
-FEATURES = T.StructType.fromDDL(
+FEATURES = (
     "id_recorrido bigint, duracion_seg int, distancia_km double, hora_origen bigint, dia_semana bigint, "
     "es_fin_de_semana int, mes bigint, modelo_bicicleta string"
 )
@@ -96,22 +99,8 @@ def native_time(spark: SparkSession) -> bool:
     return spark.conf.get("spark.sql.timeType.enabled", "false") == "true"
 
 
-def users_schema(spark: SparkSession) -> T.StructType:
-    hour = T.TimeType() if native_time(spark) else T.StringType()
-    return (
-        T.StructType()
-        .add("id_usuario", "bigint")
-        .add("genero_usuario", "string")
-        .add("edad_usuario", "int")
-        .add("fecha_alta", "date")
-        .add("hora_alta", hour)
-        .add("tiene_dni", "boolean")
-        .add("anio_archivo", "smallint")
-    )
-
-
-def gold_schema(table: str) -> T.StructType:
-    return T.StructType.fromDDL(GOLD[table])
+def users_schema(spark: SparkSession) -> str:
+    return USERS.format(time="time" if native_time(spark) else "string")
 
 
 # ---- Vintages ---------------------------------------------------------------
@@ -365,7 +354,7 @@ class Build:
     def table(self, name: str) -> DataFrame:
         """A stored table of any layer but raw, with its declared schema."""
         if name in GOLD:
-            return self.lake.read(self.spark, GOLD_BI, name, gold_schema(name))
+            return self.lake.read(self.spark, GOLD_BI, name, GOLD[name])
         if name == "ml_duracion_recorridos":
             return self.lake.read(self.spark, GOLD_ML, name, FEATURES)
         schema = TRIPS if name.startswith("stg_recorridos") else users_schema(self.spark)
@@ -410,7 +399,7 @@ class Build:
         self.lake.write(features, GOLD_ML, "ml_duracion_recorridos", FEATURES)
 
     def _write_gold(self, name: str, df: DataFrame) -> None:
-        self.lake.write(df, GOLD_BI, name, gold_schema(name))
+        self.lake.write(df, GOLD_BI, name, GOLD[name])
 
     def checks(self, tables: tuple[str, ...] | None = None, skip: tuple[type, ...] = ()) -> DataFrame:
         """Results of the declared checks of the stored tables."""

@@ -55,7 +55,7 @@ class Lake:
         df: DataFrame,
         layer: str | None,
         table: str,
-        schema: T.StructType | None = None,
+        schema: T.StructType | str | None = None,
         partition_by: Sequence[str] = (),
     ) -> str:
         """Replace a table.  ``schema`` has to equal the frame's names and types.
@@ -79,18 +79,23 @@ class Lake:
         spark: SparkSession,
         layer: str | None,
         table: str,
-        schema: T.StructType | None = None,
+        schema: T.StructType | str | None = None,
         partitioned: bool = False,
     ) -> DataFrame:
         """Read a table; ``schema`` also fixes the types of partition columns."""
         reader = spark.read if schema is None else spark.read.schema(schema)
         df = reader.parquet(self.table_path(layer, table, partitioned))
         # Partition columns come last from storage; keep the declared order.
-        return df if schema is None else df.select(*[f"`{name}`" for name in schema.names])
+        return df if schema is None else df.select(*[f"`{name}`" for name in _struct(schema).names])
 
 
-def require_schema(df: DataFrame, schema: T.StructType) -> None:
+def _struct(schema: T.StructType | str) -> T.StructType:
+    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+
+def require_schema(df: DataFrame, schema: T.StructType | str) -> None:
     """Fail unless names, order and types agree; nullability is not compared."""
+    schema = _struct(schema)
     actual = [(f.name, f.dataType.simpleString()) for f in df.schema]
     wanted = [(f.name, f.dataType.simpleString()) for f in schema]
     if actual != wanted:
