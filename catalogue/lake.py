@@ -281,18 +281,32 @@ def lake_dim_recorrido(spark: SparkSession, sf_dir: str) -> DataFrame:
     return built(spark, sf_dir).table("dim_recorrido")
 
 
-@query(sql("""
-select row_number() over (order by id_fecha, id_demografia, id_recorrido) as id, * from lake_fct""", *LAKE))
+@query(sql("select * from lake_fct", *LAKE))
 def lake_fct_viajes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The route fact."""
-    return built(spark, sf_dir).table("fct_viajes")
+    """The route fact; its own key is checked by ``lake_fact_keys``."""
+    return built(spark, sf_dir).table("fct_viajes").drop("id")
 
 
-@query(sql("""
-select row_number() over (order by id_fecha, id_demografia, id_estacion) as id, * from lake_act""", *LAKE))
+@query(sql("select * from lake_act", *LAKE))
 def lake_fact_actividad(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The node fact."""
-    return built(spark, sf_dir).table("fact_actividad")
+    """The node fact; its own key is checked by ``lake_fact_keys``."""
+    return built(spark, sf_dir).table("fact_actividad").drop("id")
+
+
+@query(sql("""
+select 'fct_viajes' as fact, cast(1 as bigint) as first_id, count(*) as last_id, count(*) as n_ids from lake_fct
+union all select 'fact_actividad', 1, count(*), count(*) from lake_act""", *LAKE))
+def lake_fact_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The facts' own keys run 1..n, each once."""
+    build = built(spark, sf_dir)
+
+    def summary(fact: str) -> DataFrame:
+        ids = build.table(fact).groupBy("id").agg(F.count("*").alias("rows")).where(F.col("rows") == 1)
+        return ids.agg(F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.count("*").alias("n_ids")).select(
+            F.lit(fact).alias("fact"), "*"
+        )
+
+    return summary("fct_viajes").unionByName(summary("fact_actividad"))
 
 
 @query(sql("""

@@ -150,6 +150,18 @@ def fact_key_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keys.dense_key(distinct, [F.col("l_shipdate").asc_nulls_last(), *grain[1:]])
 
 
+@query("select count(*) as n_rows, cast(1 as bigint) as first_id, count(*) as last_id, count(*) as n_ids from lineitem")
+def fact_key_as_it_lies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense keys in no order, without moving a row: 1..n, each once."""
+    per_id = keys.dense_key(table(spark, sf_dir, "lineitem")).groupBy("id").agg(F.count("*").alias("rows"))
+    return per_id.agg(
+        F.sum("rows").alias("n_rows"),
+        F.min("id").alias("first_id"),
+        F.max("id").alias("last_id"),
+        F.count("*").alias("n_ids"),
+    )
+
+
 @query("select count(*) as n_rows, count(*) as n_ids, cast(0 as bigint) as n_null from lineitem")
 def fact_key_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unique keys without moving a row: as many ids as rows, none NULL."""
@@ -208,6 +220,7 @@ def node_fact(spark: SparkSession, sf_dir: str, id_name: str | None = None) -> D
         "n_trips",
         id_name=id_name,
         complete=True,
+        numbering="ordered",
     )
 
 

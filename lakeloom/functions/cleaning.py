@@ -27,6 +27,12 @@ def _try(column: Column, to: str) -> Column:
     return F.coalesce(direct, F.round(column.try_cast("decimal(38,10)"), 0).try_cast(to))
 
 
+def _refuse(column: Column, kind: str, to: str | None = None) -> Column:
+    """Fail on a value that is there but did not parse; reached only then."""
+    message = F.concat(F.lit(f"cannot read as {kind}: '"), column, F.lit("'"))
+    return F.when(column.isNotNull(), F.raise_error(message).cast(to or kind))
+
+
 def tolerant(to: str) -> Step:
     """Cast; a value that does not parse or does not fit becomes NULL."""
     return lambda column: _try(column, to)
@@ -36,9 +42,7 @@ def strict(to: str) -> Step:
     """Cast; a value that does not parse or does not fit fails the job."""
 
     def step(column: Column) -> Column:
-        value = _try(column, to)
-        message = F.concat(F.lit(f"cannot read as {to}: '"), column, F.lit("'"))
-        return F.when(column.isNotNull() & value.isNull(), F.raise_error(message).cast(to)).otherwise(value)
+        return F.coalesce(_try(column, to), _refuse(column, to))
 
     return step
 
@@ -81,10 +85,7 @@ def time_of_day(native: bool) -> Step:
 
     def step(column: Column) -> Column:
         stamp = F.concat(F.lit("1970-01-01 "), column).try_cast("timestamp_ntz")
-        message = F.concat(F.lit("cannot read as time: '"), column, F.lit("'"))
-        return F.when(column.isNotNull() & stamp.isNull(), F.raise_error(message).cast("string")).otherwise(
-            F.date_format(stamp, "HH:mm:ss")
-        )
+        return F.coalesce(F.date_format(stamp, "HH:mm:ss"), _refuse(column, "time", "string"))
 
     return step
 

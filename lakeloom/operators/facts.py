@@ -69,8 +69,8 @@ def build_fact(
     minutes_name: str | None = None,
     rounding: str = "half_even",
     id_name: str | None = "id",
-    dense: bool = True,
     complete: bool = False,
+    numbering: str = "dense",
 ) -> DataFrame:
     """Finish an aggregated fact: surrogate foreign keys, measures, own key.
 
@@ -78,8 +78,10 @@ def build_fact(
     aggregated rows instead of trips.  Rows that end up with the same foreign
     keys are merged, unless ``complete`` promises dimensions that map the
     natural keys one to one, as dimensions derived from the same rows do.
-    ``dense`` keys run 1..n in the order of ``keys``; otherwise they are only
-    unique and cost no extra pass.  ``id_name=None`` leaves the own key out.
+    ``numbering`` is "dense" for keys 1..n in no order, "ordered" for keys 1..n
+    in the order of ``keys``, at the price of a range shuffle, or "unique" for
+    keys with gaps, which cost no extra pass.  ``id_name=None`` leaves the own
+    key out.
     """
     fact = totals
     for lookup in lookups:
@@ -93,6 +95,9 @@ def build_fact(
     fact = fact.select(*keys, *measures)
     if id_name is None:
         return fact
-    if not dense:
+    if numbering == "unique":
         return unique_key(fact, id_name)
-    return dense_key(fact, [F.col(k).asc_nulls_last() for k in keys], id_name)
+    if numbering not in ("dense", "ordered"):
+        raise ValueError(f"unknown numbering {numbering!r}")
+    order = [F.col(k).asc_nulls_last() for k in keys] if numbering == "ordered" else ()
+    return dense_key(fact, order, id_name)

@@ -15,19 +15,20 @@ from lakeloom.session import materialize
 _POSITION_BITS = 33
 
 
-def dense_key(df: DataFrame, order: Sequence[Column | str], name: str = "id") -> DataFrame:
-    """Number rows 1..n in the given order; the key comes first in the result.
-
-    The frame is range-partitioned and sorted by ``order`` and written once
-    with each row's partition and position.  The row counts per partition, one
-    small row each, give every partition the offset it adds to its positions.
-    ``order`` should identify a row, as a table's grain does: then no range can
-    be hot, and the numbering is the same on every run.
+def dense_key(df: DataFrame, order: Sequence[Column | str] = (), name: str = "id") -> DataFrame:
+    """Number rows 1..n; the key comes first in the result.
+
+    The frame is written once with each row's partition and position.  The row
+    counts per partition, one small row each, give every partition the offset
+    it adds to its positions.  Without ``order`` rows are numbered as they lie
+    and none is moved.  With it the frame is range-partitioned and sorted
+    first; ``order`` should then identify a row, as a table's grain does: no
+    range can be hot, and the numbering is the same on every run.
     """
-    spot = (
-        df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__spot", F.monotonically_increasing_id())
-    )
-    placed = materialize(spot, "ranged")
+    if order:
+        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    spot = df.withColumn("__spot", F.monotonically_increasing_id())
+    placed = materialize(spot, "numbered")
     part = F.shiftright("__spot", _POSITION_BITS)
     position = F.col("__spot").bitwiseAND((1 << _POSITION_BITS) - 1)
     counts = sorted(placed.groupBy(part.alias("part")).count().collect())

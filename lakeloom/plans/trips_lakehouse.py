@@ -219,7 +219,7 @@ def _segment_lookup(segment_dim_table: DataFrame) -> Lookup:
     return Lookup(segment_dim_table, ("genero", "rango_etario"), "id_demografia", null_safe=("genero",))
 
 
-def fct_viajes(totals: DataFrame, demografia: DataFrame, recorrido: DataFrame, dense: bool = True) -> DataFrame:
+def fct_viajes(totals: DataFrame, demografia: DataFrame, recorrido: DataFrame, numbering: str = "dense") -> DataFrame:
     routes = Lookup(recorrido, ("id_estacion_origen", "id_estacion_destino"), "id_recorrido")
     return build_fact(
         totals.where(F.col("id_estacion_destino").isNotNull()),
@@ -227,20 +227,20 @@ def fct_viajes(totals: DataFrame, demografia: DataFrame, recorrido: DataFrame, d
         ["id_fecha", "id_demografia", "id_recorrido"],
         "cantidad",
         "minutos",
-        dense=dense,
         complete=True,
+        numbering=numbering,
     )
 
 
-def fact_actividad(totals: DataFrame, demografia: DataFrame, dense: bool = True) -> DataFrame:
+def fact_actividad(totals: DataFrame, demografia: DataFrame, numbering: str = "dense") -> DataFrame:
     per_node = coarsen(totals, ["id_fecha", "genero", "rango_etario", "id_estacion_origen"])
     return build_fact(
         per_node.withColumnRenamed("id_estacion_origen", "id_estacion"),
         [_segment_lookup(demografia)],
         ["id_fecha", "id_demografia", "id_estacion"],
         "cantidad",
-        dense=dense,
         complete=True,
+        numbering=numbering,
     )
 
 
@@ -346,10 +346,14 @@ CHECKS = {
 class Build:
     """Builds the lake layer by layer, each table read back from its Parquet files."""
 
-    def __init__(self, spark: SparkSession, lake: Lake, dense: bool = True):
+    def __init__(
+        self, spark: SparkSession, lake: Lake, numbering: str = "dense", partition_years: bool = False
+    ):
+        """``partition_years`` stores the silver unions as one partition per file year."""
         self.spark = spark
         self.lake = lake
-        self.dense = dense
+        self.numbering = numbering
+        self.partition_by = ("anio_archivo",) if partition_years else ()
 
     def table(self, name: str) -> DataFrame:
         """A stored table of any layer but raw, with its declared schema."""
@@ -358,7 +362,8 @@ class Build:
         if name == "ml_duracion_recorridos":
             return self.lake.read(self.spark, GOLD_ML, name, FEATURES)
         schema = TRIPS if name.startswith("stg_recorridos") else users_schema(self.spark)
-        return self.lake.read(self.spark, SILVER, name, schema)
+        union = name in ("stg_recorridos", "stg_usuarios")
+        return self.lake.read(self.spark, SILVER, name, schema, partitioned=union and bool(self.partition_by))
 
     def raw(self, multiline: bool | None = None) -> None:
         for table, source in SOURCES.items():
@@ -377,9 +382,9 @@ class Build:
         trips = drop_copies(
             union_vintages([self.table(f"stg_recorridos_{y}") for y in YEARS]), key="id_recorrido"
         )
-        lake.write(trips, SILVER, "stg_recorridos", TRIPS)
+        lake.write(trips, SILVER, "stg_recorridos", TRIPS, self.partition_by)
         users = union_vintages([self.table(f"stg_usuarios_{y}") for y in YEARS])
-        lake.write(users, SILVER, "stg_usuarios", users_as)
+        lake.write(users, SILVER, "stg_usuarios", users_as, self.partition_by)
 
     def gold_bi(self) -> None:
         """Dimensions first; the facts look their keys up in the stored dimensions."""
@@ -391,8 +396,8 @@ class Build:
         self._write_gold("dim_recorrido", dim_recorrido(pairs))
         totals = materialize(trip_activity(trips, users), "activity")
         segments = self.table("dim_demografia")
-        self._write_gold("fct_viajes", fct_viajes(totals, segments, self.table("dim_recorrido"), self.dense))
-        self._write_gold("fact_actividad", fact_actividad(totals, segments, self.dense))
+        self._write_gold("fct_viajes", fct_viajes(totals, segments, self.table("dim_recorrido"), self.numbering))
+        self._write_gold("fact_actividad", fact_actividad(totals, segments, self.numbering))
 
     def gold_ml(self) -> None:
         features = ml_duracion_recorridos(self.table("stg_recorridos"))

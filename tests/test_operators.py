@@ -138,6 +138,13 @@ def test_dense_key_small_nulls_last_and_empty(spark, rows):
     assert keys.dense_key(df.limit(0), ["g"]).count() == 0
 
 
+def test_dense_key_without_order_moves_nothing(spark):
+    df = spark.range(0, 50_000, 1, 7).withColumnRenamed("id", "v").where("v % 5 <> 0")
+    numbered = keys.dense_key(df)
+    ids = sorted(r.id for r in numbered.collect())
+    assert ids == list(range(1, 40_001))
+
+
 def test_unique_key(spark):
     got = keys.unique_key(spark.range(1000).repartition(5).withColumnRenamed("id", "v"))
     assert got.columns == ["id", "v"] and got.select("id").distinct().count() == 1000
@@ -227,7 +234,7 @@ def test_facts(trips, users, rows):
     look = facts.Lookup(segments, ("gender", "band"), "seg", null_safe=("gender",))
     routes = facts.Lookup(pairs, ("o", "d"), "route")
     keyed = ["day", "seg", "route"]
-    by_route = facts.build_fact(sums.where("d is not null"), [look, routes], keyed, "n", "minutes", complete=True)
+    by_route = facts.build_fact(sums.where("d is not null"), [look, routes], keyed, "n", "minutes", complete=True, numbering="ordered")
     # (90 + 150) / 2 = 2 minutes; the user without a registry row and the trip
     # without a user land in the unknown segment 4.
     assert rows(by_route) == [
@@ -236,7 +243,11 @@ def test_facts(trips, users, rows):
     per_node = facts.coarsen(sums, ["day", "gender", "band", "o"]).withColumnRenamed("o", "node")
     by_node = facts.build_fact(per_node, [look], ["day", "seg", "node"], "n", id_name=None)
     assert rows(by_node) == [(20220101, 1, 1, 2), (20220101, 3, 2, 1), (20220101, 4, 1, 2), (20220102, 4, 2, 1)]
-    gapped = facts.build_fact(per_node, [look], ["day", "seg", "node"], "n", dense=False)
+    gapped = facts.build_fact(per_node, [look], ["day", "seg", "node"], "n", numbering="unique")
+    dense = facts.build_fact(per_node, [look], ["day", "seg", "node"], "n")
+    assert [r[0] for r in rows(dense)] == [1, 2, 3, 4] and rows(dense.drop("id")) == rows(by_node)
+    with pytest.raises(ValueError):
+        facts.build_fact(per_node, [look], ["day", "seg", "node"], "n", numbering="random")
     assert gapped.columns == ["id", "day", "seg", "node", "n"] and gapped.select("id").distinct().count() == 4
     # Node totals exceed route totals by the closed trips without a destination.
     total = by_node.agg(F.sum("n")).first()[0]
