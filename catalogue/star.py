@@ -72,11 +72,15 @@ select s.id as segment_id, c.gender, c.band, count(*) as n_trips from closed c
 join segments s on s.gender is not distinct from c.gender and s.band = c.band
 group by all""", *STAR))
 def segment_key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Natural keys replaced by the segment's key, NULL genders matched too."""
-    per_segment = closed_activity(spark, sf_dir).groupBy("gender", "band").agg(F.sum("n_trips").alias("n_trips"))
-    doubled = per_segment.withColumns({"g": F.col("gender"), "b": F.col("band")})
+    """Natural keys of an aggregated table replaced by the segment's key, NULL genders matched too."""
+    attributes = {"gender": F.col("gender"), "band": age_band()}
+    enriched = facts.enrich(
+        closed_trips(spark, sf_dir), users(spark, sf_dir), "user_id", attributes, {"band": UNKNOWN}
+    )
+    per_segment = facts.activity(enriched, ["gender", "band"], "duration_s")
+    kept = per_segment.select("*", F.col("gender").alias("g"), F.col("band").alias("b"))
     found = joins.lookup_key(
-        doubled, segment_dimension(spark, sf_dir), ["gender", "band"], "id", "segment_id", null_safe=["gender"]
+        kept, segment_dimension(spark, sf_dir), ["gender", "band"], "id", "segment_id", null_safe=["gender"]
     )
     return found.select("segment_id", F.col("g").alias("gender"), F.col("b").alias("band"), "n_trips")
 
@@ -180,29 +184,27 @@ def fact_key_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- facts ------------------------------------------------------------------
 
-GRAIN = ("day_id", "gender", "band", "origin_id", "dest_id")
-
 
-def closed_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    closed = (
-        trips(spark, sf_dir)
-        .where((F.col("duration_s") > 0) & F.col("origin_id").isNotNull())
-        .withColumn("day_id", derive.date_key(F.col("started_at")))
-    )
-    attributes = {"gender": F.col("gender"), "band": age_band()}
-    enriched = facts.enrich(closed, users(spark, sf_dir), "user_id", attributes, {"band": UNKNOWN})
-    return facts.activity(enriched, GRAIN, "duration_s")
+def closed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    closed = trips(spark, sf_dir).where((F.col("duration_s") > 0) & F.col("origin_id").isNotNull())
+    return closed.withColumn("day_id", derive.date_key(F.col("started_at")))
 
 
-def segment_lookup(spark: SparkSession, sf_dir: str) -> facts.Lookup:
-    return facts.Lookup(segment_dimension(spark, sf_dir), ("gender", "band"), "segment_id", null_safe=("gender",))
+def closed_activity(spark: SparkSession, sf_dir: str, grain: list[str]) -> DataFrame:
+    """Closed trips summed per grain, with the segment's key looked up per user."""
+    segments = facts.Lookup(segment_dimension(spark, sf_dir), ("gender", "band"), "segment_id", null_safe=("gender",))
+    attributes = {"gender": F.col("gender"), "band": age_band()}
+    keyed = facts.enrich_with_key(
+        closed_trips(spark, sf_dir), users(spark, sf_dir), "user_id", attributes, segments, {"band": UNKNOWN}
+    )
+    return facts.activity(keyed, grain, "duration_s")
 
 
 def route_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    routes = facts.Lookup(route_dimension(spark, sf_dir), ("origin_id", "dest_id"), "route_id")
+    totals = closed_activity(spark, sf_dir, ["day_id", "segment_id", "origin_id", "dest_id"])
     return facts.build_fact(
-        closed_activity(spark, sf_dir).where(F.col("dest_id").isNotNull()),
-        [segment_lookup(spark, sf_dir), routes],
+        totals.where(F.col("dest_id").isNotNull()),
+        [facts.Lookup(route_dimension(spark, sf_dir), ("origin_id", "dest_id"), "route_id")],
         ["day_id", "segment_id", "route_id"],
         "n_trips",
         "minutes",
@@ -212,16 +214,12 @@ def route_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def node_fact(spark: SparkSession, sf_dir: str, id_name: str | None = None) -> DataFrame:
-    per_node = facts.coarsen(closed_activity(spark, sf_dir), ["day_id", "gender", "band", "origin_id"])
+    totals = closed_activity(spark, sf_dir, ["day_id", "segment_id", "origin_id"])
+    keys_of_fact = ["day_id", "segment_id", "node_id"]
     return facts.build_fact(
-        per_node.withColumnRenamed("origin_id", "node_id"),
-        [segment_lookup(spark, sf_dir)],
-        ["day_id", "segment_id", "node_id"],
-        "n_trips",
-        id_name=id_name,
-        complete=True,
+        totals.withColumnRenamed("origin_id", "node_id"), [], keys_of_fact, "n_trips", id_name=id_name,
         numbering="ordered",
-    )
+    )
 
 
 @query(sql("select * from fact_route", *STAR, SQL_FACT_ROUTE))

@@ -17,7 +17,10 @@ def pair_names(df: DataFrame, a: str, b: str, name_a: str, name_b: str) -> DataF
     One pass over the trips from which both the node and the pair dimension
     follow: the greatest name per id is the greatest of the greatest per pair.
     """
-    return df.groupBy(a, b).agg(F.max(name_a).alias(name_a), F.max(name_b).alias(name_b))
+    # max() of a text sorts its input; the distinct hashes it and, combined on
+    # the map side, leaves only the few names there are to be sorted.
+    seen = df.select(a, b, name_a, name_b).distinct()
+    return seen.groupBy(a, b).agg(F.max(name_a).alias(name_a), F.max(name_b).alias(name_b))
 
 
 def node_dim(
@@ -28,7 +31,7 @@ def node_dim(
     All roles come from one scan; ids that are NULL are left out.
     """
     members = F.array(*[F.struct(F.col(i).alias("id"), F.col(n).alias("name")) for i, n in roles])
-    nodes = df.select(F.inline(members)).where(F.col("id").isNotNull())
+    nodes = df.select(F.inline(members)).where(F.col("id").isNotNull()).distinct()
     return nodes.groupBy(F.col("id").alias(id_name)).agg(F.max("name").alias(label_name))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,17 @@ from lakeloom.operators.joins import left_lookup, lookup_key
 from lakeloom.operators.keys import dense_key, unique_key
 
 
+@dataclass(frozen=True)
+class Lookup:
+    """Natural key columns of a fact that a dimension's key replaces."""
+
+    dimension: DataFrame
+    on: tuple[str, ...]
+    alias: str
+    null_safe: tuple[str, ...] = ()
+    key: str = "id"
+
+
 def enrich(
     trips: DataFrame,
     registry: DataFrame,
@@ -34,6 +46,28 @@ def enrich(
     return joined.withColumns(filled) if filled else joined
 
 
+def enrich_with_key(
+    trips: DataFrame,
+    registry: DataFrame,
+    key: str,
+    attributes: Mapping[str, Column],
+    lookup: Lookup,
+    unknown: Mapping[str, object],
+) -> DataFrame:
+    """Give every trip the key of its registry row's dimension member.
+
+    The natural key is looked up once per registry row, so trips carry and
+    group by one number.  Unregistered trips get the key of the ``unknown``
+    member, NULL in the columns not listed.
+    """
+    side = registry.select(key, *[column.alias(name) for name, column in attributes.items()])
+    keyed = lookup_key(side, lookup.dimension, lookup.on, lookup.key, lookup.alias, lookup.null_safe)
+    is_unknown = reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(unknown.get(c))) for c in lookup.on])
+    member = lookup.dimension.where(is_unknown).select(lookup.key).first()
+    default = None if member is None else member[0]
+    return enrich(trips, keyed, key, {lookup.alias: F.col(lookup.alias)}, {lookup.alias: default})
+
+
 def activity(enriched: DataFrame, grain: Sequence[str], duration: str) -> DataFrame:
     """Counts and duration totals per grain: additive, so coarser facts can be summed from it."""
     return enriched.groupBy(*grain).agg(
@@ -50,17 +84,6 @@ def coarsen(totals: DataFrame, grain: Sequence[str]) -> DataFrame:
     )
 
 
-@dataclass(frozen=True)
-class Lookup:
-    """Natural key columns of a fact that a dimension's key replaces."""
-
-    dimension: DataFrame
-    on: tuple[str, ...]
-    alias: str
-    null_safe: tuple[str, ...] = ()
-    key: str = "id"
-
-
 def build_fact(
     totals: DataFrame,
     lookups: Sequence[Lookup],

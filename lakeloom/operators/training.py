@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,9 +52,10 @@ def feature_table(trips: DataFrame, cols: TripColumns, names: FeatureNames = Fea
     ends = [cols.start_lat, cols.start_lon, cols.end_lat, cols.end_lon]
     start = F.col(cols.start)
     weekday = derive.iso_weekday(start)
+    # One condition per column, which the Parquet scan can use; dropna() it could not.
+    known = reduce(Column.__and__, [F.col(c).isNotNull() for c in ends])
     return (
-        trips.where(plausible(F.col(cols.duration)))
-        .dropna(subset=ends)
+        trips.where(plausible(F.col(cols.duration)) & known)
         .select(
             cols.id,
             cols.duration,

@@ -23,7 +23,7 @@ from lakeloom.functions.cleaning import (
     tolerant,
 )
 from lakeloom.operators.dims import calendar_dim, node_dim, pair_dim, pair_names, segment_dim
-from lakeloom.operators.facts import Lookup, activity, build_fact, coarsen, enrich
+from lakeloom.operators.facts import Lookup, activity, build_fact, coarsen, enrich_with_key
 from lakeloom.operators.harmonize import Field, drop_copies, harmonize, literal, take, union_vintages
 from lakeloom.operators.quality import (
     Accepted,
@@ -195,10 +195,7 @@ def dim_recorrido(pairs: DataFrame) -> DataFrame:
     )
 
 
-ACTIVITY_GRAIN = ("id_fecha", "genero", "rango_etario", "id_estacion_origen", "id_estacion_destino")
-
-
-def trip_activity(trips: DataFrame, users: DataFrame) -> DataFrame:
+def trip_activity(trips: DataFrame, users: DataFrame, demografia: DataFrame) -> DataFrame:
     """Closed trips from a known station per day, segment and station pair: both facts sum from it.
 
     The destination may be NULL here; the users are joined once for both facts.
@@ -210,20 +207,18 @@ def trip_activity(trips: DataFrame, users: DataFrame) -> DataFrame:
         "id_estacion_destino",
         "duracion_seg",
     )
+    segments = Lookup(demografia, ("genero", "rango_etario"), "id_demografia", null_safe=("genero",))
     attributes = {"genero": F.col("genero_usuario"), "rango_etario": age_band()}
-    enriched = enrich(closed, users, "id_usuario", attributes, {"rango_etario": UNKNOWN_BAND})
-    return activity(enriched, ACTIVITY_GRAIN, "duracion_seg")
-
-
-def _segment_lookup(segment_dim_table: DataFrame) -> Lookup:
-    return Lookup(segment_dim_table, ("genero", "rango_etario"), "id_demografia", null_safe=("genero",))
+    keyed = enrich_with_key(closed, users, "id_usuario", attributes, segments, {"rango_etario": UNKNOWN_BAND})
+    return activity(
+        keyed, ["id_fecha", "id_demografia", "id_estacion_origen", "id_estacion_destino"], "duracion_seg"
+    )
 
 
-def fct_viajes(totals: DataFrame, demografia: DataFrame, recorrido: DataFrame, numbering: str = "dense") -> DataFrame:
-    routes = Lookup(recorrido, ("id_estacion_origen", "id_estacion_destino"), "id_recorrido")
+def fct_viajes(totals: DataFrame, recorrido: DataFrame, numbering: str = "dense") -> DataFrame:
     return build_fact(
         totals.where(F.col("id_estacion_destino").isNotNull()),
-        [_segment_lookup(demografia), routes],
+        [Lookup(recorrido, ("id_estacion_origen", "id_estacion_destino"), "id_recorrido")],
         ["id_fecha", "id_demografia", "id_recorrido"],
         "cantidad",
         "minutos",
@@ -232,16 +227,10 @@ def fct_viajes(totals: DataFrame, demografia: DataFrame, recorrido: DataFrame, n
     )
 
 
-def fact_actividad(totals: DataFrame, demografia: DataFrame, numbering: str = "dense") -> DataFrame:
-    per_node = coarsen(totals, ["id_fecha", "genero", "rango_etario", "id_estacion_origen"])
-    return build_fact(
-        per_node.withColumnRenamed("id_estacion_origen", "id_estacion"),
-        [_segment_lookup(demografia)],
-        ["id_fecha", "id_demografia", "id_estacion"],
-        "cantidad",
-        complete=True,
-        numbering=numbering,
-    )
+def fact_actividad(totals: DataFrame, numbering: str = "dense") -> DataFrame:
+    keys = ["id_fecha", "id_demografia", "id_estacion"]
+    per_node = coarsen(totals.withColumnRenamed("id_estacion_origen", "id_estacion"), keys)
+    return build_fact(per_node, [], keys, "cantidad", numbering=numbering)
 
 
 def ml_duracion_recorridos(trips: DataFrame) -> DataFrame:
@@ -394,10 +383,9 @@ class Build:
         self._write_gold("dim_fecha", dim_fecha(trips))
         self._write_gold("dim_demografia", dim_demografia(users))
         self._write_gold("dim_recorrido", dim_recorrido(pairs))
-        totals = materialize(trip_activity(trips, users), "activity")
-        segments = self.table("dim_demografia")
-        self._write_gold("fct_viajes", fct_viajes(totals, segments, self.table("dim_recorrido"), self.numbering))
-        self._write_gold("fact_actividad", fact_actividad(totals, segments, self.numbering))
+        totals = materialize(trip_activity(trips, users, self.table("dim_demografia")), "activity")
+        self._write_gold("fct_viajes", fct_viajes(totals, self.table("dim_recorrido"), self.numbering))
+        self._write_gold("fact_actividad", fact_actividad(totals, self.numbering))
 
     def gold_ml(self) -> None:
         features = ml_duracion_recorridos(self.table("stg_recorridos"))

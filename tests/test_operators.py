@@ -254,6 +254,17 @@ def test_facts(trips, users, rows):
     assert total == trips.where("seconds > 0").count() == by_route.agg(F.sum("n")).first()[0] + 1
 
 
+def test_keys_looked_up_per_registry_row(spark, trips, users, rows):
+    segments = dims.segment_dim(users, F.col("gender"), age_band(), "gender", "band", "none")
+    look = facts.Lookup(segments, ("gender", "band"), "seg", null_safe=("gender",))
+    attributes = {"gender": F.col("gender"), "band": age_band()}
+    keyed = facts.enrich_with_key(trips, users, "user", attributes, look, {"band": "none"})
+    assert rows(keyed.select("trip", "seg")) == [(1, 1), (2, 1), (3, 3), (4, 4), (5, 4), (6, 4), (7, 4), (8, 2)]
+    without = facts.Lookup(segments.where("band <> 'none'"), ("gender", "band"), "seg", null_safe=("gender",))
+    lost = facts.enrich_with_key(trips, users, "user", attributes, without, {"band": "none"})
+    assert rows(lost.where("seg is null").select("trip")) == [(4,), (5,), (6,), (7,)]
+
+
 def test_fact_rows_with_the_same_keys_are_merged(spark, trips, users, rows):
     sums = totals(trips, users)
     partial = spark.createDataFrame([(1, "F", "16-25")], "id bigint, gender string, band string")
