@@ -17,7 +17,7 @@ from catalogue.views import sql, table
 from lakeloom.operators import report
 from lakeloom.plans import trips_lakehouse as plan
 from lakeloom.sources.csv_text import write_text_csv
-from lakeloom.sources.layers import RAW, Lake
+from lakeloom.sources.layers import GOLD_BI, RAW, Lake, sql_over_files
 
 FIRST_DAY = "2022-01-01"
 DAYS = 1096
@@ -341,6 +341,62 @@ def lake_report_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.ordered(totals.withColumn("minutos_prom", F.round("minutos_prom", 6)), ["anio", "mes"])
 
 
+def gold_sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+    """SQL in which ``{table}`` stands for a gold table's path."""
+    lake = built(spark, sf_dir).lake
+    return sql_over_files(spark, text, **{table: lake.table_path(GOLD_BI, table) for table in plan.GOLD})
+
+
+@query(sql("""
+select 'NATION_' || id_estacion as nombre, cast(sum(cantidad) as bigint) as total_viajes from lake_act
+group by all order by total_viajes desc, nombre limit 10""", *LAKE))
+def lake_sql_top_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten busiest stations, as SQL over the gold files."""
+    return gold_sql(
+        spark,
+        sf_dir,
+        """
+        select e.nombre, sum(a.cantidad) as total_viajes
+        from {fact_actividad} a inner join {dim_estacion} e on a.id_estacion = e.id
+        group by e.nombre order by 2 desc, 1 limit 10""",
+    )
+
+
+@query(sql("""
+select s.rango_etario, cast(sum(f.cantidad) as bigint) as total_viajes
+from lake_fct f, lake_segments s where s.id = f.id_demografia group by all""", *LAKE))
+def lake_sql_by_band(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips per age band, as SQL over the gold files."""
+    return gold_sql(
+        spark,
+        sf_dir,
+        """
+        select d.rango_etario, sum(f.cantidad) as total_viajes
+        from {fct_viajes} f inner join {dim_demografia} d on f.id_demografia = d.id
+        group by d.rango_etario order by 2 desc""",
+    )
+
+
+@query(sql("""
+select o.nombre as origen, d.nombre as destino, cast(sum(f.cantidad) as bigint) as total_viajes
+from lake_fct f join lake_routes r on r.id = f.id_recorrido
+join (select distinct o as id, 'NATION_' || o as nombre from lake_trips) o on o.id = r.o
+join (select distinct d as id, 'NATION_' || d as nombre from lake_trips) d on d.id = r.d group by all""", *LAKE))
+def lake_sql_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips per pair of stations, the station dimension joined in two roles."""
+    return gold_sql(
+        spark,
+        sf_dir,
+        """
+        select o.nombre as origen, d.nombre as destino, sum(f.cantidad) as total_viajes
+        from {fct_viajes} f
+        inner join {dim_recorrido} r on f.id_recorrido = r.id
+        inner join {dim_estacion} o on r.id_estacion_origen = o.id
+        inner join {dim_estacion} d on r.id_estacion_destino = d.id
+        group by o.nombre, d.nombre""",
+    )
+
+
 @query(sql("""
 select table_name, cast(count(*) as bigint) as n_checks from (values
   ('stg_recorridos_2022', 2), ('stg_recorridos_2023', 2), ('stg_recorridos', 12), ('stg_usuarios_2022', 2),

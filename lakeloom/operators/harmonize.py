@@ -46,25 +46,41 @@ def union_vintages(vintages: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, vintages)
 
 
+# Up to this many repeated keys go into the plan as values, which the Parquet
+# scan can use to skip row groups.
+LISTED_KEYS = 1000
+
+
 def drop_copies(df: DataFrame, key: str | None = None) -> DataFrame:
     """Keep one of each group of rows that agree in every column.
 
     Without ``key`` this is a plain distinct, which shuffles whole rows.  With
     a ``key`` that is nearly always unique only the keys are shuffled: rows
     whose key occurs once cannot have a copy and pass through untouched, and
-    the distinct runs over the rest.  The repeated keys are sent to all tasks
-    only if their measured size allows it; otherwise the plain distinct runs.
-    Rows that share the key but differ elsewhere all stay, as do NULL keys.
+    the distinct runs over the rest.  Rows that share the key but differ
+    elsewhere all stay; NULL counts as a key.  The repeated keys are listed in
+    the plan if they are few and sent to all tasks if their measured size
+    allows it; otherwise the plain distinct runs.
     """
     if key is None:
         return df.distinct()
-    repeated = materialize(
-        df.where(F.col(key).isNotNull()).groupBy(key).count().where(F.col("count") > 1).select(key),
-        "repeated-keys",
-    )
-    if not fits_broadcast(repeated):
+    repeated = materialize(df.groupBy(key).count().where(F.col("count") > 1).select(key), "repeated-keys")
+    n_repeated = repeated.count()
+    if n_repeated == 0:
+        return df
+    column = F.col(key)
+    if n_repeated <= LISTED_KEYS:
+        values = [row[0] for row in repeated.collect()]
+        named = [value for value in values if value is not None]
+        suspect = column.isin(named) if named else F.lit(False)
+        if len(named) < len(values):
+            suspect = column.isNull() | suspect
+        once = df.where(~F.coalesce(suspect, F.lit(False)))
+        doubtful = df.where(suspect)
+    elif fits_broadcast(repeated):
+        marks = F.broadcast(repeated.where(column.isNotNull()).withColumn("__repeated", F.lit(True)))
+        once = df.join(marks, key, "left_anti").where(column.isNotNull())
+        doubtful = df.join(marks, key, "left").where(column.isNull() | F.col("__repeated"))
+    else:
         return df.distinct()
-    once = df.join(F.broadcast(repeated), key, "left_anti").where(F.col(key).isNotNull())
-    marked = df.join(F.broadcast(repeated.withColumn("__repeated", F.lit(True))), key, "left")
-    doubtful = marked.where(F.col(key).isNull() | F.col("__repeated")).select(*df.columns)
-    return once.select(*df.columns).unionByName(doubtful.distinct())
+    return once.select(*df.columns).unionByName(doubtful.select(*df.columns).distinct())

@@ -46,7 +46,11 @@ def dense_key(df: DataFrame, order: Sequence[Column | str] = (), name: str = "id
 
 
 def unique_key(df: DataFrame, name: str = "id") -> DataFrame:
-    """Number rows uniquely without moving any: ids have gaps and no order."""
+    """Number rows uniquely without moving any: ids have gaps and no order.
+
+    The ids belong to one evaluation of the frame; store the result before
+    joining or grouping by them.
+    """
     return df.select(
         (F.monotonically_increasing_id() + 1).alias(name), *[F.col(f"`{c}`") for c in df.columns]
     )

@@ -57,18 +57,21 @@ class Lake:
         table: str,
         schema: T.StructType | str | None = None,
         partition_by: Sequence[str] = (),
+        rebalance: bool = False,
     ) -> str:
         """Replace a table.  ``schema`` has to equal the frame's names and types.
 
-        Rows of a partitioned table are rebalanced by its partition columns
-        first, so that a partition gets few files, yet one that holds most of
-        the rows is still split over many tasks at run time.
+        Each task writes a file per partition value it meets.  Where tasks meet
+        many, ``rebalance`` shuffles the rows by the partition columns first: a
+        partition then gets few files, yet one that holds most of the rows is
+        still split over many tasks at run time.
         """
         if schema is not None:
             require_schema(df, schema)
         path = self.table_path(layer, table, bool(partition_by))
         if partition_by:
-            df = df.hint("rebalance", *partition_by)
+            if rebalance:
+                df = df.hint("rebalance", *partition_by)
             df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         else:
             df.write.mode("overwrite").parquet(path)
@@ -106,5 +109,5 @@ def require_schema(df: DataFrame, schema: T.StructType | str) -> None:
 
 
 def sql_over_files(spark: SparkSession, query: str, **paths: str) -> DataFrame:
-    """Run SQL straight over Parquet paths: ``{name}`` in ``query`` is a path."""
+    """Run SQL straight over Parquet paths: ``{name}`` in ``query`` stands for a path."""
     return spark.sql(query.format(**{name: f"parquet.`{path}`" for name, path in paths.items()}))

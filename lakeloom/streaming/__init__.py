@@ -1,0 +1 @@
+"""No table of this library is a stream: every build is a full refresh of its tables."""

@@ -103,13 +103,18 @@ def test_union_matches_by_name(spark, rows):
     assert rows(union_vintages([a, b, a])) == [(1, "a"), (1, "a"), (2, "b")]
 
 
-@pytest.mark.parametrize("limit", [None, 0])
-def test_drop_copies_by_key_is_distinct(spark, rows, monkeypatch, limit):
-    if limit is not None:
+@pytest.mark.parametrize("way", ["listed", "broadcast", "distinct"])
+@pytest.mark.parametrize("nulls", [0, 1, 3])
+def test_drop_copies_by_key_is_distinct(spark, rows, monkeypatch, way, nulls):
+    if way != "listed":
+        monkeypatch.setattr("lakeloom.operators.harmonize.LISTED_KEYS", 0)
+    if way == "distinct":
         monkeypatch.setattr("lakeloom.operators.harmonize.fits_broadcast", lambda df: False)
-    data = [(1, "a")] * 400 + [(2, "b"), (2, "c"), (2, "c"), (3, None), (3, None), (None, "x"), (None, "x"), (4, "d")]
+    data = [(1, "a")] * 400 + [(2, "b"), (2, "c"), (2, "c"), (3, None), (3, None), (4, "d")] + [(None, "x")] * nulls
     df = spark.createDataFrame(data, "id int, v string").repartition(5)
     assert rows(drop_copies(df, "id")) == rows(df.distinct()) == rows(drop_copies(df))
+    only_nulls = df.where("id is null or id = 4")
+    assert rows(drop_copies(only_nulls, "id")) == rows(only_nulls.distinct())
 
 
 def test_drop_copies_without_any(spark, rows):

@@ -95,13 +95,14 @@ def test_mirror_keeps_rows_and_headers(spark, tmp_path, rows):
     assert counted.first()["n"] == 2
 
 
-def test_partitioned_table(spark, tmp_path, rows):
+@pytest.mark.parametrize("rebalance", [True, False])
+def test_partitioned_table(spark, tmp_path, rows, rebalance):
     schema = T.StructType.fromDDL("id bigint, year smallint, v string")
     df = spark.range(30).select(
         "id", (F.lit(2022) + F.col("id") % 3).cast("smallint").alias("year"), F.lit("v").alias("v")
     )
     lake = Lake(str(tmp_path))
-    path = lake.write(df, SILVER, "t", schema, partition_by=["year"])
+    path = lake.write(df, SILVER, "t", schema, partition_by=["year"], rebalance=rebalance)
     back = lake.read(spark, SILVER, "t", schema, partitioned=True)
     require_schema(back, schema)
     assert rows(back) == rows(df)
