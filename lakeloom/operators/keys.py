@@ -8,6 +8,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.operators.joins import BROADCAST_BYTES
 from lakeloom.session import materialize
 
 # monotonically_increasing_id() holds the partition above bit 33 and the row's
@@ -38,9 +39,11 @@ def dense_key(df: DataFrame, order: Sequence[Column | str] = (), name: str = "id
     if len(offsets) <= 1:
         key = position + 1
     else:
-        # One row per shuffle partition: small whatever the data.
+        # One row per partition written: small unless partitions go into millions.
         starts_df = df.sparkSession.createDataFrame(offsets, "__part bigint, __start bigint")
-        numbered = numbered.join(F.broadcast(starts_df), "__part")
+        if len(offsets) * 32 <= BROADCAST_BYTES:
+            starts_df = F.broadcast(starts_df)
+        numbered = numbered.join(starts_df, "__part")
         key = F.col("__start") + position + 1
     return numbered.select(key.alias(name), *[F.col(f"`{c}`") for c in df.columns])
 
