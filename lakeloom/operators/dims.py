@@ -11,15 +11,24 @@ from lakeloom.functions import derive
 from lakeloom.operators.keys import dense_key, with_unknown_member
 
 
+def _hashed_distinct(df: DataFrame) -> DataFrame:
+    """Distinct rows, to go under a ``max`` of a text.
+
+    Such a maximum sorts its input by the grouping key.  A hashed grouping
+    below it, combined on the map side, leaves only the few rows there are to
+    be sorted.  A plain distinct would be optimized away, since a maximum does
+    not mind repeats; the condition on the count, always true, keeps it.
+    """
+    return df.groupBy(*df.columns).agg(F.count("*").alias("__n")).where(F.col("__n") > 0).select(*df.columns)
+
+
 def pair_names(df: DataFrame, a: str, b: str, name_a: str, name_b: str) -> DataFrame:
     """Every pair of the two ids, NULLs among them, with the greatest name seen per side.
 
     One pass over the trips from which both the node and the pair dimension
     follow: the greatest name per id is the greatest of the greatest per pair.
     """
-    # max() of a text sorts its input; the distinct hashes it and, combined on
-    # the map side, leaves only the few names there are to be sorted.
-    seen = df.select(a, b, name_a, name_b).distinct()
+    seen = _hashed_distinct(df.select(a, b, name_a, name_b))
     return seen.groupBy(a, b).agg(F.max(name_a).alias(name_a), F.max(name_b).alias(name_b))
 
 
@@ -31,7 +40,7 @@ def node_dim(
     All roles come from one scan; ids that are NULL are left out.
     """
     members = F.array(*[F.struct(F.col(i).alias("id"), F.col(n).alias("name")) for i, n in roles])
-    nodes = df.select(F.inline(members)).where(F.col("id").isNotNull()).distinct()
+    nodes = _hashed_distinct(df.select(F.inline(members)).where(F.col("id").isNotNull()))
     return nodes.groupBy(F.col("id").alias(id_name)).agg(F.max("name").alias(label_name))
 
 

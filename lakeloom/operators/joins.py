@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 BROADCAST_BYTES = 32 * 1024 * 1024
 # A key is hot when its rows would fill this many average shuffle partitions.
 HOT_FACTOR = 2
+# Rows looked at per shuffle partition to find hot keys.
+ROWS_JUDGED_PER_PARTITION = 10_000
 
 _WIDTHS = {
     T.BooleanType: 1,
@@ -49,14 +51,19 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
 def hot_keys(df: DataFrame, key: str, factor: int = HOT_FACTOR) -> list:
     """Values of ``key`` (NULL among them) too frequent for one shuffle partition.
 
-    At most ``partitions / factor`` values can exceed the threshold, so that
-    many of the most frequent ones are all that has to come back.  The counts
-    are combined on the map side, so a hot key is cheap to count.
+    At most ``partitions / factor`` values can hold that large a share, so that
+    many of the most frequent ones are all that has to come back.  A frame of
+    very many rows is judged by a sample large enough to hold hundreds of rows
+    of any such value: counting every key exactly would shuffle about as much
+    as the join.  The answer decides how rows are joined, never whether.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     at_most = max(1, math.ceil(partitions / factor))
+    n_rows = df.count()
+    enough = ROWS_JUDGED_PER_PARTITION * partitions
+    judged = df.select(key) if n_rows <= enough else df.select(key).sample(enough / n_rows, seed=17)
     seen = Observation()
-    counts = df.select(key).observe(seen, F.count(F.lit(1)).alias("rows")).groupBy(key).agg(F.count("*").alias("n"))
+    counts = judged.observe(seen, F.count(F.lit(1)).alias("rows")).groupBy(key).agg(F.count("*").alias("n"))
     top = counts.orderBy(F.desc("n")).limit(at_most).collect()
     threshold = factor * seen.get["rows"] / partitions if top else 0
     return [row[key] for row in top if row["n"] > threshold]

@@ -30,9 +30,8 @@ def read_text_csv(
     path: str,
     multiline: bool | None = None,
     separator: str = ",",
-    encoding: str = "UTF-8",
 ) -> DataFrame:
-    """Read a CSV with a header, all columns as strings, empty fields as NULL.
+    """Read a UTF-8 CSV with a header, all columns as strings, empty fields as NULL.
 
     Quotes inside a quoted field are doubled.  A record with too few or too
     many fields fails the read.  ``multiline`` tells whether a quoted field may
@@ -46,7 +45,6 @@ def read_text_csv(
         spark.read.option("header", True)
         .option("inferSchema", False)
         .option("sep", separator)
-        .option("encoding", encoding)
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", multiline)

@@ -31,6 +31,18 @@ def test_hot_keys(spark, skewed):
     assert joins.hot_keys(spark.range(0).withColumnRenamed("id", "k"), "k") == []
 
 
+def test_hot_keys_of_a_sample(skewed, monkeypatch):
+    monkeypatch.setattr(joins, "ROWS_JUDGED_PER_PARTITION", 250)
+    assert set(joins.hot_keys(skewed, "k")) == {7, None}
+
+
+@pytest.mark.parametrize("judged", [1, 10_000])
+def test_rows_stay_whole_whatever_the_sample(skewed, registry, rows, monkeypatch, judged):
+    monkeypatch.setattr(joins, "ROWS_JUDGED_PER_PARTITION", judged)
+    got = joins.left_lookup(skewed, registry, "k", 4000).select("row", "k", "name")
+    assert rows(got) == rows(skewed.join(registry, "k", "left").select("row", "k", "name"))
+
+
 @pytest.mark.parametrize("limit", [joins.BROADCAST_BYTES, 4000])
 def test_left_lookup_keeps_every_row(skewed, registry, rows, limit):
     # 4000 bytes hold the hot keys' registry rows but not the whole registry.
