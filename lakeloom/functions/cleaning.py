@@ -18,13 +18,27 @@ Step = Callable[[Column], Column]
 _INTEGRAL = ("tinyint", "smallint", "int", "integer", "bigint")
 
 
+_CALENDAR = ("date", "timestamp", "timestamp_ntz")
+
+
 def _try(column: Column, to: str) -> Column:
+    """The value as type ``to``, or NULL; texts Spark alone would read differently are told apart."""
     direct = column.try_cast(to)
-    if to not in _INTEGRAL:
-        return direct
-    # '12.5' and '1e3' are numbers too: they round, halves away from zero.
-    # The decimal branch runs only where the direct cast gave NULL.
-    return F.coalesce(direct, F.round(column.try_cast("decimal(38,10)"), 0).try_cast(to))
+    if to in _INTEGRAL:
+        # '12.5' and '1e3' are numbers too: they round, halves away from zero.
+        # The decimal branch runs only where the direct cast gave NULL.
+        return F.coalesce(direct, F.round(column.try_cast("decimal(38,18)"), 0).try_cast(to))
+    text = F.trim(column.cast("string"))
+    if to in _CALENDAR:
+        # A year, a month, or an hour without minutes is no point in time.
+        # Slashes may stand for dashes.
+        whole = (F.length(text) >= 8) & (F.contains(text, F.lit(":")) | ~F.contains(text, F.lit(" ")))
+        return F.when(whole, F.coalesce(direct, F.replace(text, F.lit("/"), F.lit("-")).try_cast(to)))
+    if to == "double":
+        # '1d' and '1f' are literals of a programming language, 'inf' is a number.
+        suffixed = F.lower(F.right(text, F.lit(1))).isin("d", "f") & (F.lower(F.right(text, F.lit(3))) != "inf")
+        return F.when(~suffixed, direct)
+    return direct
 
 
 def _refuse(column: Column, kind: str, to: str | None = None) -> Column:
