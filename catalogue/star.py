@@ -190,21 +190,21 @@ def closed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return closed.withColumn("day_id", derive.date_key(F.col("started_at")))
 
 
-def closed_activity(spark: SparkSession, sf_dir: str, grain: list[str]) -> DataFrame:
+def closed_activity(spark: SparkSession, sf_dir: str, grain: list[str], segments: DataFrame) -> DataFrame:
     """Closed trips summed per grain, with the segment's key looked up per user."""
-    segments = facts.Lookup(segment_dimension(spark, sf_dir), ("gender", "band"), "segment_id", null_safe=("gender",))
+    lookup = facts.Lookup(segments, ("gender", "band"), "segment_id", null_safe=("gender",))
     attributes = {"gender": F.col("gender"), "band": age_band()}
     keyed = facts.enrich_with_key(
-        closed_trips(spark, sf_dir), users(spark, sf_dir), "user_id", attributes, segments, {"band": UNKNOWN}
+        closed_trips(spark, sf_dir), users(spark, sf_dir), "user_id", attributes, lookup, {"band": UNKNOWN}
     )
     return facts.activity(keyed, grain, "duration_s")
 
 
-def route_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    totals = closed_activity(spark, sf_dir, ["day_id", "segment_id", "origin_id", "dest_id"])
+def route_fact(spark: SparkSession, sf_dir: str, segments: DataFrame, routes: DataFrame) -> DataFrame:
+    totals = closed_activity(spark, sf_dir, ["day_id", "segment_id", "origin_id", "dest_id"], segments)
     return facts.build_fact(
         totals.where(F.col("dest_id").isNotNull()),
-        [facts.Lookup(route_dimension(spark, sf_dir), ("origin_id", "dest_id"), "route_id")],
+        [facts.Lookup(routes, ("origin_id", "dest_id"), "route_id")],
         ["day_id", "segment_id", "route_id"],
         "n_trips",
         "minutes",
@@ -214,7 +214,8 @@ def route_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def node_fact(spark: SparkSession, sf_dir: str, id_name: str | None = None) -> DataFrame:
-    totals = closed_activity(spark, sf_dir, ["day_id", "segment_id", "origin_id"])
+    segments = segment_dimension(spark, sf_dir)
+    totals = closed_activity(spark, sf_dir, ["day_id", "segment_id", "origin_id"], segments)
     keys_of_fact = ["day_id", "segment_id", "node_id"]
     return facts.build_fact(
         totals.withColumnRenamed("origin_id", "node_id"), [], keys_of_fact, "n_trips", id_name=id_name,
@@ -225,7 +226,7 @@ def node_fact(spark: SparkSession, sf_dir: str, id_name: str | None = None) -> D
 @query(sql("select * from fact_route", *STAR, SQL_FACT_ROUTE))
 def fact_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips and mean minutes per day, segment and route."""
-    return route_fact(spark, sf_dir)
+    return route_fact(spark, sf_dir, segment_dimension(spark, sf_dir), route_dimension(spark, sf_dir))
 
 
 @query(sql("select * from fact_node", *STAR, SQL_FACT_NODE))
@@ -307,9 +308,10 @@ group by all""", *STAR, SQL_FACT_ROUTE, SQL_CALENDAR))
 def report_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips and mean minutes per month, plain and weighted by trips."""
     calendar = dims.calendar_dim(trips(spark, sf_dir), "started_at")
+    fact = route_fact(spark, sf_dir, segment_dimension(spark, sf_dir), route_dimension(spark, sf_dir))
     measures = report.Measures("n_trips", "total_trips", "minutes", "mean_minutes", "weighted_minutes")
     by_month = report.rollup(
-        route_fact(spark, sf_dir),
+        fact,
         [report.Join(calendar, "day_id", {"year": "year", "month": "month"})],
         ["year", "month"],
         measures,
@@ -341,7 +343,7 @@ def report_by_band(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips per age band, most first."""
     segments = segment_dimension(spark, sf_dir)
     totals = report.rollup(
-        route_fact(spark, sf_dir),
+        route_fact(spark, sf_dir, segments, route_dimension(spark, sf_dir)),
         [report.Join(segments, "segment_id", {"band": "band"})],
         ["band"],
         report.Measures("n_trips", "total_trips"),
@@ -358,7 +360,7 @@ def report_origin_destination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips per pair of station names: one station dimension in two roles."""
     routes = route_dimension(spark, sf_dir)
     per_route = report.rollup(
-        route_fact(spark, sf_dir),
+        route_fact(spark, sf_dir, segment_dimension(spark, sf_dir), routes),
         [report.Join(routes, "route_id", {"origin_id": "origin_id", "dest_id": "dest_id"})],
         ["origin_id", "dest_id"],
         report.Measures("n_trips", "n_trips"),

@@ -66,7 +66,7 @@ USER_ROWS = (400_000, 500_000)
 VALID_SHARE = 0.99
 LONGEST_DURATION = 24 * 3600
 
-# ---- Schemas ----------------------------------------------------------------
+# ---- Schemas: fixed table names, column names and types ---------------------
 
 TRIPS = (
     "id_recorrido bigint, id_usuario bigint, duracion_seg int, fecha_origen timestamp_ntz, fecha_destino timestamp_ntz, "
@@ -248,7 +248,7 @@ def ml_duracion_recorridos(trips: DataFrame) -> DataFrame:
     return feature_table(trips, columns, names)
 
 
-# ---- Declared checks --------------------------------------------------------
+# ---- Declared checks: fixed, what each table promises -----------------------
 
 _KEYED = (NotNull("id"), Unique("id"))
 

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from lakeloom.__main__ import main
 from lakeloom.operators.quality import ChecksFailed, NotNull, RowCount, Share
 from lakeloom.plans import trips_lakehouse as plan
 from lakeloom.sources.layers import RAW, Lake
@@ -191,6 +192,18 @@ def test_failed_checks_stop_the_build(spark, tmp_path, sources):
     assert not (tmp_path / "mart_bi").exists()
 
 
+def test_command_line(spark, tmp_path, sources, capsys):
+    lay(tmp_path, sources)
+    root = str(tmp_path)
+    assert main([root]) == 1  # too few rows for the declared range
+    assert "row_count" in capsys.readouterr().out and not (tmp_path / "mart_bi").exists()
+    assert main([root, "gold_bi", "gold_ml", "check=fct_viajes", "check=dim_estacion"]) == 0
+    assert (tmp_path / "mart_ml" / "ml_duracion_recorridos.parquet").is_dir()
+    assert main([root, "check"]) == 1
+    with pytest.raises(SystemExit):
+        main([root, "bronze"])
+
+
 def test_bad_id_fails_the_load(spark, tmp_path, sources):
     bad = dict(sources, usuarios_ecobici_2024=sources["usuarios_ecobici_2024"] + "x1,FEMALE,30,2024-01-01,01:02:03\n")
     build = plan.Build(spark, lay(tmp_path, bad))
