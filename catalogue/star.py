@@ -10,7 +10,6 @@ from catalogue.views import (
     SQL_BANDED,
     SQL_BANDS,
     SQL_CALENDAR,
-    SQL_CLOSED,
     SQL_FACT_NODE,
     SQL_FACT_ROUTE,
     SQL_NAMED,

@@ -16,32 +16,31 @@ HOT_FACTOR = 2
 # Rows looked at per shuffle partition to find hot keys.
 ROWS_JUDGED_PER_PARTITION = 10_000
 
-_WIDTHS = {
-    T.BooleanType: 1,
-    T.ByteType: 1,
-    T.ShortType: 2,
-    T.IntegerType: 4,
-    T.DateType: 4,
-    T.LongType: 8,
-    T.DoubleType: 8,
-    T.FloatType: 4,
-    T.TimestampType: 8,
-    T.TimestampNTZType: 8,
-}
+# Types whose values take one word of a row in memory.
+_ONE_WORD = (
+    T.BooleanType,
+    T.ByteType,
+    T.ShortType,
+    T.IntegerType,
+    T.LongType,
+    T.FloatType,
+    T.DoubleType,
+    T.DateType,
+    T.TimestampType,
+    T.TimestampNTZType,
+)
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Size of a frame's values, from one aggregate over it."""
-    fixed, variable = 0, F.lit(0)
+    """Size of a frame's rows in memory, from one aggregate over it."""
+    fixed, texts = 16, F.lit(0)
     for field in df.schema:
-        width = _WIDTHS.get(type(field.dataType))
-        if width is not None:
-            fixed += max(width, 8)  # a row in memory gives every field a word
-        else:
-            text = F.octet_length(F.col(f"`{field.name}`").cast("string"))
-            variable = variable + 16 + F.coalesce(text, F.lit(0))
-    row = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(variable.cast("bigint")), F.lit(0)).alias("text")).first()
-    return row["n"] * (fixed + 16) + row["text"]
+        fixed += 8
+        if not isinstance(field.dataType, _ONE_WORD):
+            length = F.octet_length(F.col(f"`{field.name}`").cast("string"))
+            texts = texts + 8 + F.coalesce(length, F.lit(0))
+    row = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(texts.cast("bigint")), F.lit(0)).alias("texts")).first()
+    return row["n"] * fixed + row["texts"]
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:

@@ -6,7 +6,6 @@ built from them.  The work is done by the operators.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
