@@ -18,6 +18,7 @@ Step = Callable[[Column], Column]
 _INTEGRAL = ("tinyint", "smallint", "int", "integer", "bigint")
 
 
+_DECIMAL = r"^\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*$"
 _CALENDAR = ("date", "timestamp", "timestamp_ntz")
 
 
@@ -26,16 +27,19 @@ def _try(column: Column, to: str) -> Column:
     direct = column.try_cast(to)
     if to in _INTEGRAL:
         # '12.5' and '1e3' are numbers too: they round, halves away from zero.
-        # The decimal branch runs only where the direct cast gave NULL.
-        return F.coalesce(direct, F.round(column.try_cast("decimal(38,18)"), 0).try_cast(to))
-    text = F.trim(column.cast("string"))
+        # Looked at only where the direct cast gave NULL; the pattern keeps
+        # other texts from the decimal parser, which is slow to refuse them.
+        rounded = F.round(column.try_cast("decimal(38,18)"), 0).try_cast(to)
+        return F.coalesce(direct, F.when(column.rlike(_DECIMAL), rounded))
     if to in _CALENDAR:
         # A year, a month, or an hour without minutes is no point in time.
         # Slashes may stand for dashes.
+        text = F.trim(column.cast("string"))
         whole = (F.length(text) >= 8) & (F.contains(text, F.lit(":")) | ~F.contains(text, F.lit(" ")))
         return F.when(whole, F.coalesce(direct, F.replace(text, F.lit("/"), F.lit("-")).try_cast(to)))
     if to == "double":
         # '1d' and '1f' are literals of a programming language, 'inf' is a number.
+        text = F.trim(column.cast("string"))
         suffixed = F.lower(F.right(text, F.lit(1))).isin("d", "f") & (F.lower(F.right(text, F.lit(3))) != "inf")
         return F.when(~suffixed, direct)
     return direct

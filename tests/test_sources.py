@@ -120,3 +120,29 @@ def test_schema_is_checked_at_the_write(spark, tmp_path):
 
 def test_shared_folder_is_the_session_setting(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+class FakeSession:
+    """A session on a cluster, or on a local master, that names no shared folder."""
+
+    def __init__(self, master):
+        self.conf = self
+        self.sparkContext = self
+        self.master = master
+        self.folder = None
+
+    def get(self, _key, default=None):
+        return default
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_a_cluster_has_to_name_the_shared_folder():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(FakeSession("yarn"))
+    local = FakeSession("local[2]")
+    assert shared_folder(local) == shared_folder(local) == local.folder
