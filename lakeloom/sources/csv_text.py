@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,14 +36,15 @@ def read_text_csv(
     """Read a UTF-8 CSV with a header, all columns as strings, empty fields as NULL.
 
     Quotes inside a quoted field are doubled.  A record with too few or too
-    many fields fails the read.  ``multiline`` tells whether a quoted field may
+    many fields fails the read, as does a folder of files whose headers differ
+    (not checked if a header is blank, which Spark names ``_c0``).  ``multiline`` tells whether a quoted field may
     hold a line break: such a file cannot be split, so one task reads each
     file.  ``None`` finds out first with one parallel pass over the lines and
     reads the file split whenever that is right.
     """
     if multiline is None:
         multiline = not records_are_lines(spark, path, separator)
-    return (
+    reader = (
         spark.read.option("header", True)
         .option("inferSchema", False)
         .option("sep", separator)
@@ -49,10 +52,13 @@ def read_text_csv(
         .option("escape", '"')
         .option("multiLine", multiline)
         .option("mode", "FAILFAST")
-        # A quoted text may be longer than the parser's default limits.
-        .option("maxCharsPerColumn", -1)
-        .csv(path)
     )
+    df = reader.csv(path)
+    named_by_files = not any(re.fullmatch(r"_c\d+", name) for name in df.columns)
+    if named_by_files and len(df.inputFiles()) > 1:
+        # Fields go by position, so every file has to have the first one's header.
+        df = reader.option("enforceSchema", False).schema(df.schema).csv(path)
+    return df
 
 
 def write_text_csv(df: DataFrame, path: str) -> None:

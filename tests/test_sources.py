@@ -54,6 +54,24 @@ def test_wrong_field_count_fails(spark, tmp_path):
             read_text_csv(spark, path, multiline).collect()
 
 
+@pytest.mark.parametrize("multiline", [True, False])
+def test_files_of_a_folder_share_their_header(spark, tmp_path, rows, multiline):
+    put(tmp_path / "1.csv", "n,a,b\n1,x,y\n")
+    put(tmp_path / "2.csv", "n,a,b\n2,u,v\n")
+    assert rows(read_text_csv(spark, str(tmp_path), multiline)) == [("1", "x", "y"), ("2", "u", "v")]
+    put(tmp_path / "3.csv", "n,b,a\n3,q,p\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_text_csv(spark, str(tmp_path), multiline).collect()
+
+
+@pytest.mark.parametrize("multiline", [True, False])
+def test_files_with_a_blank_header(spark, tmp_path, rows, multiline):
+    put(tmp_path / "1.csv", ",a\n1,x\n")
+    put(tmp_path / "2.csv", ",a\n2,y\n")
+    df = read_text_csv(spark, str(tmp_path), multiline)
+    assert df.columns == ["_c0", "a"] and rows(df) == [("1", "x"), ("2", "y")]
+
+
 def test_split_and_unsplit_reads_agree(spark, tmp_path, rows):
     lines = "".join(f'{i},"v ""{i}"", w"\n' for i in range(2000))
     path = put(tmp_path / "a.csv", "h1,h2\n" + lines)
