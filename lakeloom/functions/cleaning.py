@@ -16,21 +16,23 @@ from pyspark.sql import functions as F
 Step = Callable[[Column], Column]
 
 _INTEGRAL = ("tinyint", "smallint", "int", "integer", "bigint")
-
-
+_WHOLE = r"^\s*[+-]?[0-9]+\s*$"
 _DECIMAL = r"^\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*$"
 _CALENDAR = ("date", "timestamp", "timestamp_ntz")
 
 
-def _try(column: Column, to: str) -> Column:
-    """The value as type ``to``, or NULL; texts Spark alone would read differently are told apart."""
+def _try(column: Column, to: str, mostly_good: bool = False) -> Column:
+    """The value as type ``to``, or NULL; texts Spark alone would read differently are told apart.
+
+    An integer cast is quick to read a number and slow to refuse another text,
+    so a pattern decides first; values that are ``mostly_good`` go without.
+    """
     direct = column.try_cast(to)
     if to in _INTEGRAL:
         # '12.5' and '1e3' are numbers too: they round, halves away from zero.
-        # Looked at only where the direct cast gave NULL; the pattern keeps
-        # other texts from the decimal parser, which is slow to refuse them.
         rounded = F.round(column.try_cast("decimal(38,18)"), 0).try_cast(to)
-        return F.coalesce(direct, F.when(column.rlike(_DECIMAL), rounded))
+        fraction = F.when(column.rlike(_DECIMAL), rounded)
+        return F.coalesce(direct, fraction) if mostly_good else F.when(column.rlike(_WHOLE), direct).otherwise(fraction)
     if to in _CALENDAR:
         # A year, a month, or an hour without minutes is no point in time.
         # Slashes may stand for dashes.
@@ -60,7 +62,7 @@ def strict(to: str) -> Step:
     """Cast; a value that does not parse or does not fit fails the job."""
 
     def step(column: Column) -> Column:
-        return F.coalesce(_try(column, to), _refuse(column, to))
+        return F.coalesce(_try(column, to, mostly_good=True), _refuse(column, to))
 
     return step
 
