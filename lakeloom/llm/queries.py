@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.llm.exact_dedup import exact_dedup
 from lakeloom.llm.mix_sources import mix_sources
+from lakeloom.llm.simhash import simhash_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,3 +76,8 @@ from placed
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = mix_sources(table(spark, sf_dir, "documents"))
     return report.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query()
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, distance=2)

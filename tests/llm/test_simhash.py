@@ -1,0 +1,92 @@
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+from lakeloom.llm.components import components
+from lakeloom.llm.simhash import drop_near_copies, links, simhash_groups
+
+WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+
+
+def plain_fingerprint(text, k=3):
+    words = WORD.findall(re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))
+    if not words:
+        return 0
+    shingles = [b" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1))]
+    hashes = [xxhash.xxh64(s, seed=42).intdigest() for s in shingles]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
+
+
+def plain_roots(prints, distance=2):
+    """Smallest index reachable, by comparing all pairs."""
+    values = np.array(prints, dtype=np.uint64)
+    near = np.bitwise_count(values[:, None] ^ values[None, :]) <= distance
+    root = np.arange(len(values))
+    while True:
+        new = np.where(near, root[None, :], len(values)).min(axis=1)
+        if np.array_equal(new, root):
+            return root
+        root = new
+
+
+def check(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash_groups(docs).collect()}
+    prints = [plain_fingerprint(t) for t in texts]
+    roots = plain_roots(prints)
+    assert got == {i: (f"{p:016x}", int(r)) for i, (p, r) in enumerate(zip(prints, roots))}
+
+
+def test_edge_texts(spark):
+    check(spark, [None, "", " \t\n", "One", "one", "ONE two", "one  two\x0bthree", "Éa b\x0cc d", "éa b c d", "x " * 900])
+
+
+def test_documents_equal_all_pairs(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").collect()
+    texts = [r.text for r in docs]
+    near = [" ".join(["zz", *t.split()[1:]]) for t in texts[:80]]
+    check(spark, texts + near)
+
+
+def test_chains_and_large_postings(spark):
+    rng = np.random.default_rng(5)
+    values = [int(v) for v in rng.integers(0, 2**63, 60, dtype=np.uint64)]
+    chain = [0]
+    for bit in range(0, 60, 2):  # far ends, linked step by step
+        chain.append(chain[-1] ^ (3 << bit))
+    ball = [values[0] ^ (1 << a) ^ (1 << b) for a in range(12) for b in range(12)]  # one posting holds most of it
+    prints = list(dict.fromkeys(values + chain + ball))
+    signed = [(v - 2**64 if v >= 2**63 else v,) for v in prints]
+    found = components(links(spark.createDataFrame(signed, "fp long"), 2)).collect()
+    parts = {}
+    for r in found:
+        parts.setdefault(r.root, set()).add(r.node % 2**64)
+    want = {}
+    for p, r in zip(prints, plain_roots(prints)):
+        want.setdefault(r, set()).add(p)
+    assert {frozenset(p) for p in parts.values()} == {frozenset(p) for p in want.values() if len(p) > 1}
+
+
+def test_components_of_a_long_path(spark):
+    path = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(7, 7), (900, 901)], "u long, v long")
+    assert {(r.node, r.root) for r in components(path).collect()} == {(i, 0) for i in range(201)} | {
+        (900, 900),
+        (901, 900),
+    }
+
+
+def test_empty_repeated_and_clashing(spark):
+    schema = "doc_id long, text string, fp string, u int, component_id int"
+    assert simhash_groups(spark.createDataFrame([], schema)).collect() == []
+    rows = [(5, "a b c", "x", 1, 1), (5, "a b c", "x", 1, 1), (None, "a b c", "y", 2, 2), (9, None, None, None, None)]
+    docs = spark.createDataFrame(rows, schema)
+    got = sorted((r.doc_id or -1, r.component_id) for r in simhash_groups(docs).collect())
+    assert got == [(-1, 5), (5, 5), (5, 5), (9, 9)]
+    assert sorted(r.doc_id for r in drop_near_copies(docs).collect()) == [5, 5, 9]
+
+
+def test_distance_is_checked(spark):
+    with pytest.raises(ValueError):
+        simhash_groups(spark.createDataFrame([], "doc_id long, text string"), distance=5)
