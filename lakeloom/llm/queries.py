@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lakeloom.llm.exact_dedup import exact_dedup
 from lakeloom.llm.mix_sources import mix_sources
 from lakeloom.llm.simhash import simhash_groups
+from lakeloom.llm.substring_dedup import substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,3 +82,9 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, distance=2)
+
+
+@query()
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = substring_dedup(table(spark, sf_dir, "documents"), length=50)
+    return report.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
