@@ -11,6 +11,7 @@ from lakeloom.llm.exact_dedup import exact_dedup
 from lakeloom.llm.mix_sources import mix_sources
 from lakeloom.llm.simhash import simhash_groups
 from lakeloom.llm.substring_dedup import substring_dedup
+from lakeloom.llm.suffix_dedup import suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,3 +89,10 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = substring_dedup(table(spark, sf_dir, "documents"), length=50)
     return report.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query()
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = suffix_dedup(table(spark, sf_dir, "documents"), length=100)
+    kept = F.sha2("kept", 256).alias("kept_sha256")
+    return report.select("doc_id", "n_bytes", "n_removed", "n_spans", kept)
