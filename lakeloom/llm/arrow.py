@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 # Bytes of one batch, unless a single row has more.  Batches of long texts then hold few rows.
 BATCH_BYTES = 4 << 20
@@ -13,12 +13,14 @@ BATCH_BYTES = 4 << 20
 Columns = dict[str, object]
 
 
-def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[Columns]], schema: str) -> DataFrame:
-    """``mapInArrow`` for functions that yield columns by name, with batches that fit a worker's memory.
+def bound_batches(spark: SparkSession) -> None:
+    """Limit the bytes of a batch; the setting is read when a result is computed, so it stays set."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
 
-    The byte limit is a setting of the session and is read when the result is computed, so it stays set.
-    """
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[Columns]], schema: str) -> DataFrame:
+    """``mapInArrow`` for functions that yield columns by name, with batches that fit a worker's memory."""
+    bound_batches(df.sparkSession)
     names = [part.split()[0] for part in schema.split(",")]
     types = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(),
              "binary": pa.binary(), "boolean": pa.bool_()}

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from lakeloom.llm.exact_dedup import exact_dedup
 from lakeloom.llm.mix_sources import mix_sources
+from lakeloom.llm.packing import pack
+from lakeloom.llm.quality import quality_scores, train
 from lakeloom.llm.simhash import simhash_groups
 from lakeloom.llm.substring_dedup import substring_dedup
 from lakeloom.llm.suffix_dedup import suffix_dedup
@@ -96,3 +98,15 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = suffix_dedup(table(spark, sf_dir, "documents"), length=100)
     kept = F.sha2("kept", 256).alias("kept_sha256")
     return report.select("doc_id", "n_bytes", "n_removed", "n_spans", kept)
+
+
+@query()
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs, table(spark, sf_dir, "labels"), max_rows=20_000)
+    return quality_scores(docs, model, keep_from=0.7)
+
+
+@query()
+def op5_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), capacity=2048)
