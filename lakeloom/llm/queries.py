@@ -14,6 +14,7 @@ from lakeloom.llm.quality import quality_scores, train
 from lakeloom.llm.simhash import simhash_groups
 from lakeloom.llm.substring_dedup import substring_dedup
 from lakeloom.llm.suffix_dedup import suffix_dedup
+from lakeloom.llm.topk import top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -110,3 +111,21 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op5_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), capacity=2048)
+
+
+@query("""
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as x from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scores as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.x, c.x)::bigint as score
+  from v q join v c on q.vec_id <> c.vec_id and len(q.x) = len(c.x) where q.vec_id % 50 = 0),
+ranked as (
+  select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score
+  from scores)
+select * from ranked where rank <= 5
+""")
+def op7_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5, scale=256)
