@@ -15,6 +15,7 @@ from lakeloom.llm.simhash import simhash_groups
 from lakeloom.llm.substring_dedup import substring_dedup
 from lakeloom.llm.suffix_dedup import suffix_dedup
 from lakeloom.llm.topk import top_k
+from lakeloom.llm.warc import arc_to_warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -129,3 +130,17 @@ select * from ranked where rank <= 5
 def op7_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5, scale=256)
+
+
+@query("""
+with p as (
+  select page_id, strlen(coalesce(html, ''))::bigint as payload_bytes, sha1(coalesce(html, '')) as payload_digest,
+    max(page_id) over (partition by coalesce(html, '')) as top
+  from pages)
+select page_id, payload_bytes, payload_digest,
+  case when payload_bytes >= 1000 and page_id <> top then 'revisit' else 'response' end as record_type,
+  case when payload_bytes >= 1000 and page_id <> top then top end as refers_to
+from p
+""")
+def op9_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arc_to_warc(table(spark, sf_dir, "pages"))
