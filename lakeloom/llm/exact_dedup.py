@@ -19,6 +19,26 @@ def normalised(text: Column) -> Column:
     return text
 
 
+# Hashes are looked for in a bitmap of so many bits, 4 MiB, before texts are shuffled.
+BITS = 1 << 25
+
+
+def maybe_in(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows of ``rows`` whose key may be in ``keys``: all that are, and few others while keys are few.
+
+    The keys are marked in a bitmap of fixed size, which is all that is broadcast, whatever the number of keys.
+    """
+    spot = F.pmod(F.xxhash64(key), F.lit(BITS)) + 1
+    bitmap = keys.select(spot.alias("spot")).groupBy(F.bitmap_bucket_number("spot").alias("bucket"))
+    bitmap = bitmap.agg(F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits"))
+    found = rows.withColumn("spot", spot).withColumn("bucket", F.bitmap_bucket_number("spot"))
+    found = found.join(F.broadcast(bitmap), "bucket")
+    at = F.bitmap_bit_position("spot")
+    byte = F.conv(F.hex(F.substring("bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.expr("shiftright(byte, cast(bitmap_bit_position(spot) % 8 as int)) & 1")
+    return found.withColumn("byte", byte).where(bit == 1).select(*rows.columns)
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -27,10 +47,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     in ``group_size`` and are kept if that id is.  A NULL id orders before all others.  Other columns are ignored,
     whatever their names; an empty table gives no rows.
 
-    Only hashes are shuffled for texts that occur once.  Groups are counted with map-side combining; the rows of hash
-    groups with several rows are written once with their text and compared with the text of one leader per hash, so
-    that two texts with one hash end in different groups.  Joins on a hash have a bare scan on either side, so
-    that adaptive execution can split the partition of a hot hash.
+    Groups are counted by hash with map-side combining, which shuffles no text.  The rows of hashes that occur more
+    than once are then written with their text and compared with the text of one leader per hash, so that two texts
+    with one hash end in different groups; a bitmap of those hashes keeps most other texts out of that shuffle.  Joins
+    on a hash have a bare scan on either side, so that adaptive execution can split the partition of a hot hash.
     """
     text = F.col(f"`{text_col}`")
     texts = docs.select(
@@ -43,7 +63,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     hashes = materialize(texts.drop("norm"), "hashes")
     groups = hashes.groupBy("hash").agg(F.count("*").alias("rows"), best.alias("best"))
     repeated = materialize(groups.where("rows > 1").select("hash", F.col("best.doc_id").alias("leader")), "repeated")
-    members = materialize(texts.join(repeated, "hash"), "members")
+    members = maybe_in(texts, repeated, "hash").join(repeated.hint("merge"), "hash")
+    members = materialize(members, "members")
     is_leader = F.col("doc_id").eqNullSafe(F.col("leader"))
     leaders = materialize(members.where(is_leader).groupBy("hash").agg(F.min("norm").alias("same")), "leaders")
     # NULL in "other" stands for the leader's text; a text that only shares the hash stands for itself.
