@@ -23,7 +23,8 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator
     bound_batches(df.sparkSession)
     names = [part.split()[0] for part in schema.split(",")]
     types = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(),
-             "binary": pa.binary(), "boolean": pa.bool_()}
+             "binary": pa.binary(), "boolean": pa.bool_(), "array<long>": pa.list_(pa.int64()),
+             "array<string>": pa.list_(pa.string())}
     kinds = [types[part.split()[1]] for part in schema.split(",")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

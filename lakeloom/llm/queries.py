@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.llm.exact_dedup import exact_dedup
+from lakeloom.llm.html_text import extract_text
 from lakeloom.llm.mix_sources import mix_sources
 from lakeloom.llm.packing import pack
 from lakeloom.llm.quality import quality_scores, train
@@ -144,3 +145,8 @@ from p
 """)
 def op9_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arc_to_warc(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
