@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeloom.session import materialize
@@ -88,7 +88,22 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``exact_dedup`` keeps, with all their columns."""
-    report = exact_dedup(docs, id_col, text_col)
-    dropped = materialize(report.where("not kept").select("doc_id"), "dropped")
-    return docs.join(dropped, docs[id_col].eqNullSafe(dropped["doc_id"]), "left_anti")
+    """The rows of ``docs`` that ``exact_dedup`` keeps, with all their columns.
+
+    Rows are looked up by id and digest, so ids need not be unique; of rows that repeat an id with an equal text, the
+    one of the longest text stays.
+    """
+    report = materialize(exact_dedup(docs, id_col, text_col), "report")
+    key = [F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__digest")]
+    text = F.col(f"`{text_col}`")
+    own = docs.withColumn("__own", F.sha2(normalised(text), 256))
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__digest"))
+    dropped = materialize(report.where("not kept").select(*key).distinct(), "dropped")
+    kept = own.join(dropped, same, "left_anti")
+    again = report.where("kept").groupBy(*key).count().where("count > 1").drop("count")
+    again = materialize(again, "again")
+    if again.isEmpty():
+        return kept.select(*docs.columns)
+    place = F.row_number().over(Window.partitionBy(f"`{id_col}`", "__own").orderBy(F.length(text).desc(), text))
+    once = kept.join(again, same, "left_semi").withColumn("__place", place).where("__place = 1").drop("__place")
+    return kept.join(again, same, "left_anti").unionByName(once).select(*docs.columns)

@@ -110,10 +110,19 @@ def mix_sources(
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs``, each as often as ``mix_sources`` takes it; ids have to be unique or their rows equal."""
+    """The rows of ``docs``, with all their columns, each as often as ``mix_sources`` takes it.
+
+    Copies are looked up by id.  Rows that share an id share its copies as evenly as they can.
+    """
     id_col = options.get("id_col", "doc_id")
-    report = mix_sources(docs, **options).where("copies > 0")
-    # An id that several rows share is taken as often as all of them, spread evenly by the distinct.
-    copies = materialize(report.groupBy(F.col("doc_id").alias("__id")).agg(F.sum("copies").alias("__copies")), "copies")
+    report = mix_sources(docs, **options)
+    copies = report.groupBy(F.col("doc_id").alias("__id")).agg(
+        F.sum("copies").alias("__copies"), F.count("*").alias("__n")
+    )
+    copies = materialize(copies.where("__copies > 0"), "copies")
     rows = docs.join(copies, docs[id_col].eqNullSafe(copies["__id"]))
-    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "__copies"))).select(*docs.columns)
+    shared = rows.where("__n > 1")
+    place = F.row_number().over(Window.partitionBy("__id").orderBy(F.xxhash64(*docs.columns)))
+    own = F.floor(F.col("__copies") / F.col("__n")) + F.when(place <= F.col("__copies") % F.col("__n"), 1).otherwise(0)
+    rows = rows.where("__n = 1").unionByName(shared.withColumn("__copies", own.cast("long")).where("__copies > 0"))
+    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "__copies"))).select(*docs.columns)

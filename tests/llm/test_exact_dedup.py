@@ -6,8 +6,12 @@ from lakeloom.llm import exact_dedup as module
 from lakeloom.llm.exact_dedup import drop_copies, exact_dedup
 
 
+def squeezed(text):
+    return "".join(c for c in (text or "") if c not in " \t\n\x0b\x0c\r")
+
+
 def plain(rows):
-    norm = {n: "".join(c for c in (t or "") if c not in " \t\n\x0b\x0c\r") for n, (_, t) in enumerate(rows)}
+    norm = {n: squeezed(t) for n, (_, t) in enumerate(rows)}
     out = []
     for n, (i, _) in enumerate(rows):
         same = [m for m in norm if norm[m] == norm[n]]
@@ -45,8 +49,10 @@ def test_bitmap_passes_all_keys(spark):
 def test_rows_that_stay_and_empty_tables(spark):
     schema = "doc_id long, text string, hash int, n string, norm int"
     assert exact_dedup(spark.createDataFrame([], schema)).collect() == []
-    docs = spark.createDataFrame([(*r, 1, "n", 2) for r in ROWS], schema)
+    rows = [*ROWS, (14, "only here"), (12, "ab c")]
+    docs = spark.createDataFrame([(*r, 1, "n", 2) for r in rows], schema)
     kept = drop_copies(docs)
     assert kept.columns == docs.columns
-    want = sorted(((i if i is not None else -1) for i, _, _, kept, _ in plain(ROWS) if kept))
-    assert sorted(r.doc_id if r.doc_id is not None else -1 for r in kept.collect()) == [-1, *[w for w in want if w >= 0]]
+    want = {(i, sha) for i, _, _, keep, sha in plain(rows) if keep}
+    got = [(r.doc_id, hashlib.sha256(squeezed(r.text).encode()).hexdigest()) for r in kept.collect()]
+    assert len(got) == len(set(got)) and set(got) == want and (14, hashlib.sha256(b"onlyhere").hexdigest()) in got

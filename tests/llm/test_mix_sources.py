@@ -1,0 +1,39 @@
+from lakeloom.llm.mix_sources import mix_sources, mixed_documents
+from tests.llm.test_pipeline import plain_mix
+
+
+def check(spark, rows, **options):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = mix_sources(docs, **options).collect()
+    return docs, got
+
+
+def test_equals_plain_version(spark):
+    rows = [(i, "w " * (i * i % 97), "x", [None, "a", "", "é", "Z", "a\U0001f600"][i % 6 if i % 4 else 1], 0) for i in range(400)]
+    docs, got = check(spark, rows)
+    copies, taken, target, longest = plain_mix(rows)
+    assert {r.doc_id: r.copies for r in got} == copies
+    assert {r.source: r.target for r in got} == target
+    assert all(abs(taken[s] - target[s]) <= 2 * longest[s] for s in target)
+    assert sorted(mixed_documents(docs).collect()) == sorted(r for r in docs.collect() for _ in range(copies[r.doc_id]))
+    assert sorted(check(spark, rows[::-1])[1]) == sorted(got)
+
+
+def test_caps_and_sources_without_words(spark):
+    rows = [(1, "a " * 10, "", "a", 0), (2, "b " * 1000, "", "b", 0), (3, None, "", "c", 0), (4, "", "", "c", 0)]
+    got = {r.doc_id: r for r in check(spark, rows)[1]}
+    assert (got[1].target, got[1].taken) == (20.0, 20)
+    assert got[2].target == 1.5 * 1010 - 20 and got[2].copies in (1, 2)
+    assert got[3].target == got[4].target == 0.0 and got[3].copies == got[4].copies == 0
+
+
+def test_empty_and_repeated(spark):
+    schema = "doc_id long, text string, source string, size int, part int, copies string"
+    assert mix_sources(spark.createDataFrame([], schema)).collect() == []
+    rows = [(7, "a b", "s", 1, 2, "c")] * 6 + [(None, "a b", "s", 1, 2, "c")] * 2
+    docs = spark.createDataFrame(rows, schema)
+    got = mix_sources(docs).collect()
+    assert sum(r.copies for r in got) == 12 and len(got) == 8
+    assert sorted(r.doc_id or 0 for r in mixed_documents(docs).collect()) == [0] * 3 + [7] * 9
+    only_words = spark.createDataFrame([(1, None, None)], "doc_id long, text string, source string")
+    assert [tuple(r)[2:] for r in mix_sources(only_words).collect()] == [(0, 0, 0.0, 0, 0)]
