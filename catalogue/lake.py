@@ -1,19 +1,23 @@
 """The bike-share build from CSV to gold, on source files written from the supplied tables.
 
-All orders become trips and all customers with a balance of 2000 or more
-become users, written as six CSV sources with the headers, tokens and number
+All orders become trips and all customers become users, written as six CSV sources with the headers, tokens and number
 formats of their years.  The oracles compute every table from the orders and
 customers directly.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalogue.checks import (
+    accepted_sql, null_sql, reference_sql, row_count_sql, share_sql, union, unique_sql,
+)
 from catalogue.registry import query
 from catalogue.sources import fresh_lake
-from catalogue.views import sql, table
+from catalogue.views import SQL_USER, sql, table, trip_user
 from lakeloom.operators import report
 from lakeloom.plans import trips_lakehouse as plan
 from lakeloom.sources.csv_text import write_text_csv
@@ -39,7 +43,7 @@ def clean_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumns({"start": start_of_trip(), "seconds": seconds})
         .select(
             F.col("o_orderkey").alias("trip"),
-            F.col("o_custkey").alias("user"),
+            trip_user().alias("user"),
             F.when(price >= 5000, F.col("seconds")).alias("seconds"),
             "start",
             F.when(
@@ -99,7 +103,6 @@ def clean_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     gender = F.when(segment == "BUILDING", "FEMALE").when(segment == "MACHINERY", "MALE").otherwise("OTHER")
     return (
         table(spark, sf_dir, "customer")
-        .where("c_acctbal >= 2000")
         .select(
             key.alias("user"),
             gender.alias("gender"),
@@ -158,14 +161,14 @@ t0 as (
          case when o_orderstatus = 'P' then 0 else cast(cast(floor(o_totalprice) as bigint) % 9000 as integer) end as secs
   from orders)"""
 
-SQL_LAKE_TRIPS = """
+SQL_LAKE_TRIPS = f"""
 lake_trips as (
-  select o_orderkey as id_recorrido, o_custkey as id_usuario, case when o_totalprice >= 5000 then secs end as duracion_seg,
+  select o_orderkey as id_recorrido, {SQL_USER} as id_usuario, case when o_totalprice >= 5000 then secs end as duracion_seg,
          start_at as fecha_origen, case when o_orderstatus <> 'P' then start_at + to_seconds(secs) end as fecha_destino,
          cast(o_orderkey % 25 as smallint) as o,
          cast(case when o_totalprice < 490000 then (o_orderkey * 7 + o_custkey) % 25 end as smallint) as d,
          case when left(o_orderpriority, 1) in ('1', '2') then 'FIT' else 'ICONIC' end as modelo_bicicleta,
-         (map {'F': 'FEMALE', 'O': 'MALE'})[o_orderstatus] as genero_usuario,
+         (map {{'F': 'FEMALE', 'O': 'MALE'}})[o_orderstatus] as genero_usuario,
          cast(year(start_at) as smallint) as anio_archivo
   from t0)"""
 
@@ -177,7 +180,7 @@ lake_users as (
               then cast(10 + c_custkey % 95 as integer) end as edad_usuario,
          date '{FIRST_DAY}' + cast(c_custkey % {DAYS} as integer) as fecha_alta,
          strftime(timestamp '2000-01-01' + to_seconds(c_custkey * 41 % 86400), '%H:%M:%S') as hora_alta, c_nationkey
-  from customer where c_acctbal >= 2000)"""
+  from customer)"""
 
 SQL_LAKE_STAR = """
 lake_bands(lo, hi, label) as (
@@ -206,19 +209,60 @@ lake_act as (
 LAKE = (SQL_T0, SQL_LAKE_TRIPS, SQL_LAKE_USERS, SQL_LAKE_STAR)
 
 
+# The raw tables' texts, as the sources write them.
+SQL_RAW = """
+raw_trips as (
+  select anio_archivo as y, id_recorrido || case when anio_archivo < 2024 then 'BAEcobici' else '' end as key,
+         id_usuario || case when anio_archivo < 2024 then 'BAEcobici' else '.0' end as id_usuario,
+         case when duracion_seg is null then 'n/a' when anio_archivo = 2024 then cast(duracion_seg as varchar)
+              else format('{:,}', duracion_seg) end as amount,
+         modelo_bicicleta as kind, genero_usuario as gender
+  from lake_trips
+  union all
+  select anio_archivo, cast(id_recorrido as varchar), id_usuario || '.0',
+         coalesce(cast(duracion_seg as varchar), 'n/a'), modelo_bicicleta, genero_usuario
+  from lake_trips where anio_archivo = 2024 and genero_usuario = 'FEMALE'),
+raw_users as (
+  select year(fecha_alta) as y, cast(id_usuario as varchar) as key, hora_alta,
+         case when household then format('{:,}', 1000 + 10 + id_usuario % 95)
+              else cast(10 + id_usuario % 95 as varchar) end as amount,
+         case when year(fecha_alta) < 2024 then case when c_nationkey < 10 then 'Yes' when c_nationkey < 20 then 'No' end
+         end as kind, genero_usuario as gender
+  from (select u.*, c.c_mktsegment = 'HOUSEHOLD' as household from lake_users u join customer c on c_custkey = id_usuario))"""
+
+
 @query(sql("""
-select anio_archivo, count(*) + count(*) filter (where anio_archivo = 2024 and genero_usuario = 'FEMALE') as n_rows
-from lake_trips group by all""", SQL_T0, SQL_LAKE_TRIPS))
+select 'raw_recorridos_' || y as table_name, key, id_usuario as other, amount, kind, gender, count(*) as n_rows
+from raw_trips group by all
+union all select 'raw_usuarios_' || y, key, hora_alta, amount, kind, gender, count(*) from raw_users group by all""",
+SQL_T0, SQL_LAKE_TRIPS, SQL_LAKE_USERS, SQL_RAW))
 def lake_raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of the three mirrored trip files, copies still in."""
-    build = built(spark, sf_dir)
-    counts = [
-        build.lake.read(spark, RAW, f"raw_recorridos_{year}").agg(
-            F.lit(year).cast("smallint").alias("anio_archivo"), F.count("*").alias("n_rows")
-        )
-        for year in plan.YEARS
-    ]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    """The texts of all six mirrored files, with how often a row occurs: copies are still in."""
+    lake = built(spark, sf_dir).lake
+    parts = []
+    for year in plan.YEARS:
+        old = year < 2024
+        trips = lake.read(spark, RAW, f"raw_recorridos_{year}")
+        users = lake.read(spark, RAW, f"raw_usuarios_{year}")
+        gender = {2022: "Género", 2023: "género", 2024: "genero"}[year]
+        kind = F.col("`Customer.Has.Dni..Yes...No.`") if old else F.lit(None).cast("string")
+        columns = {
+            f"raw_recorridos_{year}": (
+                trips, "Id_recorrido" if old else "id_recorrido", "id_usuario", "duracion_recorrido",
+                F.col("modelo_bicicleta"), gender,
+            ),
+            f"raw_usuarios_{year}": (
+                users, "ID_usuario" if old else "id_usuario", "hora_alta", "edad_usuario", kind, "genero_usuario",
+            ),
+        }
+        for name, (raw, key, other, amount, own, sex) in columns.items():
+            row = raw.select(
+                F.lit(name).alias("table_name"), F.col(key).alias("key"), F.col(other).alias("other"),
+                F.col(amount).alias("amount"), own.alias("kind"), F.col(sex).alias("gender"),
+            )
+            parts.append(row)
+    every = reduce(DataFrame.unionByName, parts)
+    return every.groupBy(*every.columns).agg(F.count("*").alias("n_rows"))
 
 
 def station_sql(role: str, node: str) -> str:
@@ -397,16 +441,70 @@ def lake_sql_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(sql("""
-select table_name, cast(count(*) as bigint) as n_checks from (values
-  ('stg_recorridos_2022', 2), ('stg_recorridos_2023', 2), ('stg_recorridos', 12), ('stg_usuarios_2022', 2),
-  ('stg_usuarios_2023', 2), ('stg_usuarios_2024', 2), ('stg_usuarios', 10), ('dim_estacion', 3), ('dim_fecha', 8),
-  ('dim_demografia', 5), ('dim_recorrido', 7), ('fct_viajes', 10), ('fact_actividad', 9)) v(table_name, n),
-  lateral (select unnest(range(n)))
-group by all""").removeprefix("with \n"))
-def lake_checks_declared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many checks ran per table of the finished lake."""
-    return built(spark, sf_dir).checks().groupBy("table_name").agg(F.count("*").alias("n_checks"))
+# The checked tables under their own names.
+SQL_TABLES = """
+stg_recorridos as (select *, o as id_estacion_origen from lake_trips),
+stg_recorridos_2022 as (select * from lake_trips where anio_archivo = 2022),
+stg_recorridos_2023 as (select * from lake_trips where anio_archivo = 2023),
+stg_usuarios as (select *, cast(year(fecha_alta) as smallint) as anio_archivo from lake_users),
+stg_usuarios_2022 as (select * from stg_usuarios where anio_archivo = 2022),
+stg_usuarios_2023 as (select * from stg_usuarios where anio_archivo = 2023),
+stg_usuarios_2024 as (select * from stg_usuarios where anio_archivo = 2024),
+dim_estacion as (select distinct o as id, 'NATION_' || o as nombre from lake_trips),
+dim_fecha as (
+  select distinct cast(strftime(fecha_origen, '%Y%m%d') as integer) as id, day(fecha_origen) as dia,
+         month(fecha_origen) as mes, weekofyear(fecha_origen) as semana, year(fecha_origen) as anio,
+         cast(fecha_origen as date) as fecha_completa
+  from lake_trips),
+dim_demografia as (select * from lake_segments),
+dim_recorrido as (select id, o as id_estacion_origen, d as id_estacion_destino, o || '-' || d as ruta from lake_routes),
+fct_viajes as (select row_number() over () as id, * from lake_fct),
+fact_actividad as (select row_number() over () as id, * from lake_act)"""
+
+YEAR_LIST = "2022, 2023, 2024"
+GENDER_LIST = "'MALE', 'FEMALE', 'OTHER'"
+
+
+def keyed_sql(name: str, column: str = "id") -> list[str]:
+    return [null_sql(name, column), unique_sql(name, column)]
+
+
+def foreign_sql(name: str, column: str, parent: str) -> list[str]:
+    return [null_sql(name, column), reference_sql(name, column, parent, "id")]
+
+
+CHECKED = [
+    *[part for t in ("stg_recorridos_2022", "stg_recorridos_2023", "stg_recorridos") for part in keyed_sql(t, "id_recorrido")],
+    *[null_sql("stg_recorridos", c) for c in ("id_usuario", "fecha_origen", "id_estacion_origen", "modelo_bicicleta")],
+    accepted_sql("stg_recorridos", "modelo_bicicleta", "'FIT', 'ICONIC'"),
+    accepted_sql("stg_recorridos", "genero_usuario", GENDER_LIST, "genero_usuario is not null"),
+    null_sql("stg_recorridos", "anio_archivo"), accepted_sql("stg_recorridos", "anio_archivo", YEAR_LIST),
+    row_count_sql("stg_recorridos", 8000000, 10000000),
+    share_sql("valid_duration", "stg_recorridos", "duracion_seg", "duracion_seg >= 1 and duracion_seg <= 86400", 0.99),
+    *[part for y in ("_2022", "_2023", "_2024", "") for part in keyed_sql(f"stg_usuarios{y}", "id_usuario")],
+    *[null_sql("stg_usuarios", c) for c in ("genero_usuario", "fecha_alta", "hora_alta", "anio_archivo")],
+    accepted_sql("stg_usuarios", "genero_usuario", GENDER_LIST), accepted_sql("stg_usuarios", "anio_archivo", YEAR_LIST),
+    row_count_sql("stg_usuarios", 400000, 500000),
+    share_sql("known_age", "stg_usuarios", "edad_usuario", "edad_usuario is not null", 0.99),
+    *keyed_sql("dim_estacion"), null_sql("dim_estacion", "nombre"), *keyed_sql("dim_fecha"),
+    *[null_sql("dim_fecha", c) for c in ("dia", "mes", "semana", "anio", "fecha_completa")],
+    accepted_sql("dim_fecha", "anio", YEAR_LIST), *keyed_sql("dim_demografia"),
+    accepted_sql("dim_demografia", "genero", GENDER_LIST, "genero is not null"), null_sql("dim_demografia", "rango_etario"),
+    accepted_sql("dim_demografia", "rango_etario", "'16-25', '26-35', '36-50', '51-65', '66+', 'Desconocido'"),
+    *keyed_sql("dim_recorrido"), *foreign_sql("dim_recorrido", "id_estacion_origen", "dim_estacion"),
+    *foreign_sql("dim_recorrido", "id_estacion_destino", "dim_estacion"), null_sql("dim_recorrido", "ruta"),
+    *[part for t in ("fct_viajes", "fact_actividad") for part in (
+        *keyed_sql(t), *foreign_sql(t, "id_fecha", "dim_fecha"), *foreign_sql(t, "id_demografia", "dim_demografia"),
+        null_sql(t, "cantidad"))],
+    *foreign_sql("fct_viajes", "id_recorrido", "dim_recorrido"), null_sql("fct_viajes", "minutos"),
+    *foreign_sql("fact_actividad", "id_estacion", "dim_estacion"),
+]
+
+
+@query(sql(union(*CHECKED), *LAKE, SQL_TABLES))
+def lake_checks_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdicts of all declared checks on the finished lake, with what they counted."""
+    return built(spark, sf_dir).checks()
 
 
 @query(sql("""

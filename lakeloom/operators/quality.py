@@ -2,8 +2,8 @@
 
 A check is a small declaration; ``run_checks`` turns all checks of a table into
 one result frame with a row per check.  All checks that look at single rows
-share one aggregate over the table.  A unique check adds one grouping by its
-column, a reference check one grouping and an anti join of its distinct keys.
+share one aggregate over the table.  All unique and reference checks share one
+grouping, of every checked key under the number of its check.
 """
 
 from __future__ import annotations
@@ -15,8 +15,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.operators.joins import key_usage
-
 RESULT_COLUMNS = ("check_name", "table_name", "column_name", "n_bad", "n_rows", "passed")
 
 
@@ -141,35 +139,63 @@ def _one_pass(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return totals.select(F.inline(F.array(*verdicts)))
 
 
-def _unique(df: DataFrame, check: Unique) -> DataFrame:
-    scoped = _scope(check.where) & F.col(check.column).isNotNull()
-    per_value = df.groupBy(check.column).agg(F.count("*").alias("rows"), F.count_if(scoped).alias("scoped"))
-    totals = per_value.agg(
-        F.count_if(F.col("scoped") > 1).alias("bad"), F.coalesce(F.sum("rows"), F.lit(0)).alias("n_rows")
-    )
-    return totals.select(F.inline(F.array(_verdict(check, F.col("bad"), F.col("n_rows")))))
+_WHOLE_NUMBERS = ("tinyint", "smallint", "int", "bigint")
+
+
+def _keyed(df: DataFrame, checks: Sequence[Unique | Reference], parents: Mapping[str, DataFrame]) -> DataFrame:
+    """All unique and reference checks of a table from one scan of it.
+
+    Every checked key becomes a row under the number of its check, the parents' keys next to them, and one grouping
+    counts them all.  Rows are combined on the map side, so a key that owns most of the rows costs no more than any.
+    """
+    types = dict(df.dtypes)
+    sides = [(parents[c.parent], c.parent_column) if isinstance(c, Reference) else None for c in checks]
+    kinds = {types[c.column] for c in checks} | {dict(p.dtypes)[k] for p, k in filter(None, sides)}
+    # Keys of all checks share a column: whole numbers as such, others as text in the checked column's type.
+    common = "bigint" if kinds <= set(_WHOLE_NUMBERS) else "string"
 
+    def entry(number: int, key: Column, n_rows: Column, used: Column, known: bool) -> Column:
+        return F.struct(
+            F.lit(number).alias("check"), key.cast(common).alias("key"), n_rows.cast("bigint").alias("n_rows"),
+            used.cast("bigint").alias("used"), F.lit(known).alias("known"),
+        )
 
-def _reference(df: DataFrame, check: Reference, parent: DataFrame) -> DataFrame:
-    per_key = key_usage(df, parent, check.column, check.parent_column, _scope(check.where))
-    totals = per_key.agg(
-        F.coalesce(F.sum(F.when(F.col("key").isNotNull() & ~F.col("known"), F.col("used"))), F.lit(0)).alias("bad"),
-        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"),
+    entries = [
+        entry(i, F.col(c.column), F.lit(1), _scope(c.where) & F.col(c.column).isNotNull(), False)
+        for i, c in enumerate(checks)
+    ]
+    rows = df.select(F.inline(F.array(*entries)))
+    for i, (check, side) in enumerate(zip(checks, sides)):
+        if side is not None:
+            key = F.col(side[1]).cast(types[check.column])
+            known = entry(i, key, F.lit(0), F.lit(False), True)
+            rows = rows.unionByName(side[0].select(F.inline(F.array(known))))
+    per_key = rows.groupBy("check", "key").agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("used").alias("used"), F.bool_or("known").alias("known")
     )
-    return totals.select(F.inline(F.array(_verdict(check, F.col("bad"), F.col("n_rows")))))
+    zero = F.lit(0).cast("bigint")
+    sums = []
+    for i, check in enumerate(checks):
+        own = F.col("check") == i
+        sums.append(F.coalesce(F.sum(F.when(own, F.col("n_rows"))), zero).alias(f"rows_{i}"))
+        if isinstance(check, Unique):
+            sums.append(F.count_if(own & (F.col("used") > 1)).alias(f"bad_{i}"))
+        else:
+            sums.append(F.coalesce(F.sum(F.when(own & ~F.col("known"), F.col("used"))), zero).alias(f"bad_{i}"))
+    totals = per_key.agg(*sums)
+    verdicts = [_verdict(c, F.col(f"bad_{i}"), F.col(f"rows_{i}")) for i, c in enumerate(checks)]
+    return totals.select(F.inline(F.array(*verdicts)))
 
 
 def run_checks(
     df: DataFrame, table: str, checks: Sequence[Check], parents: Mapping[str, DataFrame] | None = None
 ) -> DataFrame:
-    """Evaluate ``checks`` on ``df``: one row per check, see ``RESULT_COLUMNS``."""
-    by_row = [c for c in checks if isinstance(c, (NotNull, Accepted, Share, RowCount))]
+    """Evaluate ``checks`` on ``df``: one row per check, see ``RESULT_COLUMNS``; two scans at most."""
+    keyed = [c for c in checks if isinstance(c, (Unique, Reference))]
+    by_row = [c for c in checks if c not in keyed]
     parts = [_one_pass(df, by_row)] if by_row else []
-    for check in checks:
-        if isinstance(check, Unique):
-            parts.append(_unique(df, check))
-        elif isinstance(check, Reference):
-            parts.append(_reference(df, check, parents[check.parent]))
+    if keyed:
+        parts.append(_keyed(df, keyed, parents or {}))
     return reduce(DataFrame.unionByName, parts).withColumn("table_name", F.lit(table)).select(*RESULT_COLUMNS)
 
 
