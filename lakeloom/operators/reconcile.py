@@ -42,33 +42,41 @@ def table_summary(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def metric_differences(
-    a: DataFrame, b: DataFrame, metrics: Mapping[str, Column], by: Sequence[str] = (), tolerance: float = 0.0
+    a: DataFrame,
+    b: DataFrame,
+    metrics: Mapping[str, Column],
+    by: Sequence[str] = (),
+    tolerance: float = 1e-9,
 ) -> DataFrame:
-    """Metrics of both sides next to each other, one row per group and metric, and whether they agree.
+    """Metrics of both sides next to each other, one row per group: ``<metric>_a``, ``_b`` and ``_agrees``.
 
-    ``metrics`` are aggregate expressions.  Each side is aggregated first; what
-    meets are the groups, not the rows.  A group one side lacks shows NULL.
+    ``metrics`` are aggregate expressions.  Each side is aggregated first; what meets are the groups, not the rows.
+    A group one side lacks shows NULL.  Every metric keeps its type: whole numbers, decimals, texts and times agree if
+    they are equal, however large.  Floating-point numbers, whose sums depend on the order of rows, agree if they
+    differ by at most ``tolerance`` of the larger one.
     """
-    side = F.explode(
-        F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics])
-    )
     aggregates = [column.alias(name) for name, column in metrics.items()]
 
     def values(df: DataFrame, name: str) -> DataFrame:
-        return (
-            df.groupBy(*by).agg(*aggregates).select(*by, side.alias("m")).select(
-                *by, F.col("m.metric").alias("metric"), F.col("m.value").alias("value"), F.lit(name).alias("side")
-            )
-        )
+        return df.groupBy(*by).agg(*aggregates).select(F.lit(name).alias("side"), *by, *metrics)
 
     both = values(a, "a").unionByName(values(b, "b"))
-    paired = both.groupBy(*by, "metric").agg(
-        F.max(F.when(F.col("side") == "a", F.col("value"))).alias("value_a"),
-        F.max(F.when(F.col("side") == "b", F.col("value"))).alias("value_b"),
+    sides = [
+        F.max(F.when(F.col("side") == side, F.col(name))).alias(f"{name}_{side}") for name in metrics for side in "ab"
+    ]
+    paired = both.groupBy(*by).agg(*sides)
+    types = dict(paired.dtypes)
+
+    def agrees(name: str) -> Column:
+        left, right = F.col(f"{name}_a"), F.col(f"{name}_b")
+        if types[f"{name}_a"] not in ("float", "double"):
+            return left.eqNullSafe(right)
+        close = F.abs(left - right) <= tolerance * F.greatest(F.abs(left), F.abs(right))
+        return left.eqNullSafe(right) | F.coalesce(close, F.lit(False))
+
+    return paired.select(
+        *by, *[c for n in metrics for c in (F.col(f"{n}_a"), F.col(f"{n}_b"), agrees(n).alias(f"{n}_agrees"))]
     )
-    close = F.abs(F.col("value_a") - F.col("value_b")) <= tolerance
-    agree = F.coalesce(close, F.col("value_a").isNull() & F.col("value_b").isNull())
-    return paired.withColumn("agrees", agree)
 
 
 def orphan_summary(child: DataFrame, parent: DataFrame, key: str, parent_key: str) -> DataFrame:

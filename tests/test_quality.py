@@ -116,13 +116,29 @@ def test_metric_differences(spark, rows):
     b = spark.createDataFrame([(1, 15.0), (1, 15.0), (3, 1.0)], "g int, v double")
     metrics = {"n": F.count("*"), "mean": F.avg("v"), "top": F.max("v")}
     got = reconcile.metric_differences(a, b, metrics, by=["g"])
+    assert got.columns == ["g", "n_a", "n_b", "n_agrees", "mean_a", "mean_b", "mean_agrees", "top_a", "top_b", "top_agrees"]
     assert rows(got) == [
-        (1, "mean", 15.0, 15.0, True), (1, "n", 2.0, 2.0, True), (1, "top", 20.0, 15.0, False),
-        (2, "mean", 5.0, None, False), (2, "n", 1.0, None, False), (2, "top", 5.0, None, False),
-        (3, "mean", None, 1.0, False), (3, "n", None, 1.0, False), (3, "top", None, 1.0, False),
+        (1, 2, 2, True, 15.0, 15.0, True, 20.0, 15.0, False),
+        (2, 1, None, False, 5.0, None, False, 5.0, None, False),
+        (3, None, 1, False, None, 1.0, False, None, 1.0, False),
     ]
-    whole = reconcile.metric_differences(a, b, {"top": F.max("v")}, tolerance=5.0)
-    assert rows(whole) == [("top", 20.0, 15.0, True)]
+    whole = reconcile.metric_differences(a, b, {"top": F.max("v")}, tolerance=0.5)
+    assert rows(whole) == [(20.0, 15.0, True)]
+
+
+def test_metrics_keep_their_types(spark, rows):
+    a = spark.createDataFrame([(2**53 + 1, "x", None)], "n bigint, t string, d double")
+    b = spark.createDataFrame([(2**53, "x", None)], "n bigint, t string, d double")
+    metrics = {"n": F.sum("n"), "t": F.max("t"), "d": F.sum("d")}
+    got = reconcile.metric_differences(a, b, metrics)
+    assert rows(got) == [(2**53 + 1, 2**53, False, "x", "x", True, None, None, True)]
+
+
+def test_sums_of_doubles_in_another_order(spark, rows):
+    values = [(1e16,), (1.0,), (-1e16,), (0.1,), (0.2,), (3e5,)]
+    a = spark.createDataFrame(values[3:], "v double").coalesce(1)
+    b = spark.createDataFrame(values[3:][::-1], "v double").coalesce(1)
+    assert rows(reconcile.metric_differences(a, b, {"s": F.sum("v")}).select("s_agrees")) == [(True,)]
 
 
 def test_orphan_summary(spark, rows):
