@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,11 +34,11 @@ def read_text_csv(
     """Read a UTF-8 CSV with a header, all columns as strings, empty fields as NULL.
 
     Quotes inside a quoted field are doubled.  A record with too few or too
-    many fields fails the read, as does a folder of files whose headers differ
-    (not checked if a header is blank, which Spark names ``_c0``).  ``multiline`` tells whether a quoted field may
-    hold a line break: such a file cannot be split, so one task reads each
-    file.  ``None`` finds out first with one parallel pass over the lines and
-    reads the file split whenever that is right.
+    many fields fails the read, as does a folder of files whose headers differ.
+    ``multiline`` tells whether a quoted field may hold a line break: such a
+    file cannot be split, so one task reads each file.  ``None`` finds out
+    first with one parallel pass over the lines and reads the file split
+    whenever that is right.
     """
     if multiline is None:
         multiline = not records_are_lines(spark, path, separator)
@@ -54,13 +52,28 @@ def read_text_csv(
         .option("mode", "FAILFAST")
     )
     df = reader.csv(path)
-    named_by_files = not any(re.fullmatch(r"_c\d+", name) for name in df.columns)
-    if named_by_files and len(df.inputFiles()) > 1:
+    if len(df.inputFiles()) > 1:
         # Fields go by position, so every file has to have the first one's header.
-        df = reader.option("enforceSchema", False).schema(df.schema).csv(path)
+        headers = file_headers(spark, path)
+        if len(headers) > 1:
+            raise ValueError(f"files under {path} have different headers: {sorted(headers)[:3]}")
     return df
 
 
+def file_headers(spark: SparkSession, path: str) -> list[str]:
+    """The distinct first lines of the files under ``path``, two of them at most.
+
+    Only the first block of a file is looked at.  Files without a line have no header.
+    """
+    first_blocks = spark.read.text(path).where(F.col("_metadata.file_block_start") == 0)
+    lines = first_blocks.select(F.col("_metadata.file_path").alias("file"), "value").withColumn(
+        "line", F.monotonically_increasing_id()
+    )
+    heads = lines.groupBy("file").agg(F.min(F.struct("line", "value")).alias("head"))
+    header = F.regexp_replace("head.value", "^\ufeff|\r$", "")
+    return [row[0] for row in heads.select(header.alias("header")).distinct().limit(2).collect()]
+
+
 def write_text_csv(df: DataFrame, path: str) -> None:
     """Write all columns as text in the dialect ``read_text_csv`` reads."""
     text = df.select(*[F.col(f"`{name}`").cast("string").alias(name) for name in df.columns])

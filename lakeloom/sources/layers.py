@@ -1,4 +1,4 @@
-"""Layered Parquet storage: ``{root}/{layer}/{table}.parquet``."""
+"""Layered storage: ``{root}/{layer}/{table}.{format}``, Parquet unless told otherwise."""
 
 from __future__ import annotations
 
@@ -29,18 +29,20 @@ class Lake:
 
     ``sources`` maps a logical name to a path below ``{root}/source``; a name
     not listed lies at ``{root}/source/{name}.csv``.  Two environments differ
-    only in their ``root``.
+    only in their ``root``.  ``format`` is the suffix and the storage format of
+    all tables, one that Spark can write and read.
     """
 
     root: str
     sources: Mapping[str, str] = field(default_factory=dict)
+    format: str = "parquet"
 
     def source_path(self, name: str) -> str:
         return f"{self.root}/source/{self.sources.get(name, name + '.csv')}"
 
     def table_path(self, layer: str | None, table: str, partitioned: bool = False) -> str:
         """Path of a table; a partitioned table is a folder without the suffix."""
-        suffix = "" if partitioned else ".parquet"
+        suffix = "" if partitioned else f".{self.format}"
         return f"{self.root}/{layer_name(layer)}/{table}{suffix}"
 
     def read_source(self, spark: SparkSession, name: str, multiline: bool | None = None) -> DataFrame:
@@ -72,9 +74,9 @@ class Lake:
         if partition_by:
             if rebalance:
                 df = df.hint("rebalance", *partition_by)
-            df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+            df.write.format(self.format).mode("overwrite").partitionBy(*partition_by).save(path)
         else:
-            df.write.mode("overwrite").parquet(path)
+            df.write.format(self.format).mode("overwrite").save(path)
         return path
 
     def read(
@@ -87,7 +89,7 @@ class Lake:
     ) -> DataFrame:
         """Read a table; ``schema`` also fixes the types of partition columns."""
         reader = spark.read if schema is None else spark.read.schema(schema)
-        df = reader.parquet(self.table_path(layer, table, partitioned))
+        df = reader.format(self.format).load(self.table_path(layer, table, partitioned))
         # Partition columns come last from storage; keep the declared order.
         return df if schema is None else df.select(*[f"`{name}`" for name in _struct(schema).names])
 
@@ -109,5 +111,7 @@ def require_schema(df: DataFrame, schema: T.StructType | str) -> None:
 
 
 def sql_over_files(spark: SparkSession, query: str, **paths: str) -> DataFrame:
-    """Run SQL straight over Parquet paths: ``{name}`` in ``query`` stands for a path."""
-    return spark.sql(query.format(**{name: f"parquet.`{path}`" for name, path in paths.items()}))
+    """Run SQL straight over Parquet paths: ``{name}`` in ``query`` stands for a path; other braces stay."""
+    for name, path in paths.items():
+        query = query.replace("{" + name + "}", "parquet.`" + path.replace("`", "``") + "`")
+    return spark.sql(query)

@@ -4,7 +4,8 @@ from pathlib import Path
 
 import pytest
 
-import __spark_entry__ as contract
+import __spark_entry__  # noqa: F401  registers all queries
+from catalogue.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -15,12 +16,19 @@ FORBIDDEN = (
 )
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_plan(spark, name):
-    plan = contract.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert [word for word in FORBIDDEN if word in plan] == []
 
 
+def test_one_partition_is_read(spark):
+    from catalogue.sources import partition_pruning
+
+    plan = pushed(spark, partition_pruning(spark, SF_DIR))
+    assert "PartitionFilters: [isnotnull(order_year" in plan and "(order_year" in plan.split("PartitionFilters")[1]
+
+
 def pushed(spark, df):
     return df._jdf.queryExecution().executedPlan().toString()
 

@@ -70,6 +70,9 @@ def test_files_with_a_blank_header(spark, tmp_path, rows, multiline):
     put(tmp_path / "2.csv", ",a\n2,y\n")
     df = read_text_csv(spark, str(tmp_path), multiline)
     assert df.columns == ["_c0", "a"] and rows(df) == [("1", "x"), ("2", "y")]
+    put(tmp_path / "3.csv", "a,\nz,3\n")  # the same columns in another order
+    with pytest.raises(ValueError, match="different headers"):
+        read_text_csv(spark, str(tmp_path), multiline)
 
 
 def test_split_and_unsplit_reads_agree(spark, tmp_path, rows):
