@@ -17,7 +17,10 @@ Step = Callable[[Column], Column]
 
 _INTEGRAL = ("tinyint", "smallint", "int", "integer", "bigint")
 _WHOLE = r"^\s*[+-]?[0-9]+\s*$"
+_HEX = r"^\s*0[xX][0-9a-fA-F]{1,15}\s*$"
+_GROUPED = r"^\s*[+-]?[0-9]+(?:_[0-9]+)+(?:\.[0-9]+)?\s*$"
 _DECIMAL = r"^\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*$"
+_FLOATING = r"(?i)^\s*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?|inf|infinity|nan)\s*$"
 _CALENDAR = ("date", "timestamp", "timestamp_ntz")
 
 
@@ -31,8 +34,16 @@ def _try(column: Column, to: str, mostly_good: bool = False) -> Column:
     if to in _INTEGRAL:
         # '12.5' and '1e3' are numbers too: they round, halves away from zero.
         rounded = F.round(column.try_cast("decimal(38,18)"), 0).try_cast(to)
-        fraction = F.when(column.rlike(_DECIMAL), rounded)
-        return F.coalesce(direct, fraction) if mostly_good else F.when(column.rlike(_WHOLE), direct).otherwise(fraction)
+        # Digits may be grouped by underscores, and '0x1A' is a number.
+        plain = F.replace(column.cast("string"), F.lit("_"), F.lit(""))
+        grouped = F.round(plain.try_cast("decimal(38,18)"), 0).try_cast(to)
+        hexadecimal = F.conv(F.substring(F.trim(column.cast("string")), 3, 15), 16, 10).try_cast(to)
+        other = (
+            F.when(column.rlike(_DECIMAL), rounded)
+            .when(column.rlike(_GROUPED), grouped)
+            .when(column.rlike(_HEX), hexadecimal)
+        )
+        return F.coalesce(direct, other) if mostly_good else F.when(column.rlike(_WHOLE), direct).otherwise(other)
     if to in _CALENDAR:
         # A year, a month, or an hour without minutes is no point in time.
         # Slashes may stand for dashes.
@@ -40,10 +51,11 @@ def _try(column: Column, to: str, mostly_good: bool = False) -> Column:
         whole = (F.length(text) >= 8) & (F.contains(text, F.lit(":")) | ~F.contains(text, F.lit(" ")))
         return F.when(whole, F.coalesce(direct, F.replace(text, F.lit("/"), F.lit("-")).try_cast(to)))
     if to == "double":
-        # '1d' and '1f' are literals of a programming language, 'inf' is a number.
-        text = F.trim(column.cast("string"))
-        suffixed = F.lower(F.right(text, F.lit(1))).isin("d", "f") & (F.lower(F.right(text, F.lit(3))) != "inf")
-        return F.when(~suffixed, direct)
+        # A literal of a programming language such as '1d' or '0x1p3' is no number, 'inf' is one.  The pattern also
+        # spares the slow refusal of other texts.
+        text = column.cast("string")
+        grouped = F.replace(text, F.lit("_"), F.lit("")).try_cast(to)
+        return F.when(text.rlike(_FLOATING), direct).when(text.rlike(_GROUPED), grouped)
     return direct
 
 
