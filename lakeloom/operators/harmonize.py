@@ -46,11 +46,22 @@ def union_vintages(vintages: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, vintages)
 
 
+# One key of so many is looked at to judge how many rows share theirs, and beyond this share of such rows a plain
+# distinct is the better plan.
+JUDGED_KEYS = 64
+REPEATED_SHARE = 0.05
 # Up to this many repeated keys go into the plan as values, which the Parquet
 # scan can use to skip row groups.
 LISTED_KEYS = 1000
 
 
+def repeated_share(df: DataFrame, key: str) -> float:
+    """The share of rows whose key is repeated, among the rows of every JUDGED_KEYS-th key."""
+    judged = df.where(F.pmod(F.xxhash64(key), F.lit(JUDGED_KEYS)) == 0).groupBy(key).count()
+    row = judged.agg(F.sum("count").alias("n"), F.sum(F.when(F.col("count") > 1, F.col("count"))).alias("m")).first()
+    return (row["m"] or 0) / row["n"] if row["n"] else 0.0
+
+
 def drop_copies(df: DataFrame, key: str | None = None) -> DataFrame:
     """Keep one of each group of rows that agree in every column.
 
@@ -58,11 +69,13 @@ def drop_copies(df: DataFrame, key: str | None = None) -> DataFrame:
     a ``key`` that is nearly always unique only the keys are shuffled: rows
     whose key occurs once cannot have a copy and pass through untouched, and
     the distinct runs over the rest.  Rows that share the key but differ
-    elsewhere all stay; NULL counts as a key.  The repeated keys are listed in
-    the plan if they are few and sent to all tasks if their measured size
-    allows it; otherwise the plain distinct runs.
+    elsewhere all stay; NULL counts as a key.  A small share of the keys is
+    counted first: where many rows share theirs, the plain distinct runs at
+    once.  The repeated keys are listed in the plan if they are few and sent to
+    all tasks if their measured size allows it; otherwise the plain distinct
+    runs.  The rows that result are the same by any of these ways.
     """
-    if key is None:
+    if key is None or repeated_share(df, key) > REPEATED_SHARE:
         return df.distinct()
     repeated = materialize(df.groupBy(key).count().where(F.col("count") > 1).select(key), "repeated-keys")
     n_repeated = repeated.count()

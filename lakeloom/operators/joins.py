@@ -13,8 +13,10 @@ from pyspark.sql import types as T
 BROADCAST_BYTES = 32 * 1024 * 1024
 # A key is hot when its rows would fill this many average shuffle partitions.
 HOT_FACTOR = 2
-# Rows looked at per shuffle partition to find hot keys.
-ROWS_JUDGED_PER_PARTITION = 10_000
+# Share of the rows looked at to find hot keys.
+JUDGED_SHARE = 0.1
+# Parts over which the rows of hot keys are dealt if the registry repeats those keys.
+SALTS = 16
 
 # Types whose values take one word of a row in memory.
 _ONE_WORD = (
@@ -51,17 +53,15 @@ def hot_keys(df: DataFrame, key: str, factor: int = HOT_FACTOR) -> list:
     """Values of ``key`` (NULL among them) too frequent for one shuffle partition.
 
     At most ``partitions / factor`` values can hold that large a share, so that
-    many of the most frequent ones are all that has to come back.  A frame of
-    very many rows is judged by a sample large enough to hold hundreds of rows
-    of any such value: counting every key exactly would shuffle about as much
-    as the join.  The answer decides how rows are joined, never whether.
+    many of the most frequent ones are all that has to come back.  One pass
+    over a fixed share of the rows counts both the rows and the keys; such
+    frequent values show in any sample.  The answer decides how rows are
+    joined, never whether.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     at_most = max(1, math.ceil(partitions / factor))
-    n_rows = df.count()
-    enough = ROWS_JUDGED_PER_PARTITION * partitions
-    judged = df.select(key) if n_rows <= enough else df.select(key).sample(enough / n_rows, seed=17)
     seen = Observation()
+    judged = df.select(key).sample(JUDGED_SHARE, seed=17)
     counts = judged.observe(seen, F.count(F.lit(1)).alias("rows")).groupBy(key).agg(F.count("*").alias("n"))
     top = counts.orderBy(F.desc("n")).limit(at_most).collect()
     threshold = factor * seen.get["rows"] / partitions if top else 0
@@ -74,8 +74,11 @@ def left_lookup(fact: DataFrame, registry: DataFrame, key: str, limit: int = BRO
     A registry measured as small goes to every task and the fact is not
     shuffled.  Otherwise both sides shuffle on the key, except the fact rows of
     hot and NULL keys: those stay where they are and meet only the registry
-    rows of the hot keys, whose size is measured too.  All rows are kept; a
-    registry that repeats a key multiplies fact rows, as any join does.
+    rows of the hot keys, whose size is measured too.  If these are many, as
+    when the registry repeats a hot key, the hot rows of the fact are dealt
+    over SALTS parts and each part meets all of them; NULLs still stay.  All
+    rows are kept; a registry that repeats a key multiplies fact rows, as any
+    join does.
     """
     if fits_broadcast(registry, limit):
         return fact.join(F.broadcast(registry), key, "left")
@@ -86,14 +89,15 @@ def left_lookup(fact: DataFrame, registry: DataFrame, key: str, limit: int = BRO
     column = F.col(key)
     is_hot = column.isin(named) if named else F.lit(False)
     hot_registry = registry.where(is_hot)
-    if not fits_broadcast(hot_registry, limit):
-        # Only a registry full of repeats of a hot key gets here; the runtime
-        # skew handling of the sort-merge join splits what it can.
-        return fact.join(registry, key, "left")
-    is_cold = column.isNotNull() & ~is_hot
-    cold = fact.where(is_cold).join(registry, key, "left")
-    held = fact.where(column.isNull() | is_hot).join(F.broadcast(hot_registry), key, "left")
-    return cold.unionByName(held)
+    cold = fact.where(column.isNotNull() & ~is_hot).join(registry, key, "left")
+    if fits_broadcast(hot_registry, limit):
+        held = fact.where(column.isNull() | is_hot).join(F.broadcast(hot_registry), key, "left")
+        return cold.unionByName(held)
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    dealt = fact.where(is_hot).withColumn("__salt", F.floor(F.rand(17) * SALTS).cast("int"))
+    split = dealt.join(hot_registry.withColumn("__salt", salts), [key, "__salt"], "left").drop("__salt")
+    unknown = fact.where(column.isNull()).join(F.broadcast(registry.where(F.lit(False))), key, "left")
+    return cold.unionByName(split).unionByName(unknown)
 
 
 def lookup_key(

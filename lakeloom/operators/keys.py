@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from lakeloom.operators.joins import BROADCAST_BYTES
 from lakeloom.session import materialize
 
+# A frame of so many rows at most is numbered in one task.
+FEW_ROWS = 100_000
 # monotonically_increasing_id() holds the partition above bit 33 and the row's
 # position within the partition below it.
 _POSITION_BITS = 33
@@ -24,9 +26,15 @@ def dense_key(df: DataFrame, order: Sequence[Column | str] = (), name: str = "id
     it adds to its positions.  Without ``order`` rows are numbered as they lie
     and none is moved.  With it the frame is range-partitioned and sorted
     first; ``order`` should then identify a row, as a table's grain does: no
-    range can be hot, and the numbering is the same on every run.
+    range can be hot, and the numbering is the same on every run.  Frames of
+    few rows, as dimensions are, are written, counted, and then numbered in
+    one task, without sampling for ranges.
     """
     if order:
+        df = materialize(df, "unnumbered")
+        if df.limit(FEW_ROWS + 1).count() <= FEW_ROWS:
+            one = df.coalesce(1).sortWithinPartitions(*order)
+            return one.select((F.monotonically_increasing_id() + 1).alias(name), *[F.col(f"`{c}`") for c in df.columns])
         df = df.repartitionByRange(*order).sortWithinPartitions(*order)
     spot = df.withColumn("__spot", F.monotonically_increasing_id())
     placed = materialize(spot, "numbered")

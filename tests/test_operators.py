@@ -32,13 +32,13 @@ def test_hot_keys(spark, skewed):
 
 
 def test_hot_keys_of_a_sample(skewed, monkeypatch):
-    monkeypatch.setattr(joins, "ROWS_JUDGED_PER_PARTITION", 250)
+    monkeypatch.setattr(joins, "JUDGED_SHARE", 0.02)
     assert set(joins.hot_keys(skewed, "k")) == {7, None}
 
 
-@pytest.mark.parametrize("judged", [1, 10_000])
+@pytest.mark.parametrize("judged", [0.0001, 1.0])
 def test_rows_stay_whole_whatever_the_sample(skewed, registry, rows, monkeypatch, judged):
-    monkeypatch.setattr(joins, "ROWS_JUDGED_PER_PARTITION", judged)
+    monkeypatch.setattr(joins, "JUDGED_SHARE", judged)
     got = joins.left_lookup(skewed, registry, "k", 4000).select("row", "k", "name")
     assert rows(got) == rows(skewed.join(registry, "k", "left").select("row", "k", "name"))
 
@@ -71,6 +71,14 @@ def test_left_lookup_with_repeated_registry_keys(skewed, registry, rows):
         assert rows(got) == rows(skewed.join(doubled, "k", "left").select("row", "k", "name"))
 
 
+def test_hot_keys_that_a_registry_repeats_are_dealt(spark, skewed, registry, rows):
+    """NULL rows stay where they are, and the hot key's rows spread over parts."""
+    repeated = registry.union(registry.where("k = 7").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(30)))).drop("n"))
+    split = joins.left_lookup(skewed, repeated, "k", 100).select("row", "k", "name")
+    assert "__salt" in split._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(split) == rows(skewed.join(repeated, "k", "left").select("row", "k", "name"))
+
+
 def test_lookup_key_null_safe(spark, rows):
     dim = spark.createDataFrame([(1, "F", "a"), (2, None, "a"), (3, None, "none")], "id bigint, g string, b string")
     fact = spark.createDataFrame(
