@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeloom.llm.arrow import map_batches, utf8
+from lakeloom.llm.bitmap import marked_in
 from lakeloom.llm.mix_sources import POSITION_BITS
 from lakeloom.session import materialize
 
@@ -202,56 +203,56 @@ def _segments_shared(path: str, other: str) -> int:
 def extract_text(
     pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html"
 ) -> DataFrame:
-    """One row per page: page_id, url, text (blocks joined by two line ends, "" if none), n_chars, n_shared.
+    """One row per page: page_id, url, text (blocks joined by two line ends, "" if none), n_chars, n_deleted.
 
     Menus, headers, footers, sidebars, notices, adverts, forms, comments of readers and hidden parts are known by
     element, role, class or id and go first, scripts, styles and markup as well.  Every page is then aligned, line by
     line, with the page next to it: of the neighbours by path within the host, the one that shares more path segments,
     the earlier one if both do.  Lines of a longest common subsequence of the two are taken for the site's and deleted,
     except in an article or main element, whose text stays whole though other pages may hold it too.  A page with
-    such an element gives only what stands in it.  ``n_shared`` counts the lines aligned.
+    such an element gives only what stands in it.  ``n_deleted`` counts the lines deleted as shared.
 
-    A NULL or empty page has text "".  A NULL address belongs to a host of its own.  Rows that repeat an id have a row
-    each.  Other columns are ignored; an empty table gives no rows.
+    A NULL or empty page has text "".  A NULL address belongs to a host of its own.  Rows that repeat a page are its
+    neighbours, like any other page; all of them give the same text.  Other columns are ignored; an empty table gives
+    no rows.
 
-    Pages are parsed once and written.  Their order by host, path and id is made over line hashes only, range by range,
-    so that a host with many pages spreads over many tasks, and neighbours are found by position.
+    The order by host, path and id is made over line hashes only, range by range, so that a host with many pages
+    spreads over many tasks, and neighbours are found by position.  Pages are read again for their text, and only
+    those that lose lines are moved for it.
     """
-    url = F.col(f"`{url_col}`")
     rows = pages.select(
-        F.col(f"`{id_col}`").cast("long").alias("page_id"), url.alias("url"), F.col(f"`{html_col}`").alias("html")
+        F.col(f"`{id_col}`").cast("long").alias("page_id"),
+        F.col(f"`{url_col}`").alias("url"),
+        F.col(f"`{html_col}`").alias("html"),
     )
+    # What a page is known by: rows that agree in it are equal.
+    rows = rows.select("*", F.xxhash64(F.coalesce("page_id", F.lit(0)), "url", "html").alias("page"))
 
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    def hash_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            texts, levels, hashes = [], [], []
+            bare, hashes = [], []
             for html in utf8(batch.column(2)):
                 lines = page_lines(html.decode("utf-8", "replace"))
-                texts.append([text for text, _ in lines])
-                levels.append([level for _, level in lines])
+                bare.append(not any(level > ELSEWHERE for _, level in lines))
                 hashes.append([xxhash.xxh3_64_intdigest(text) >> 1 for text, _ in lines])
             yield {
-                "page_id": batch.column(0),
-                "url": batch.column(1),
-                "texts": texts,
-                "levels": levels,
+                "page_id": batch.column(0), "url": batch.column(1), "page": batch.column(3), "bare": bare,
                 "hashes": hashes,
-            }
+            }
 
-    schema = "page_id long, url string, texts array<string>, levels array<long>, hashes array<long>"
-    parsed = materialize(
-        map_batches(rows, parse, schema).withColumn("row", F.monotonically_increasing_id()), "lines"
-    )
+    schema = "page_id long, url string, page long, bare boolean, hashes array<long>"
+    hashed = materialize(map_batches(rows, hash_lines, schema), "lines")
     # Scheme, host and path of an address.
     parts = r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)([^?#]*)"
-    keyed = parsed.select(
-        "row",
+    keyed = hashed.select(
+        "page",
         "page_id",
+        "bare",
         "hashes",
-        F.lower(F.regexp_extract("url", parts, 1)).alias("host"),
-        F.regexp_extract("url", parts, 2).alias("path"),
+        F.coalesce(F.lower(F.regexp_extract("url", parts, 1)), F.lit("")).alias("host"),
+        F.coalesce(F.regexp_extract("url", parts, 2), F.lit("")).alias("path"),
     )
-    order = ["host", "path", "page_id", "row"]
+    order = ["host", "path", "page_id", "page"]
     spot = F.monotonically_increasing_id()
     placed = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
     placed = materialize(
@@ -265,7 +266,7 @@ def extract_text(
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
     numbered = placed.join(F.broadcast(starts), "part").select(
-        "row", "host", "path", "hashes", (F.col("start") + F.col("position")).alias("at")
+        "page_id", "page", "bare", "host", "path", "hashes", (F.col("start") + F.col("position")).alias("at")
     )
     numbered = materialize(numbered, "numbered")
 
@@ -277,32 +278,39 @@ def extract_text(
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            found = []
+            out: dict = {"page_id": [], "page": [], "shared": []}
             for page in batch.to_pylist():
                 near = [p for p in (page["previous"], page["following"]) if p and p["host"] == page["host"]]
                 partner = max(near, key=lambda p: _segments_shared(page["path"], p["path"]), default=None)
-                found.append(common_subsequence(page["hashes"], partner["hashes"]) if partner else [])
-            yield {"row": batch.column("row"), "shared": found}
-
-    aligned = materialize(map_batches(paired, align, "row long, shared array<long>"), "aligned")
-    joined = parsed.drop("hashes").join(aligned, "row")
+                shared = common_subsequence(page["hashes"], partner["hashes"]) if partner else []
+                if shared and page["bare"]:
+                    out["page_id"].append(page["page_id"])
+                    out["page"].append(page["page"])
+                    out["shared"].append(shared)
+            yield out
+
+    aligned = map_batches(paired, align, "page_id long, page long, shared array<long>")
+    # Repeated rows of a page have other neighbours; the largest list of lines holds for all of them.
+    aligned = materialize(aligned.groupBy("page").agg(F.max("shared").alias("shared")), "aligned")
+    pages_marked = marked_in(rows, aligned, "page")
+    losing = pages_marked.where("__maybe").join(aligned, "page", "left").select("page_id", "url", "html", "shared")
+    others = pages_marked.where("not __maybe").select(
+        "page_id", "url", "html", F.lit(None).cast("array<long>").alias("shared")
+    )
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            out, sizes, shared = [], [], []
-            for page in batch.select(["texts", "levels", "shared"]).to_pylist():
-                top, gone = max(page["levels"], default=0), set(page["shared"])
-                kept = [
-                    text
-                    for n, (text, level) in enumerate(zip(page["texts"], page["levels"]))
-                    if level == top and (level > ELSEWHERE or n not in gone)
-                ]
-                out.append("\n\n".join(kept))
-                sizes.append(len(out[-1]))
-                shared.append(len(gone))
+            texts, deleted = [], []
+            for html, gone in zip(utf8(batch.column(2)), batch.column(3).to_pylist()):
+                lines, gone = page_lines(html.decode("utf-8", "replace")), set(gone or ())
+                top = max((level for _, level in lines), default=ELSEWHERE)
+                kept = [text for n, (text, level) in enumerate(lines) if level == top and n not in gone]
+                texts.append("\n\n".join(kept))
+                deleted.append(len(gone))
             yield {
-                "page_id": batch.column("page_id"), "url": batch.column("url"), "text": out, "n_chars": sizes,
-                "n_shared": shared,
+                "page_id": batch.column(0), "url": batch.column(1), "text": texts, "n_chars": list(map(len, texts)),
+                "n_deleted": deleted,
             }
 
-    return map_batches(joined, assemble, "page_id long, url string, text string, n_chars long, n_shared long")
+    schema = "page_id long, url string, text string, n_chars long, n_deleted long"
+    return map_batches(losing.unionByName(others), assemble, schema)
