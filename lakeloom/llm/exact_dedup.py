@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeloom.llm.bitmap import maybe_in, without
 from lakeloom.session import materialize
 
 # The characters deleted before texts are compared: U+0020 and U+0009 to U+000D.
@@ -19,26 +20,6 @@ def normalised(text: Column) -> Column:
     return text
 
 
-# Hashes are looked for in a bitmap of so many bits, 4 MiB, before texts are shuffled.
-BITS = 1 << 25
-
-
-def maybe_in(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """The rows of ``rows`` whose key may be in ``keys``: all that are, and few others while keys are few.
-
-    The keys are marked in a bitmap of fixed size, which is all that is broadcast, whatever the number of keys.
-    """
-    spot = F.pmod(F.xxhash64(key), F.lit(BITS)) + 1
-    bitmap = keys.select(spot.alias("spot")).groupBy(F.bitmap_bucket_number("spot").alias("bucket"))
-    bitmap = bitmap.agg(F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits"))
-    found = rows.withColumn("spot", spot).withColumn("bucket", F.bitmap_bucket_number("spot"))
-    found = found.join(F.broadcast(bitmap), "bucket")
-    at = F.bitmap_bit_position("spot")
-    byte = F.conv(F.hex(F.substring("bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    bit = F.expr("shiftright(byte, cast(bitmap_bit_position(spot) % 8 as int)) & 1")
-    return found.withColumn("byte", byte).where(bit == 1).select(*rows.columns)
-
-
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -97,13 +78,13 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     key = [F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__digest")]
     text = F.col(f"`{text_col}`")
     own = docs.withColumn("__own", F.sha2(normalised(text), 256))
-    same = F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__digest"))
     dropped = materialize(report.where("not kept").select(*key).distinct(), "dropped")
-    kept = own.join(dropped, same, "left_anti")
+    kept = without(own, dropped, __id=id_col, __digest="__own")
     again = report.where("kept").groupBy(*key).count().where("count > 1").drop("count")
     again = materialize(again, "again")
     if again.isEmpty():
         return kept.select(*docs.columns)
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__digest"))
     place = F.row_number().over(Window.partitionBy(f"`{id_col}`", "__own").orderBy(F.length(text).desc(), text))
     once = kept.join(again, same, "left_semi").withColumn("__place", place).where("__place = 1").drop("__place")
     return kept.join(again, same, "left_anti").unionByName(once).select(*docs.columns)

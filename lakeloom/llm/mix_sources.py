@@ -120,7 +120,8 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
         F.sum("copies").alias("__copies"), F.count("*").alias("__n")
     )
     copies = materialize(copies.where("__copies > 0"), "copies")
-    rows = docs.join(copies, docs[id_col].eqNullSafe(copies["__id"]))
+    # Nearly all documents have copies, so their texts move once to meet them, at any size.
+    rows = docs.join(copies.hint("merge"), F.col(f"`{id_col}`").eqNullSafe(F.col("__id")))
     shared = rows.where("__n > 1")
     place = F.row_number().over(Window.partitionBy("__id").orderBy(F.xxhash64(*docs.columns)))
     own = F.floor(F.col("__copies") / F.col("__n")) + F.when(place <= F.col("__copies") % F.col("__n"), 1).otherwise(0)

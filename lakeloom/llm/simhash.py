@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm.arrow import map_batches, utf8
+from lakeloom.llm.bitmap import without
 from lakeloom.llm.components import components
 from lakeloom.session import materialize
 
@@ -181,5 +182,5 @@ def drop_near_copies(
 ) -> DataFrame:
     """The rows of ``docs`` whose id names their component, with all their columns."""
     report = simhash_groups(docs, shingle, distance, id_col, text_col)
-    dropped = materialize(report.where("not (doc_id <=> component_id)").select("doc_id"), "dropped")
-    return docs.join(dropped, docs[id_col].eqNullSafe(dropped["doc_id"]), "left_anti")
+    dropped = report.where("not (doc_id <=> component_id)").select(F.col("doc_id").alias("__id"))
+    return without(docs, materialize(dropped.distinct(), "dropped"), __id=id_col)

@@ -3,6 +3,7 @@ import hashlib
 from pyspark.sql import functions as F
 
 from lakeloom.llm import exact_dedup as module
+from lakeloom.llm.bitmap import maybe_in
 from lakeloom.llm.exact_dedup import drop_copies, exact_dedup
 
 
@@ -42,7 +43,7 @@ def test_collisions_are_told_apart(spark, monkeypatch):
 def test_bitmap_passes_all_keys(spark):
     rows = spark.range(2000).withColumn("k", F.md5(F.col("id").cast("string")))
     keys = rows.where("id % 7 = 0").select("k")
-    found = {r.id for r in module.maybe_in(rows, keys, "k").collect()}
+    found = {r.id for r in maybe_in(rows, keys, "k").collect()}
     assert {i for i in range(2000) if i % 7 == 0} <= found and len(found) < 400
 
 
