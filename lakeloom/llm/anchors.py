@@ -23,6 +23,9 @@ def scramble(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
+LETTERS = scramble(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASES[0]))
+
+
 class Powers:
     """Powers of an odd base and of its inverse, modulo 2**64, as many as were asked for."""
 
@@ -60,8 +63,7 @@ class Runs:
     at: np.ndarray
     lo: np.ndarray
     hi: np.ndarray
-    first: np.ndarray  # 128-bit hash of the tokens of all the run's windows
-    second: np.ndarray
+    sig: np.ndarray  # hash of the tokens of all the run's windows
 
 
 class Winnower:
@@ -73,13 +75,12 @@ class Winnower:
     def __init__(self, length: int, gram: int) -> None:
         self.length, self.gram = length, gram
         self.one, self.two = (Powers(base) for base in BASES)
-        self.letters = scramble(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASES[0]))
 
     def bytes(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Each byte as a token: its hash, first byte and last byte + 1."""
         raw = np.frombuffer(text, dtype=np.uint8)
         place = np.arange(len(raw) + 1)
-        return self.letters[raw], place[:-1], place[1:]
+        return LETTERS[raw], place[:-1], place[1:]
 
     def words(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Each word between white space as a token."""
@@ -88,7 +89,7 @@ class Winnower:
         inside[1:-1] = ~SPACE[raw]
         edges = np.flatnonzero(inside[1:] != inside[:-1])
         starts, ends = edges[::2], edges[1::2]
-        prefix = self.one.prefix(self.letters[raw])
+        prefix = self.one.prefix(LETTERS[raw])
         sizes = (ends - starts).astype(np.uint64)
         return scramble(self.one.spans(prefix, starts, ends) + sizes * np.uint64(BASES[1])), starts, ends
 
@@ -114,12 +115,5 @@ class Winnower:
         lo = np.flatnonzero(np.r_[True, chosen[1:] != chosen[:-1]])
         hi = np.r_[lo[1:], len(chosen)] - 1
         at, ends = chosen[lo], hi + self.length
-        other = self.two.prefix(tokens)
-        return Runs(
-            grams[at],
-            at + offset,
-            lo + offset,
-            hi + offset,
-            scramble(self.one.spans(prefix, lo, ends) + ends.astype(np.uint64) - lo.astype(np.uint64)),
-            scramble(self.two.spans(other, lo, ends)),
-        )
+        sig = scramble(self.one.spans(prefix, lo, ends) + ends.astype(np.uint64) - lo.astype(np.uint64))
+        return Runs(grams[at], at + offset, lo + offset, hi + offset, sig)

@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 
 from lakeloom.llm.anchors import Winnower
 from lakeloom.llm.arrow import map_batches, utf8
+from lakeloom.llm.bitmap import marked_in, maybe_in
 from lakeloom.session import materialize
 
 # Stands for a NULL id: it orders before all others.
 NO_ID = -(1 << 63)
+# No text has so many tokens.
+PLACES = 1 << 40
 
 
 @dataclass(frozen=True)
@@ -35,12 +38,11 @@ class Units:
         winnower = Winnower(self.length, self.gram)
         return winnower, getattr(winnower, self.tokens)
 
-    def later(self, first: str) -> Column:
-        """Whether a row (doc, at) comes after the struct column ``first``."""
-        after = F.col("doc") > F.col(f"{first}.doc")
-        if self.inside:
-            after = after | ((F.col("doc") == F.col(f"{first}.doc")) & (F.col("at") > F.col(f"{first}.at")))
-        return after
+    def place(self) -> Column:
+        """Number by which occurrences (doc, at) are ordered, the earlier the smaller."""
+        if not self.inside:
+            return F.col("doc")
+        return F.col("doc").cast("decimal(20,0)") * F.lit(PLACES).cast("decimal(14,0)") + F.col("at")
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -51,100 +53,93 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def anchors(texts: DataFrame, units: Units) -> DataFrame:
-    """(hash, sig, doc, th) of every anchor; ``sig`` is a hash of what surrounds it."""
+    """Every anchor: (hash, sig, doc, th, at, back, ahead).
+
+    The windows that chose the anchor at token ``at`` start from ``back`` tokens before it up to ``ahead`` after it;
+    ``sig`` is a hash of all their tokens.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         winnower, cut = units.winnower()
         for batch in batches:
-            rows, hashes, sigs = [], [np.empty(0, np.uint64)], [np.empty(0, np.uint64)]
+            parts: list[list[np.ndarray]] = [[np.empty(0, np.int64)] for _ in range(6)]
             for row, text in enumerate(utf8(batch.column(2))):
                 for runs in winnower.runs(cut(text)[0]):
-                    rows.append(np.full(len(runs.hash), row))
-                    hashes.append(runs.hash)
-                    sigs.append(runs.first)
-            at = pa.array(np.concatenate(rows) if rows else np.empty(0, np.int64))
+                    own = (
+                        runs.hash.view(np.int64), runs.sig.view(np.int64), np.full(len(runs.hash), row),
+                        runs.at, runs.at - runs.lo, runs.hi - runs.at,
+                    )
+                    for part, values in zip(parts, own):
+                        part.append(values)
+            hashes, sigs, rows, at, back, ahead = (np.concatenate(part) for part in parts)
+            taken = pa.array(rows)
             yield {
-                "hash": np.concatenate(hashes).view(np.int64),
-                "sig": np.concatenate(sigs).view(np.int64),
-                "doc": batch.column(0).take(at),
-                "th": batch.column(1).take(at),
-            }
+                "hash": hashes, "sig": sigs, "doc": batch.column(0).take(taken), "th": batch.column(1).take(taken),
+                "at": at, "back": back.astype(np.int32), "ahead": ahead.astype(np.int32),
+            }
 
-    return map_batches(texts, run, "hash long, sig long, doc long, th long")
+    return map_batches(texts, run, "hash long, sig long, doc long, th long, at long, back int, ahead int")
 
 
-def repeated_runs(texts: DataFrame, units: Units) -> DataFrame:
-    """Windows around anchors that repeat: (hash, one, two, doc, th, at, lo, hi, body), written to the shared folder.
+def judged_runs(texts: DataFrame, units: Units) -> DataFrame:
+    """Runs of windows around anchors that repeat: (hash, doc, th, at, back, ahead, later), written to the shared folder.
 
-    ``one`` and ``two`` are a 128-bit hash of the tokens of the windows that start at ``lo`` to ``hi``; ``body`` holds
-    their text if the anchor occurs in other surroundings as well, else NULL.
+    Runs with the same anchor and the same tokens are one class, known by its hashes.  All but its first occurrence are
+    ``later``: each of their windows starts further up as well.  The first is listed only if its anchor has other
+    classes, with which single windows may be shared.  So copies cost one comparison each, in any number.
     """
-    found = anchors(texts, units)
+    found = materialize(anchors(texts, units), "anchors")
     groups = found.groupBy("hash").agg(
         F.count("*").alias("n"),
         (F.min("doc") < F.max("doc")).alias("shared"),
         (F.min("sig") < F.max("sig")).alias("varied"),
     )
-    repeated = materialize(groups.where("n > 1" if units.inside else "shared").select("hash", "varied"), "anchors")
-    signs = F.when(F.col("varied"), F.col("hash"))
-    marks = (
-        found.select("hash", "doc", "th")
-        .join(repeated, "hash")
-        .groupBy("doc", "th")
-        .agg(F.collect_set("hash").alias("hashes"), F.collect_set(signs).alias("varied"))
-    )
-    marked = texts.join(marks, ["doc", "th"]).select("doc", "th", "text", "hashes", "varied")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        winnower, cut = units.winnower()
+    repeated = materialize(groups.where("n > 1" if units.inside else "shared").select("hash", "varied"), "repeated")
+    runs = materialize(maybe_in(found, repeated, "hash").join(repeated, "hash"), "runs")
+    classes = runs.groupBy("hash", "sig").agg(F.min(units.place()).alias("first"))
+    judged = runs.join(materialize(classes, "classes"), ["hash", "sig"])
+    judged = judged.withColumn("later", units.place() > F.col("first")).where("later or varied")
+    return materialize(judged.select("hash", "doc", "th", "at", "back", "ahead", "later"), "judged")
+
+
+def later_spans(judged: DataFrame, units: Units) -> DataFrame:
+    """Spans (doc, th, start, end) of the runs that lie further up as a whole."""
+    start, end = F.col("at") - F.col("back"), F.col("at") + F.col("ahead") + units.length
+    return judged.where("later").select("doc", "th", start.alias("start"), end.alias("end"))
+
+
+def surroundings(texts: DataFrame, judged: DataFrame, units: Units) -> DataFrame:
+    """The text of the runs left to look into: (hash, doc, th, lo, body), written to the shared folder."""
+    run = F.struct("hash", (F.col("at") - F.col("back")).alias("lo"), (F.col("at") + F.col("ahead")).alias("hi"))
+    lists = judged.where("not later").groupBy("doc", "th").agg(F.collect_list(run).alias("runs"))
+    lists = materialize(
+        lists.select(
+            "doc", "th", F.col("runs.hash").alias("hashes"), F.col("runs.lo").alias("lows"),
+            F.col("runs.hi").alias("highs"),
+        ),
+        "lists",
+    )
+    marked = maybe_in(texts, lists, "doc", "th").join(lists, ["doc", "th"])
+
+    def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        _, cut = units.winnower()
         for batch in batches:
-            parts: list[list[np.ndarray]] = [[np.empty(0, np.int64)] for _ in range(7)]
-            bodies: list[bytes | None] = []
-            for row, text in enumerate(utf8(batch.column(2))):
-                tokens, starts, ends = cut(text)
-                wanted, varied = (
-                    batch.column(c)[row].values.to_numpy(zero_copy_only=False).view(np.uint64) for c in (3, 4)
+            out: dict = {"hash": [], "doc": [], "th": [], "lo": [], "body": []}
+            docs, ths = batch.column("doc").to_pylist(), batch.column("th").to_pylist()
+            for row, text in enumerate(utf8(batch.column("text"))):
+                _, starts, ends = cut(text)
+                hashes, lows, highs = (
+                    batch.column(name)[row].values.to_numpy(zero_copy_only=False) for name in ("hashes", "lows", "highs")
                 )
-                for runs in winnower.runs(tokens):
-                    keep = np.flatnonzero(np.isin(runs.hash, wanted))
-                    lo, hi = runs.lo[keep], runs.hi[keep]
-                    shown = np.isin(runs.hash[keep], varied)
-                    first, last = starts[lo], ends[hi + units.length - 1]
-                    bodies += [text[a:b] if s else None for a, b, s in zip(first, last, shown)]
-                    own = (runs.hash, runs.first, runs.second, np.full(len(runs.hash), row), runs.at, runs.lo, runs.hi)
-                    for part, values in zip(parts, own):
-                        part.append(values[keep].astype(np.int64))
-            one, two, three, rows, at, lo, hi = (np.concatenate(part) for part in parts)
-            yield {
-                "hash": one,
-                "one": two,
-                "two": three,
-                "doc": batch.column(0).take(pa.array(rows)),
-                "th": batch.column(1).take(pa.array(rows)),
-                "at": at,
-                "lo": lo,
-                "hi": hi,
-                "body": bodies,
-            }
-
-    schema = "hash long, one long, two long, doc long, th long, at long, lo long, hi long, body binary"
-    return materialize(map_batches(marked, run, schema), "runs")
+                first, last = starts[lows].tolist(), ends[highs + units.length - 1].tolist()
+                out["hash"] += hashes.tolist()
+                out["doc"] += [docs[row]] * len(hashes)
+                out["th"] += [ths[row]] * len(hashes)
+                out["lo"] += lows.tolist()
+                out["body"] += [text[a:b] for a, b in zip(first, last)]
+            yield out
 
-
-def split_runs(runs: DataFrame, units: Units) -> tuple[DataFrame, DataFrame]:
-    """Spans (doc, th, start, end) of runs that occur whole further up; and the runs left to look into.
-
-    Copies of a run are one class, known by its hash, whose first occurrence alone is looked at any further, and only
-    where its anchor has other classes: copies in any number cost one comparison each.
-    """
-    key = ["hash", "one", "two"]
-    first = F.min(F.struct("doc", "at")).alias("first")
-    classes = materialize(runs.groupBy(*key).agg(first), "classes")
-    later = units.later("first")
-    spans = runs.drop("body").join(classes, key).where(later)
-    spans = spans.select("doc", "th", F.col("lo").alias("start"), (F.col("hi") + units.length).alias("end"))
-    left = runs.where("body is not null").join(classes, key).where(~later)
-    return spans, left.select("hash", "doc", "th", "lo", "body")
+    return materialize(map_batches(marked, cut_out, "hash long, doc long, th long, lo long, body binary"), "left")
 
 
 def window_spans(left: DataFrame, units: Units) -> DataFrame:
@@ -171,23 +166,23 @@ def window_spans(left: DataFrame, units: Units) -> DataFrame:
         left.select("doc", "th", "lo", "body"), run, "one long, two long, doc long, th long, at long"
     )
     windows = materialize(windows, "windows")
-    if units.inside:
-        firsts = windows.groupBy("one", "two").agg(F.count("*").alias("n"), F.min(F.struct("doc", "at")).alias("first"))
-        firsts = firsts.where("n > 1").drop("n")
-    else:
-        firsts = windows.groupBy("one", "two").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
-        firsts = firsts.where("low < high").select("one", "two", F.struct(F.col("low").alias("doc")).alias("first"))
-    spans = windows.join(materialize(firsts, "firsts"), ["one", "two"]).where(units.later("first"))
+    firsts = windows.groupBy("one", "two").agg(F.min(units.place()).alias("first"), F.max(units.place()).alias("last"))
+    firsts = materialize(firsts.where("first < last").drop("last"), "firsts")
+    spans = windows.join(firsts, ["one", "two"]).where(units.place() > F.col("first"))
     return spans.select("doc", "th", F.col("at").alias("start"), (F.col("at") + units.length).alias("end"))
 
 
 def with_spans(docs: DataFrame, spans: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Each row's id, text and lists of span starts and ends (NULL: none)."""
+    """Each row's id, text and lists of span starts and ends (NULL: none); texts without spans are not moved."""
     lists = spans.groupBy("doc", "th").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    texts = keyed(docs.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{text_col}`").alias("t")), "i", "t")
-    found = texts.join(lists, ["doc", "th"], "left")
+    lists = materialize(
+        lists.select("doc", "th", F.col("spans.start").alias("starts"), F.col("spans.end").alias("ends")), "spans"
+    )
     doc_id = F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id")
-    return found.select(doc_id, "text", F.col("spans.start").alias("starts"), F.col("spans.end").alias("ends"))
+    texts = marked_in(keyed(docs, id_col, text_col), lists, "doc", "th")
+    found = texts.where("__maybe").join(lists, ["doc", "th"], "left").select(doc_id, "text", "starts", "ends")
+    none = F.lit(None).cast("array<long>")
+    return found.unionByName(texts.where("not __maybe").select(doc_id, "text", none.alias("starts"), none.alias("ends")))
 
 
 def covered(n: int, starts: pa.Scalar, ends: pa.Scalar) -> np.ndarray:

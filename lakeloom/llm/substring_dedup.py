@@ -8,14 +8,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from lakeloom.llm.arrow import map_batches, utf8
-from lakeloom.llm.repeats import Units, covered, keyed, repeated_runs, split_runs, window_spans, with_spans
+from lakeloom.llm.repeats import Units, covered, judged_runs, keyed, later_spans, surroundings, window_spans, with_spans
 
 
 def repeated_spans(docs: DataFrame, units: Units, id_col: str, text_col: str) -> DataFrame:
     """Spans (doc, th, start, end) of tokens that lie in repeated windows; they may overlap."""
-    runs = repeated_runs(keyed(docs, id_col, text_col), units)
-    whole, left = split_runs(runs, units)
-    return whole.unionByName(window_spans(left, units))
+    texts = keyed(docs, id_col, text_col)
+    judged = judged_runs(texts, units)
+    return later_spans(judged, units).unionByName(window_spans(surroundings(texts, judged, units), units))
 
 
 def substring_dedup(

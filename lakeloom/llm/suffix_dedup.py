@@ -3,70 +3,72 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.llm.anchors import BASES, LETTERS, Powers
 from lakeloom.llm.arrow import map_batches, utf8
-from lakeloom.llm.repeats import Units, covered, keyed, repeated_runs, split_runs, window_spans, with_spans
+from lakeloom.llm.repeats import Units, covered, judged_runs, keyed, later_spans, surroundings, window_spans, with_spans
 from lakeloom.session import materialize
 
 # Bytes of the texts under one suffix array, and different surroundings of an anchor that go into one.
-ARRAY_BYTES = 1 << 20
+ARRAY_BYTES = 1 << 19
 MANY = 2048
 
 
-def suffix_array(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Suffixes of the bodies in order, their common prefix with the one before, and all tokens.
+@dataclass(frozen=True)
+class Suffixes:
+    """Suffixes of some bodies in order, those of ``length`` bytes or more whose first ``length`` bytes occur twice."""
+
+    body: np.ndarray
+    offset: np.ndarray  # into the body
+    common: np.ndarray  # bytes shared with the suffix before
+    left: np.ndarray  # byte before the suffix, plus one; 0 at the start of a body
+
+
+def suffix_array(bodies: list[bytes], length: int) -> Suffixes:
+    """Sort the suffixes of the bodies and measure their common prefixes, which end with a body.
 
-    Each body ends in a token of its own, so that no common prefix reaches over its end.  Ranks of 1, 2, 4, ... tokens
-    are sorted until they tell all suffixes apart; the same ranks then give the common prefixes, longest steps first.
+    Bytes are stored plus one, 0 standing for the end; no byte of UTF-8 text is 255.  Suffixes whose first bytes no
+    other suffix has, by a hash, have no part in a repeat and are left out before the sort.
     """
-    sizes = np.array([len(b) + 1 for b in bodies])
-    tokens = np.empty(int(sizes.sum()), dtype=np.int64)
-    ends = np.cumsum(sizes) - 1
-    inner = np.ones(len(tokens), dtype=bool)
-    inner[ends] = False
-    tokens[inner] = np.frombuffer(b"".join(bodies), dtype=np.uint8)
-    tokens[ends] = 256 + np.arange(len(bodies))
-    n = len(tokens)
-    rank, size, levels = tokens, 1, []
-    while True:
-        levels.append((size, rank.astype(np.int32)))
-        follow = np.zeros(n, dtype=np.int64)
-        follow[: n - size] = rank[size:] + 1 if size < n else 0
-        key = (rank << 32) | follow
-        order = np.argsort(key)
-        new = np.empty(n, dtype=np.int64)
-        new[order] = np.cumsum(np.r_[0, key[order][1:] != key[order][:-1]])
-        rank, size = new, size * 2
-        if new[order[-1]] == n - 1 or size >= n:
-            break
-    a, b = order[:-1].copy(), order[1:].copy()
-    common = np.zeros(n, dtype=np.int64)
-    for size, ranks in reversed(levels):
-        same = (a < n) & (b < n)
-        same[same] = ranks[a[same]] == ranks[b[same]]
-        a[same] += size
-        b[same] += size
-        common[1:][same] += size
-    return order, common, tokens
-
-
-def maximal_repeats(bodies: list[bytes], length: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Groups (length, all places) of the strings of at least ``length`` bytes that repeat and cannot be extended.
-
-    A place is an offset into the bodies laid end to end with one byte between them.  The intervals of suffixes with a
-    common prefix form a tree; a stack scan over the prefixes closes each interval, inner ones first.  One whose
-    suffixes all follow the same byte repeats further to the left as well, so only the others are given.
+    sizes = np.array([len(b) for b in bodies])
+    width = int(sizes.max())
+    flat = np.frombuffer(b"\xff".join([b"", *bodies, b"\xff" * width]), dtype=np.uint8) + np.uint8(1)
+    begins = 1 + np.r_[0, np.cumsum(sizes + 1)[:-1]]
+    counts = np.maximum(sizes - length + 1, 0)
+    body = np.repeat(np.arange(len(bodies)), counts)
+    offset = np.arange(len(body)) - np.repeat(np.cumsum(counts) - counts, counts)
+    at = begins[body] + offset
+    powers = Powers(BASES[0])
+    starts = powers.spans(powers.prefix(LETTERS[flat]), at, at + length)
+    order = np.argsort(starts)
+    same = starts[order][1:] == starts[order][:-1]
+    twice = np.sort(order[np.r_[False, same] | np.r_[same, False]])
+    body, offset, at = body[twice], offset[twice], at[twice]
+    rows = np.lib.stride_tricks.sliding_window_view(flat, width)[at]
+    rows *= np.arange(width) < (sizes[body] - offset)[:, None]
+    order = np.argsort(rows.view(f"S{width}").ravel(), kind="stable")
+    rows = rows[order]
+    alike = np.zeros((len(rows), width + 1), dtype=bool)
+    alike[1:, :-1] = (rows[1:] == rows[:-1]) & (rows[1:] != 0)
+    return Suffixes(body[order], offset[order], alike.argmin(axis=1), flat[at - 1][order])
+
+
+def maximal_repeats(suffixes: Suffixes, length: int) -> Iterator[tuple[int, slice]]:
+    """Groups (bytes, all suffixes) of the strings of at least ``length`` bytes that repeat and cannot be extended.
+
+    The intervals of suffixes with a common prefix form a tree; a stack scan over the prefixes closes each interval,
+    inner ones first.  One whose suffixes all follow the same byte repeats further to the left as well, so only the
+    others are given.
     """
-    order, common, tokens = suffix_array(bodies)
-    left = np.where(order > 0, tokens[order - 1], -1)
-    # Two neighbours whose left sides differ; the end of a body differs from everything.
-    differs = np.cumsum(np.r_[False, (left[1:] != left[:-1]) | (left[1:] >= 256)])
+    common, left = suffixes.common, suffixes.left
+    # Neighbours whose left sides differ; the start of a body differs from everything.
+    differs = np.cumsum(np.r_[False, (left[1:] != left[:-1]) | (left[1:] == 0)])
     deep = np.flatnonzero(common >= length)
     if not len(deep):
         return
@@ -92,28 +94,25 @@ def maximal_repeats(bodies: list[bytes], length: int) -> Iterator[tuple[int, np.
     closed.extend(close(0, before))
     for depth, first, last in closed:
         if differs[last] > differs[first]:
-            yield depth, order[first : last + 1]
+            yield depth, slice(first, last + 1)
 
 
 def _removed(bodies: list[bytes], docs: np.ndarray, lows: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """(body, start, bytes) of all occurrences but the earliest of each maximal repeat."""
-    sizes = np.array([len(b) + 1 for b in bodies])
-    owner = np.repeat(np.arange(len(bodies)), sizes)
-    start = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + lows[owner]
-    place = np.lexsort((start, docs[owner]))
-    earliness = np.empty(len(owner), dtype=np.int64)
-    ordered_doc, ordered_start = docs[owner][place], start[place]
+    suffixes = suffix_array(bodies, length)
+    doc, start = docs[suffixes.body], lows[suffixes.body] + suffixes.offset
+    place = np.lexsort((start, doc))
+    earliness = np.empty(len(doc), dtype=np.int64)
     # The same place of a document may lie in several bodies.
-    earliness[place] = np.cumsum(
-        np.r_[True, (ordered_doc[1:] != ordered_doc[:-1]) | (ordered_start[1:] != ordered_start[:-1])]
-    )
-    reach = np.zeros(len(owner), dtype=np.int64)
-    for depth, places in maximal_repeats(bodies, length):
-        early = earliness[places]
-        later = places[early > early.min()]
-        reach[later] = np.maximum(reach[later], depth)
+    new = (doc[place][1:] != doc[place][:-1]) | (start[place][1:] != start[place][:-1])
+    earliness[place] = np.cumsum(np.r_[True, new][: len(doc)])
+    reach = np.zeros(len(doc), dtype=np.int64)
+    for depth, group in maximal_repeats(suffixes, length):
+        early = earliness[group]
+        own = reach[group]
+        own[(early > early.min()) & (own < depth)] = depth
     found = np.flatnonzero(reach)
-    return owner[found], start[found], reach[found]
+    return suffixes.body[found], start[found], reach[found]
 
 
 def interval_spans(left: DataFrame, units: Units) -> DataFrame:
@@ -146,13 +145,13 @@ def interval_spans(left: DataFrame, units: Units) -> DataFrame:
 
 def repeated_bytes(docs: DataFrame, units: Units, id_col: str, text_col: str) -> DataFrame:
     """Spans (doc, th, start, end) of bytes that lie in repeated strings; they may overlap."""
-    runs = repeated_runs(keyed(docs, id_col, text_col), units)
-    whole, left = split_runs(runs, units)
-    left = materialize(left, "left")
+    texts = keyed(docs, id_col, text_col)
+    judged = judged_runs(texts, units)
+    left = surroundings(texts, judged, units)
     crowds = left.groupBy("hash").count().where(F.col("count") > MANY).select("hash")
     crowds = materialize(crowds, "crowds")
     found = interval_spans(left.join(crowds, "hash", "left_anti"), units)
-    return whole.unionByName(found).unionByName(window_spans(left.join(crowds, "hash"), units))
+    return later_spans(judged, units).unionByName(found).unionByName(window_spans(left.join(crowds, "hash"), units))
 
 
 def suffix_dedup(

@@ -46,28 +46,31 @@ def random_rows(seed, n, alphabet="abé"):
 
 def test_suffix_array_and_maximal_repeats():
     rng = random.Random(1)
-    for _ in range(60):
-        bodies = ["".join(rng.choice("ab") for _ in range(rng.randrange(0, 30))).encode() for _ in range(4)]
-        order, common, tokens = suffix_array(bodies)
-        suffixes = sorted(range(len(tokens)), key=lambda p: tokens[p:].tolist())
-        assert order.tolist() == suffixes
-        for x in range(1, len(order)):
-            a, b = tokens[order[x - 1] :], tokens[order[x] :]
-            n = next((k for k, (p, q) in enumerate(zip(a, b)) if p != q), min(len(a), len(b)))
-            assert common[x] == n
+    for _ in range(80):
+        bodies = ["".join(rng.choice("ab") for _ in range(rng.randrange(1, 30))).encode() for _ in range(4)]
+        found = suffix_array(bodies, 3)
+        suffixes = [bodies[b][o:] for b, o in zip(found.body, found.offset)]
+        every = [b[o:] for b in bodies for o in range(len(b) - 2)]
+        assert suffixes == sorted(x for x in every if sum(y[:3] == x[:3] for y in every) > 1)
+        for before, own, common in zip(suffixes, suffixes[1:], found.common[1:]):
+            shared = [p == q for p, q in zip(before, own)]
+            assert common == (shared.index(False) if False in shared else len(shared))
         # All strings that occur twice and lose occurrences with any further byte.
-        places, at = {}, 0
-        for body in bodies:
+        places = {}
+        for n, body in enumerate(bodies):
             for s in range(len(body)):
                 for e in range(s + 3, len(body) + 1):
-                    places.setdefault(body[s:e], []).append((at + s, body[s - 1 : s] or at, body[e : e + 1] or ~at))
-            at += len(body) + 1
+                    places.setdefault(body[s:e], []).append(((n, s), body[s - 1 : s] or n, body[e : e + 1] or ~n))
         want = {
             (len(k), tuple(sorted(p for p, _, _ in v)))
             for k, v in places.items()
             if len(v) > 1 and len({x for _, x, _ in v}) > 1 and len({x for _, _, x in v}) > 1
         }
-        assert {(n, tuple(sorted(p.tolist()))) for n, p in maximal_repeats(bodies, 3)} == want
+        got = {
+            (n, tuple(sorted(zip(found.body[g].tolist(), found.offset[g].tolist()))))
+            for n, g in maximal_repeats(found, 3)
+        }
+        assert got == want
 
 
 @pytest.mark.parametrize("many", [2048, 1])
