@@ -15,9 +15,9 @@ from lakeloom.llm.arrow import map_batches, utf8
 from lakeloom.llm.repeats import Units, covered, judged_runs, keyed, later_spans, surroundings, window_spans, with_spans
 from lakeloom.session import materialize
 
-# Bytes of the texts under one suffix array, and different surroundings of an anchor that go into one.
-ARRAY_BYTES = 1 << 19
-MANY = 2048
+# An array is closed at the next anchor when it has so many suffixes, and no anchor brings more than so many.
+ARRAY = 1 << 16
+MANY = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -131,11 +131,11 @@ def interval_spans(left: DataFrame, units: Units) -> DataFrame:
         for batch in batches:
             columns = [batch.column(i).to_pylist() for i in range(4)]
             for row in zip(*columns, utf8(batch.column(4))):
-                if size > ARRAY_BYTES and row[0] != held[-1][0]:
+                if size > ARRAY and row[0] != held[-1][0]:
                     yield from spans(held)
                     held, size = [], 0
                 held.append(row)
-                size += len(row[4])
+                size += len(row[4]) - units.length + 1
         if held:
             yield from spans(held)
 
@@ -148,8 +148,8 @@ def repeated_bytes(docs: DataFrame, units: Units, id_col: str, text_col: str) ->
     texts = keyed(docs, id_col, text_col)
     judged = judged_runs(texts, units)
     left = surroundings(texts, judged, units)
-    crowds = left.groupBy("hash").count().where(F.col("count") > MANY).select("hash")
-    crowds = materialize(crowds, "crowds")
+    windows = F.sum(F.octet_length("body") - units.length + 1)
+    crowds = materialize(left.groupBy("hash").agg(windows.alias("n")).where(F.col("n") > MANY).select("hash"), "crowds")
     found = interval_spans(left.join(crowds, "hash", "left_anti"), units)
     return later_spans(judged, units).unionByName(found).unionByName(window_spans(left.join(crowds, "hash"), units))
 
@@ -166,10 +166,10 @@ def suffix_dedup(
 
     A suffix array over the whole corpus would have to be one sorted sequence, so it is built where strings can repeat.
     Equal strings of ``length`` bytes share a winnowed anchor at the same place, so the runs around each anchor that
-    occurs twice go together, each different run once.  Enhanced suffix arrays over about ARRAY_BYTES of such runs
-    are scanned for their common-prefix intervals, and those with different bytes to the left are the maximal
-    repeats, with all occurrences.  An anchor with over MANY different surroundings has its windows looked up by
-    hash, which gives the same bytes and spreads over many tasks.
+    occurs twice go together, each different run once.  Enhanced suffix arrays over such runs, of bounded size, are
+    scanned for their common-prefix intervals, and those with different bytes to the left are the maximal repeats, with
+    all occurrences.  An anchor whose different surroundings have over MANY windows has these looked up by hash, which
+    gives the same bytes and spreads over many tasks.
     """
     units = Units("bytes", length, gram, inside=True)
     found = with_spans(docs, repeated_bytes(docs, units, id_col, text_col), id_col, text_col)
