@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeloom.session import materialize
+
 # A side measured at no more than this is sent to every task.
 BROADCAST_BYTES = 32 * 1024 * 1024
 # A key is hot when its rows would fill this many average shuffle partitions.
@@ -33,16 +36,41 @@ _ONE_WORD = (
 )
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of a frame's rows in memory, from one aggregate over it."""
+# Sizes that were measured while a frame was written.
+_KNOWN_BYTES: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
+
+
+def _size_aggregates(df: DataFrame) -> tuple[int, list[Column]]:
+    """Bytes that every row takes, and aggregates of the number of rows and of the bytes of their texts."""
     fixed, texts = 16, F.lit(0)
     for field in df.schema:
         fixed += 8
         if not isinstance(field.dataType, _ONE_WORD):
             length = F.octet_length(F.col(f"`{field.name}`").cast("string"))
             texts = texts + 8 + F.coalesce(length, F.lit(0))
-    row = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(texts.cast("bigint")), F.lit(0)).alias("texts")).first()
-    return row["n"] * fixed + row["texts"]
+    return fixed, [F.count("*").alias("n"), F.coalesce(F.sum(texts.cast("bigint")), F.lit(0)).alias("texts")]
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Size of a frame's rows in memory: known from when it was stored, or from one aggregate over it."""
+    if df not in _KNOWN_BYTES:
+        fixed, sizes = _size_aggregates(df)
+        row = df.agg(*sizes).first()
+        _KNOWN_BYTES[df] = row["n"] * fixed + row["texts"]
+    return _KNOWN_BYTES[df]
+
+
+def remember_bytes(df: DataFrame, size: int) -> DataFrame:
+    _KNOWN_BYTES[df] = size
+    return df
+
+
+def stored(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """``materialize`` that also tells the number of rows and remembers their size, both measured by the write."""
+    fixed, sizes = _size_aggregates(df)
+    seen = Observation()
+    back = materialize(df.observe(seen, *sizes), label)
+    return remember_bytes(back, seen.get["n"] * fixed + seen.get["texts"]), seen.get["n"]
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
@@ -116,7 +144,7 @@ def lookup_key(
     few natural keys do not mean few busy tasks.
     """
     dim = dimension.select(F.col(key).alias(alias), *[F.col(c).alias(f"__dim_{c}") for c in on])
-    if fits_broadcast(dim):
+    if fits_broadcast(dimension if dimension in _KNOWN_BYTES else dim):
         dim = F.broadcast(dim)
     condition: Column | None = None
     for c in on:

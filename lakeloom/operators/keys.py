@@ -8,7 +8,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.operators.joins import BROADCAST_BYTES
+from lakeloom.operators.joins import BROADCAST_BYTES, measured_bytes, remember_bytes, stored
 from lakeloom.session import materialize
 
 # A frame of so many rows at most is numbered in one task.
@@ -27,14 +27,16 @@ def dense_key(df: DataFrame, order: Sequence[Column | str] = (), name: str = "id
     and none is moved.  With it the frame is range-partitioned and sorted
     first; ``order`` should then identify a row, as a table's grain does: no
     range can be hot, and the numbering is the same on every run.  Frames of
-    few rows, as dimensions are, are written, counted, and then numbered in
-    one task, without sampling for ranges.
+    few rows, as dimensions are, are counted while they are written and then
+    numbered in one task, without sampling for ranges.
     """
     if order:
-        df = materialize(df, "unnumbered")
-        if df.limit(FEW_ROWS + 1).count() <= FEW_ROWS:
+        df, n_rows = stored(df, "unnumbered")
+        if n_rows <= FEW_ROWS:
             one = df.coalesce(1).sortWithinPartitions(*order)
-            return one.select((F.monotonically_increasing_id() + 1).alias(name), *[F.col(f"`{c}`") for c in df.columns])
+            key = (F.monotonically_increasing_id() + 1).alias(name)
+            few = one.select(key, *[F.col(f"`{c}`") for c in df.columns])
+            return remember_bytes(few, measured_bytes(df) + 8 * n_rows)
         df = df.repartitionByRange(*order).sortWithinPartitions(*order)
     spot = df.withColumn("__spot", F.monotonically_increasing_id())
     placed = materialize(spot, "numbered")
