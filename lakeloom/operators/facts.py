@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.functions import derive
-from lakeloom.operators.joins import left_lookup, lookup_key
+from lakeloom.operators.joins import left_lookup, lookup_key, measured_bytes, same_size
 from lakeloom.operators.keys import dense_key, unique_key
 
 
@@ -38,10 +38,12 @@ def enrich(
     side that may be broadcast carries only what the facts need.  Attributes
     without a default stay NULL for unregistered trips.
     """
-    side = registry.select(key, *[column.alias(name) for name, column in attributes.items()])
+    side = same_size(registry.select(key, *[column.alias(name) for name, column in attributes.items()]), registry)
     joined = left_lookup(trips, side, key)
     filled = {
-        name: F.coalesce(F.col(name), F.lit(value)) for name, value in defaults.items() if value is not None
+        name: F.coalesce(F.col(name), value if isinstance(value, Column) else F.lit(value))
+        for name, value in defaults.items()
+        if value is not None
     }
     return joined.withColumns(filled) if filled else joined
 
@@ -62,10 +64,12 @@ def enrich_with_key(
     """
     side = registry.select(key, *[column.alias(name) for name, column in attributes.items()])
     keyed = lookup_key(side, lookup.dimension, lookup.on, lookup.key, lookup.alias, lookup.null_safe)
+    # One number takes the place of the natural key: no row of the registry gets larger.
+    measured_bytes(side)
+    keyed = same_size(keyed, side)
     is_unknown = reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(unknown.get(c))) for c in lookup.on])
-    member = lookup.dimension.where(is_unknown).select(lookup.key).first()
-    default = None if member is None else member[0]
-    return enrich(trips, keyed, key, {lookup.alias: F.col(lookup.alias)}, {lookup.alias: default})
+    member = lookup.dimension.where(is_unknown).select(lookup.key).scalar()
+    return enrich(trips, keyed, key, {lookup.alias: F.col(lookup.alias)}, {lookup.alias: member})
 
 
 def activity(enriched: DataFrame, grain: Sequence[str], duration: str) -> DataFrame:

@@ -65,6 +65,11 @@ def remember_bytes(df: DataFrame, size: int) -> DataFrame:
     return df
 
 
+def same_size(df: DataFrame, of: DataFrame) -> DataFrame:
+    """``df``, with rows that take no more than those of ``of`` if its size is known."""
+    return remember_bytes(df, _KNOWN_BYTES[of]) if of in _KNOWN_BYTES else df
+
+
 def stored(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     """``materialize`` that also tells the number of rows and remembers their size, both measured by the write."""
     fixed, sizes = _size_aggregates(df)
