@@ -232,7 +232,7 @@ def convert_arc(spark: SparkSession, path: str, shared_bytes: int = SHARED_BYTES
         out: dict = {"record": [], "kind": [], "url": [], "date": [], "mime": [], "digest": [], "top": [], "body": []}
         size = 0
         for head, content, top, _, payload in read(batches):
-            desc = head["url"].startswith("filedesc://")
+            desc = not top and head["url"].startswith("filedesc://")
             out["record"].append(record_id(head, content))
             out["kind"].append("warcinfo" if desc else "response" if top else "resource")
             out["url"].append(None if desc else head["url"])

@@ -25,7 +25,7 @@ def test_equals_brute_force(spark, monkeypatch):
     rows = [(i, f"http://h/{i % 7} x\n", ("p" * 999 + "é") * (i % 3) + "\r\n\r\nWARC/1.1\r\n" * (i % 2)) for i in range(60)]
     rows += [(100, None, None), (101, "", ""), (102, "http://a b c", "x" * 999), (103, "u", "x" * 999)]
     rows += [(104, "u", "y" * 5000), (104, "u", "y" * 5000), (7, "v", "y" * 5000), (None, "n", "y" * 5000)]
-    rows += [(200, "long", "z" * 3_000_000), (201, "nul", "\x00\n" * 700)]
+    rows += [(200, "long", "z" * 3_000_000), (201, "nul", "\x00\n" * 700), (202, "filedesc://x", "p")]
     pages = spark.createDataFrame([(*r, "c", 1) for r in rows], "page_id long, url string, html string, id string, page int")
     assert sorted((tuple(r) for r in arc_to_warc(pages).collect()), key=str) == plain(rows)
 
