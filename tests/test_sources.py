@@ -163,7 +163,21 @@ class FakeSession:
 
 
 def test_a_cluster_has_to_name_the_shared_folder():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_folder(FakeSession("yarn"))
+    for master in ("yarn", "spark://h:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_folder(FakeSession(master))
     local = FakeSession("local[2]")
     assert shared_folder(local) == shared_folder(local) == local.folder
+
+
+def test_another_storage_format(spark, tmp_path, rows):
+    lake = Lake(str(tmp_path), format="orc")
+    path = lake.write(spark.range(3), "stg", "t")
+    assert path.endswith("/stg/t.orc") and rows(lake.read(spark, "stg", "t", "id bigint")) == [(0,), (1,), (2,)]
+
+
+def test_sql_keeps_other_braces(spark, tmp_path, rows):
+    path = str(tmp_path / "odd`name")
+    spark.range(2).write.parquet(path)
+    got = sql_over_files(spark, "select '{x}' as x, '{}' as y, id from {t} where id > 0", t=path)
+    assert rows(got) == [("{x}", "{}", 1)]
