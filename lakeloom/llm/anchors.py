@@ -26,6 +26,10 @@ def scramble(values: np.ndarray) -> np.ndarray:
 LETTERS = scramble(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASES[0]))
 
 
+def _hashed(tokens: np.ndarray) -> np.ndarray:
+    return LETTERS[tokens] if tokens.dtype == np.uint8 else tokens
+
+
 class Powers:
     """Powers of an odd base and of its inverse, modulo 2**64, as many as were asked for."""
 
@@ -76,25 +80,29 @@ class Winnower:
         self.length, self.gram = length, gram
         self.one, self.two = (Powers(base) for base in BASES)
 
-    def bytes(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Each byte as a token: its hash, first byte and last byte + 1."""
-        raw = np.frombuffer(text, dtype=np.uint8)
-        place = np.arange(len(raw) + 1)
-        return LETTERS[raw], place[:-1], place[1:]
+    def bytes(self, text: bytes) -> tuple[np.ndarray, None, None]:
+        """Each byte as a token, which is its own place in the text."""
+        return np.frombuffer(text, dtype=np.uint8), None, None
 
     def words(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Each word between white space as a token."""
+        """Each word between white space as a token: its hash, first byte and last byte + 1."""
         raw = np.frombuffer(text, dtype=np.uint8)
         inside = np.zeros(len(raw) + 2, dtype=bool)
         inside[1:-1] = ~SPACE[raw]
         edges = np.flatnonzero(inside[1:] != inside[:-1])
         starts, ends = edges[::2], edges[1::2]
-        prefix = self.one.prefix(LETTERS[raw])
-        sizes = (ends - starts).astype(np.uint64)
-        return scramble(self.one.spans(prefix, starts, ends) + sizes * np.uint64(BASES[1])), starts, ends
+        hashes, begin = np.empty(len(starts), dtype=np.uint64), 0
+        while begin < len(starts):  # so many bytes at a time, whole words
+            base = starts[begin]
+            end = max(begin + 1, int(np.searchsorted(ends, base + STRETCH)))
+            prefix = self.one.prefix(LETTERS[raw[base : ends[end - 1]]])
+            hashes[begin:end] = self.one.spans(prefix, starts[begin:end] - base, ends[begin:end] - base)
+            begin = end
+        return scramble(hashes + (ends - starts).astype(np.uint64) * np.uint64(BASES[1])), starts, ends
 
     def windows(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """128-bit hashes of all windows, as two arrays of 64 bits."""
+        tokens = _hashed(tokens)
         starts = np.arange(len(tokens) - self.length + 1)
         return tuple(
             scramble(powers.spans(powers.prefix(tokens), starts, starts + self.length))
@@ -106,6 +114,7 @@ class Winnower:
             yield self._runs(tokens[start : start + STRETCH + self.length - 1], start)
 
     def _runs(self, tokens: np.ndarray, offset: int) -> Runs:
+        tokens = _hashed(tokens)
         prefix = self.one.prefix(tokens)
         places = np.arange(len(tokens) - self.gram + 1)
         grams = scramble((prefix[self.gram :] - prefix[: -self.gram]) * self.one.down[: len(places)])

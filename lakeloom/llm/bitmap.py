@@ -10,7 +10,7 @@ BITS = 1 << 25
 
 
 def marked_in(rows: DataFrame, keys: DataFrame, *key: str) -> DataFrame:
-    """``rows`` with a column ``__maybe``: true for all rows whose key is in ``keys``, and few others while keys are few.
+    """``rows`` with a column ``__maybe``: true if the key is in ``keys``, and for few others while keys are few.
 
     Keys are marked in a bitmap of fixed size, which is all that is broadcast, whatever their number.
     """

@@ -99,8 +99,9 @@ def solve(counts: dict[int, int], capacity: int, phases: int = 240) -> Packing:
     covered.  Multiplicative weights price the lengths; a knapsack by dynamic programming finds, for every length at
     once, the best configuration that holds it.  Those within a percent of the best share the phase's plan, and lengths
     that it covers little gain weight, by smaller and smaller steps.  The mean of the later plans is close to the
-    program's optimum, and each phase's prices prove a lower bound.  Rounding down leaves few pieces, which go by best fit, longest first, into
-    the gaps and into new sequences.  Work and memory depend on the capacity, not on the number of pieces.
+    program's optimum, and each phase's prices prove a lower bound.  Rounding down leaves few pieces, which go by best
+    fit, longest first, into the gaps and into new sequences.  Work and memory depend on the capacity, not on the number
+    of pieces.
     """
     need = np.zeros(capacity + 1)
     for length, count in counts.items():

@@ -82,7 +82,7 @@ def anchors(texts: DataFrame, units: Units) -> DataFrame:
 
 
 def judged_runs(texts: DataFrame, units: Units) -> DataFrame:
-    """Runs of windows around anchors that repeat: (hash, doc, th, at, back, ahead, later), written to the shared folder.
+    """Runs of windows around repeated anchors: (hash, doc, th, at, back, ahead, later), written to the shared folder.
 
     Runs with the same anchor and the same tokens are one class, known by its hashes.  All but its first occurrence are
     ``later``: each of their windows starts further up as well.  The first is listed only if its anchor has other
@@ -131,12 +131,14 @@ def surroundings(texts: DataFrame, judged: DataFrame, units: Units) -> DataFrame
                 hashes, lows, highs = (
                     batch.column(name)[row].values.to_numpy(zero_copy_only=False) for name in ("hashes", "lows", "highs")
                 )
-                first, last = starts[lows].tolist(), ends[highs + units.length - 1].tolist()
+                first, last = lows, highs + units.length
+                if starts is not None:
+                    first, last = starts[first], ends[last - 1]
                 out["hash"] += hashes.tolist()
                 out["doc"] += [docs[row]] * len(hashes)
                 out["th"] += [ths[row]] * len(hashes)
                 out["lo"] += lows.tolist()
-                out["body"] += [text[a:b] for a, b in zip(first, last)]
+                out["body"] += [text[a:b] for a, b in zip(first.tolist(), last.tolist())]
             yield out
 
     return materialize(map_batches(marked, cut_out, "hash long, doc long, th long, lo long, body binary"), "left")
@@ -182,13 +184,14 @@ def with_spans(docs: DataFrame, spans: DataFrame, id_col: str, text_col: str) ->
     texts = marked_in(keyed(docs, id_col, text_col), lists, "doc", "th")
     found = texts.where("__maybe").join(lists, ["doc", "th"], "left").select(doc_id, "text", "starts", "ends")
     none = F.lit(None).cast("array<long>")
-    return found.unionByName(texts.where("not __maybe").select(doc_id, "text", none.alias("starts"), none.alias("ends")))
+    others = texts.where("not __maybe").select(doc_id, "text", none.alias("starts"), none.alias("ends"))
+    return found.unionByName(others)
 
 
 def covered(n: int, starts: pa.Scalar, ends: pa.Scalar) -> np.ndarray:
     """Which of ``n`` tokens lie in a span."""
-    edges = np.zeros(n + 1, dtype=np.int64)
+    edges = np.zeros(n + 1, dtype=np.int32)
     if starts.is_valid:
         np.add.at(edges, starts.values.to_numpy(zero_copy_only=False), 1)
         np.add.at(edges, ends.values.to_numpy(zero_copy_only=False), -1)
-    return np.cumsum(edges[:-1]) > 0
+    return np.cumsum(edges[:-1], out=edges[:-1]) > 0

@@ -19,11 +19,13 @@ from lakeloom.session import materialize
 POSITIONS = 8
 # Postings of at most this many fingerprints have their pairs tallied one by one.
 FEW = 32
+# Shingles of a text that are hashed at a time.
+SHINGLES = 1 << 16
 LANES = np.uint64(0x0101010101010101)
 
 
-def majority(hashes: np.ndarray) -> int:
-    """64-bit number of the bits that are set in over half of the hashes."""
+def bit_counts(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each of the 64 bits."""
     counts = np.zeros(64, dtype=np.int64)
     pad = -len(hashes) % 255
     rows = np.concatenate([hashes, np.zeros(pad, dtype=np.uint64)]).reshape(-1, 255)
@@ -31,7 +33,7 @@ def majority(hashes: np.ndarray) -> int:
         # Eight counters of one byte in each word, which 255 summands cannot overflow.
         lanes = ((rows >> np.uint64(bit)) & LANES).sum(axis=1, dtype=np.uint64)
         counts[bit::8] = lanes.view(np.uint8).reshape(-1, 8).sum(axis=0)
-    return sum(1 << int(bit) for bit in np.flatnonzero(counts * 2 > len(hashes)))
+    return counts
 
 
 def fingerprint(text: bytes, shingle: int) -> int:
@@ -40,14 +42,17 @@ def fingerprint(text: bytes, shingle: int) -> int:
     if not words:
         return 0
     joined = b" ".join(words)
-    if len(words) <= shingle:
-        return majority(np.array([xxhash.xxh64_intdigest(joined, 42)], dtype=np.uint64))
     ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
-    spans = zip(starts[: len(words) - shingle + 1].tolist(), ends[shingle - 1 :].tolist())
-    digest = xxhash.xxh64_intdigest
-    hashes = [digest(joined[start:end], 42) for start, end in spans]
-    return majority(np.array(hashes, dtype=np.uint64))
+    shingle = min(shingle, len(words))
+    n = len(words) - shingle + 1
+    del words
+    digest, counts = xxhash.xxh64_intdigest, np.zeros(64, dtype=np.int64)
+    for at in range(0, n, SHINGLES):
+        stop = min(n, at + SHINGLES)
+        spans = zip(starts[at:stop].tolist(), ends[at + shingle - 1 : stop + shingle - 1].tolist())
+        counts += bit_counts(np.array([digest(joined[start:end], 42) for start, end in spans], dtype=np.uint64))
+    return sum(1 << int(bit) for bit in np.flatnonzero(counts * 2 > n))
 
 
 def fingerprints(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:

@@ -220,7 +220,8 @@ def convert_arc(spark: SparkSession, path: str, shared_bytes: int = SHARED_BYTES
     schema = "record string, page long, url string, date string, one binary, two binary, size long"
     found = materialize(map_batches(_archives(spark, path), digests, schema), "digests")
     same = ["one", "two", "size"]
-    firsts = found.groupBy(*same).agg(F.count("*").alias("n"), F.max(F.struct("page", "record", "url", "date")).alias("r"))
+    largest = F.max(F.struct("page", "record", "url", "date")).alias("r")
+    firsts = found.groupBy(*same).agg(F.count("*").alias("n"), largest)
     firsts = materialize(firsts.where("n > 1").drop("n"), "firsts")
     others = found.join(firsts, same).where(~F.col("page").eqNullSafe(F.col("r.page")))
     refers = others.select(
@@ -315,7 +316,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 def arc_to_warc(
     pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html"
 ) -> DataFrame:
-    """One row per page, by way of ARC and WARC archives: page_id, payload_bytes, payload_digest, record_type, refers_to.
+    """One row per page: page_id, payload_bytes, payload_digest, record_type, refers_to.
 
     Pages go into ARC archives of both versions, these are converted, and the WARC archives are read back;
     ``refers_to`` is the id of the response that a revisit refers to.  NULL pages are empty.  Rows that repeat an id
