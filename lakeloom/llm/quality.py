@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +35,10 @@ def statistics(text: bytes) -> list[float]:
     letters = max(1, counts[_LETTER].sum())
     words = text.split()
     n = max(1, len(words))
+    known = np.fromiter(map(hash, words), dtype=np.int64, count=len(words))
+    del words
+    times = np.unique(known, return_counts=True)[1]
+    pairs = known[:-1] * np.int64(0x9E3779B97F4A7C15 >> 1) + known[1:]
     inside = np.zeros(len(raw) + 2, dtype=bool)
     inside[1:-1] = ~_SPACE[raw]
     edges = np.flatnonzero(inside[1:] != inside[:-1])
@@ -50,7 +52,7 @@ def statistics(text: bytes) -> list[float]:
     symbols = counts * _SYMBOL
     return [
         np.log1p(len(raw)),
-        np.log1p(len(words)),
+        np.log1p(len(known)),
         (len(raw) - counts[_SPACE].sum()) / n,
         counts[_UPPER].sum() / letters,
         counts[_DIGIT].sum() / size,
@@ -64,11 +66,11 @@ def statistics(text: bytes) -> list[float]:
         (in_word == 0).sum() / n,
         _UPPER[first].sum() / n,
         ((in_word > 1) & (upper_in_word == in_word)).sum() / n,
-        len(set(words)) / n,
-        len(set(zip(words, words[1:]))) / n,
-        sum(map(eq, words, words[1:])) / n,
-        Counter(words).most_common(1)[0][1] / n if words else 0.0,
-        len(words) / max(1, len(lines)),
+        len(times) / n,
+        len(np.unique(pairs)) / n,
+        (known[1:] == known[:-1]).sum() / n,
+        times.max(initial=0) / n,
+        len(known) / max(1, len(lines)),
         len(set(lines)) / max(1, len(lines)),
         float(-(share * np.log2(share)).sum()),
     ]
