@@ -88,3 +88,21 @@ def test_whole_run_and_columns(spark, steps):
         assert stage(spark, docs, SF_DIR).columns == docs.columns, name
     found = corpus_pipeline.run(spark, SF_DIR).drop("sequence_id", "offset").collect()
     assert Counter(found) == Counter(r for r in [tuple(r)[:5] for r in steps[5]])
+
+
+def test_odd_and_empty_documents(spark):
+    """NULLs in every column, empty and repeated rows, extra columns; and no rows at all."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, length int, hash string, fp long"
+    good = spark.read.parquet(f"{SF_DIR}/documents.parquet").orderBy("doc_id").first().text
+    rows = [
+        (None, None, None, None, None, None, None, None), (1, "", "en", None, 0, 1, "h", 2), (2, good, None, "s", 1, 1, "h", 2),
+        (2, good, None, "s", 1, 1, "h", 2), (3, good + " ", "x", "s", 1, 1, "h", 2), (None, good, "x", None, 1, 1, "h", 2),
+    ]
+    for kept in (rows, []):
+        docs = spark.createDataFrame(kept, schema)
+        for name, stage in corpus_pipeline.STAGES:
+            found = stage(spark, docs, SF_DIR)
+            if name != corpus_pipeline.STAGES[-1][0]:
+                assert found.columns == docs.columns, name
+            result = found.collect()
+            assert bool(result) == bool(kept) or name == "mix sources", name
