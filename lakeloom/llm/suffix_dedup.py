@@ -18,6 +18,8 @@ from lakeloom.session import materialize
 # An array is closed at the next anchor when it has so many suffixes, and no anchor brings more than so many.
 ARRAY = 1 << 16
 MANY = 1 << 18
+# Neighbours whose bytes are compared at a time.
+COMPARED = 1 << 13
 
 
 @dataclass(frozen=True)
@@ -54,9 +56,12 @@ def suffix_array(bodies: list[bytes], length: int) -> Suffixes:
     rows *= np.arange(width) < (sizes[body] - offset)[:, None]
     order = np.argsort(rows.view(f"S{width}").ravel(), kind="stable")
     rows = rows[order]
-    alike = np.zeros((len(rows), width + 1), dtype=bool)
-    alike[1:, :-1] = (rows[1:] == rows[:-1]) & (rows[1:] != 0)
-    return Suffixes(body[order], offset[order], alike.argmin(axis=1), flat[at - 1][order])
+    common = np.zeros(len(rows), dtype=np.int64)
+    for begin in range(1, len(rows), COMPARED):
+        before, own = rows[begin - 1 : begin + COMPARED - 1], rows[begin : begin + COMPARED]
+        alike = (own == before[: len(own)]) & (own != 0)
+        common[begin : begin + COMPARED] = np.where(alike.all(axis=1), width, alike.argmin(axis=1))
+    return Suffixes(body[order], offset[order], common, flat[at - 1][order])
 
 
 def maximal_repeats(suffixes: Suffixes, length: int) -> Iterator[tuple[int, slice]]:
