@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import base64
+import json
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -23,14 +23,34 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 END = 0  # the id that ends each document
 
 
+def _byte_values() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [byte for byte in range(256) if byte not in plain]
+    return {chr(byte): byte for byte in plain} | {chr(256 + n): byte for n, byte in enumerate(others)}
+
+
 def encoder(vocabulary: str) -> tiktoken.Encoding:
     """The byte-level BPE of a tokenizers file, whose ids order its merges, run by the faster library.
 
-    The file next to it holds the same vocabulary as bytes; ids are equal on all texts (tested on all code points).
+    Tokens, ids and added tokens are those of the file.  ``encode_ids`` gives the ids that ``tokenizers`` gives by its
+    defaults (tested on all code points and tokens).
     """
-    with open(vocabulary.removesuffix(".json") + ".tiktoken", "rb") as lines:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    with open(vocabulary, encoding="utf-8") as file:
+        loaded = json.load(file)
+    for token in loaded["added_tokens"]:
+        if token["single_word"] or token["lstrip"] or token["rstrip"] or token["normalized"]:
+            raise ValueError(f"added token {token['content']!r} is not matched as it stands")
+    value = _byte_values()
+    added = {token["content"]: token["id"] for token in loaded["added_tokens"]}
+    vocab = loaded["model"]["vocab"].items()
+    ranks = {bytes(value[c] for c in token): rank for token, rank in vocab if token not in added}
+    return tiktoken.Encoding("bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
+
+
+def encode_ids(encoding: tiktoken.Encoding, text: str) -> np.ndarray:
+    """The ids of a text, cut at added tokens first, as ``tokenizers`` does with add_special_tokens=False."""
+    return encoding.encode_to_numpy(text, allowed_special="all", disallowed_special=())
 
 
 def pieces(docs: DataFrame, capacity: int, vocabulary: str, id_col: str, text_col: str) -> DataFrame:
@@ -46,7 +66,7 @@ def pieces(docs: DataFrame, capacity: int, vocabulary: str, id_col: str, text_co
         for batch in batches:
             rows, out = [], defaultdict(list)
             for row, text in enumerate(batch.column(1).to_pylist()):
-                ids = np.append(encoding.encode_to_numpy(text or "", disallowed_special=()), END).astype("<u4")
+                ids = np.append(encode_ids(encoding, text or ""), END).astype("<u4")
                 start, length = 0, len(ids) % capacity or capacity  # the first piece takes what is left over
                 number = 0
                 while start < len(ids):
@@ -217,7 +237,8 @@ def pack(
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
-    A document is its token ids and END; NULL counts as empty.  Documents longer than ``capacity`` are cut into
+    A document is its token ids and END; NULL counts as empty, and an added token of the vocabulary that a text holds has
+    its own id.  Documents longer than ``capacity`` are cut into
     pieces of that length, of which the first may be shorter.  Rows that repeat an id are packed like others.  Other
     columns are ignored; an empty table gives no rows.
 

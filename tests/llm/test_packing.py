@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from lakeloom.llm.packing import VOCABULARY, encoder, pack, slots, solve
+from lakeloom.llm.packing import VOCABULARY, encode_ids, encoder, pack, slots, solve
 
 
 @pytest.fixture(scope="module")
@@ -79,3 +79,27 @@ def test_solver_finds_matching_pairs():
 
 def test_empty(spark):
     assert pack(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+ADDED = [
+    "<|endoftext|> x", "a <|endoftext|>", "<|endoftext|>", "<|endoftext|><|endoftext|>", " \n<|endoftext|>  \n b  <|endoftext|>\t",
+    "it'<|endoftext|>s 12<|endoftext|>3", "<|endoftext|", "<|<|endoftext|>|>", "<|ENDOFTEXT|>", "é<|endoftext|>日本 " * 90,
+]
+
+
+def test_added_tokens_have_their_ids(spark):
+    unmodified = Tokenizer.from_file(VOCABULARY)
+    assert unmodified.encode("<|endoftext|> x", add_special_tokens=False).ids == [50256, 2124]
+    rows = list(enumerate(ADDED))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for capacity in (2048, 64):
+        check(rows, pack(docs, capacity=capacity).collect(), unmodified, capacity)
+
+
+def test_ids_equal_those_of_the_unmodified_file():
+    unmodified, own = Tokenizer.from_file(VOCABULARY), encoder(VOCABULARY)
+    texts = ADDED + [unmodified.decode([n]) for n in range(50257)]
+    rng = random.Random(3)
+    texts += [unmodified.decode([rng.randrange(50257) for _ in range(60)]) for _ in range(3000)]
+    want = [e.ids for e in unmodified.encode_batch(texts, add_special_tokens=False)]
+    assert [encode_ids(own, text).tolist() for text in texts] == want
