@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeloom.llm.arrow import map_batches, utf8
-from lakeloom.llm.bitmap import marked_in
+from lakeloom.llm.bitmap import marked_in, maybe_in
 from lakeloom.llm.mix_sources import POSITION_BITS
 from lakeloom.session import materialize
 
@@ -51,6 +51,8 @@ ENDS_P = BLOCKS - {"body", "html", "head", "option", "optgroup", "tbody", "thead
 
 # Where a line stands: in an article, in other main content, elsewhere.
 ARTICLE, MAIN, ELSEWHERE = 2, 1, 0
+# A line on different pages of so many paths of a host is the site's.
+SITE_PATHS = 3
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -206,15 +208,17 @@ def extract_text(
     """One row per page: page_id, url, text (blocks joined by two line ends, "" if none), n_chars, n_deleted.
 
     Menus, headers, footers, sidebars, notices, adverts, forms, comments of readers and hidden parts are known by
-    element, role, class or id and go first, scripts, styles and markup as well.  Every page is then aligned, line by
-    line, with the page next to it: of the neighbours by path within the host, the one that shares more path segments,
-    the earlier one if both do.  Lines of a longest common subsequence of the two are taken for the site's and deleted,
-    except in an article or main element, whose text stays whole though other pages may hold it too.  A page with
+    element, role, class or id and go first, scripts, styles and markup as well.  Pages of a host with equal lines count
+    as one, with the first of their paths.  Every page is then aligned, line by line, with the page next to it: of the
+    neighbours by path within the host, the one that shares more path segments, the earlier one if both do.  Lines of a
+    longest common subsequence of the two are deleted if they are the site's, that is, on different pages of at least
+    SITE_PATHS paths of the host.  The others are deleted, too, unless they are more than half of what is left of the
+    page without the site's lines: then the two are near copies, and what they share may be the article.  Nothing is
+    deleted in an article or main element, whose text stays whole though other pages may hold it too.  A page with
     such an element gives only what stands in it.  ``n_deleted`` counts the lines deleted as shared.
 
-    A NULL or empty page has text "".  A NULL address belongs to a host of its own.  Rows that repeat a page are its
-    neighbours, like any other page; all of them give the same text.  Other columns are ignored; an empty table gives
-    no rows.
+    A NULL or empty page has text "".  A NULL address belongs to a host of its own.  Rows that repeat a page give the
+    same text.  Other columns are ignored; an empty table gives no rows.
 
     The order by host, path and id is made over line hashes only, range by range, so that a host with many pages
     spreads over many tasks, and neighbours are found by position.  Pages are read again for their text, and only
@@ -230,31 +234,40 @@ def extract_text(
 
     def hash_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            bare, hashes = [], []
+            bare, hashes, same = [], [], []
             for html in utf8(batch.column(2)):
                 lines = page_lines(html.decode("utf-8", "replace"))
                 bare.append(not any(level > ELSEWHERE for _, level in lines))
                 hashes.append([xxhash.xxh3_64_intdigest(text) >> 1 for text, _ in lines])
+                same.append(xxhash.xxh3_128_digest(np.array(hashes[-1], dtype=np.int64).tobytes()))
             yield {
                 "page_id": batch.column(0), "url": batch.column(1), "page": batch.column(3), "bare": bare,
-                "hashes": hashes,
+                "hashes": hashes, "same": same,
             }
 
-    schema = "page_id long, url string, page long, bare boolean, hashes array<long>"
-    hashed = materialize(map_batches(rows, hash_lines, schema), "lines")
+    schema = "page_id long, url string, page long, bare boolean, hashes array<long>, same binary"
+    hashed = map_batches(rows, hash_lines, schema).withColumn("row", F.monotonically_increasing_id())
+    hashed = materialize(hashed, "lines")
     # Scheme, host and path of an address.
     parts = r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)([^?#]*)"
     keyed = hashed.select(
+        "row",
         "page",
         "page_id",
         "bare",
         "hashes",
+        "same",
         F.coalesce(F.lower(F.regexp_extract("url", parts, 1)), F.lit("")).alias("host"),
         F.coalesce(F.regexp_extract("url", parts, 2), F.lit("")).alias("path"),
     )
+    # Equal lines of a host: the first of the pages stands for all.
+    first = F.min(F.struct("path", "page_id", "page", "row")).alias("first")
+    firsts = keyed.groupBy("host", "same").agg(first, F.max("bare").alias("bare"))
+    firsts = materialize(firsts.select(F.col("first.row").alias("row"), "bare"), "firsts")
+    keyed_once = keyed.drop("bare").join(firsts, "row")
     order = ["host", "path", "page_id", "page"]
     spot = F.monotonically_increasing_id()
-    placed = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = keyed_once.repartitionByRange(*order).sortWithinPartitions(*order)
     placed = materialize(
         placed.select(
             "*", F.shiftright(spot, POSITION_BITS).alias("part"),
@@ -266,7 +279,7 @@ def extract_text(
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
     numbered = placed.join(F.broadcast(starts), "part").select(
-        "page_id", "page", "bare", "host", "path", "hashes", (F.col("start") + F.col("position")).alias("at")
+        "row", "bare", "host", "path", "same", "hashes", (F.col("start") + F.col("position")).alias("at")
     )
     numbered = materialize(numbered, "numbered")
 
@@ -278,20 +291,44 @@ def extract_text(
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            out: dict = {"page_id": [], "page": [], "shared": []}
+            out: dict = {"row": [], "host": [], "same": [], "line": [], "hash": [], "shared": []}
             for page in batch.to_pylist():
                 near = [p for p in (page["previous"], page["following"]) if p and p["host"] == page["host"]]
                 partner = max(near, key=lambda p: _segments_shared(page["path"], p["path"]), default=None)
-                shared = common_subsequence(page["hashes"], partner["hashes"]) if partner else []
+                shared = set(common_subsequence(page["hashes"], partner["hashes"]) if partner else ())
                 if shared and page["bare"]:
-                    out["page_id"].append(page["page_id"])
-                    out["page"].append(page["page"])
-                    out["shared"].append(shared)
+                    n = len(page["hashes"])
+                    for name in ("row", "host", "same"):
+                        out[name] += [page[name]] * n
+                    out["line"] += range(n)
+                    out["hash"] += page["hashes"]
+                    out["shared"] += [line in shared for line in range(n)]
             yield out
 
-    aligned = map_batches(paired, align, "page_id long, page long, shared array<long>")
-    # Repeated rows of a page have other neighbours; the largest list of lines holds for all of them.
-    aligned = materialize(aligned.groupBy("page").agg(F.max("shared").alias("shared")), "aligned")
+    schema = "row long, host string, same binary, line long, hash long, shared boolean"
+    aligned = materialize(map_batches(paired, align, schema), "aligned")
+    asked = materialize(aligned.select("host", "hash").distinct(), "asked")
+    standing = maybe_in(numbered.select("host", "path", "hashes"), asked, "host")
+    standing = maybe_in(standing.select("host", "path", F.explode("hashes").alias("hash")), asked, "host", "hash")
+    site = standing.distinct().groupBy("host", "hash").count().where(F.col("count") >= SITE_PATHS)
+    site = materialize(site.select("host", "hash", F.lit(True).alias("site")), "site")
+    judged = aligned.join(site, ["host", "hash"], "left").withColumn("site", F.coalesce("site", F.lit(False)))
+    left = ~F.col("site")
+    judged = judged.groupBy("row").agg(
+        F.min("host").alias("host"),
+        F.min("same").alias("same"),
+        F.count_if(left).alias("left"),
+        F.count_if(left & F.col("shared")).alias("left_shared"),
+        F.collect_list(F.when(F.col("shared"), F.col("line"))).alias("shared"),
+        F.collect_list(F.when(F.col("shared") & F.col("site"), F.col("line"))).alias("shared_site"),
+    )
+    near_copy = F.col("left_shared") * 2 > F.col("left")
+    gone = judged.select("host", "same", F.when(near_copy, F.col("shared_site")).otherwise(F.col("shared")).alias("gone"))
+    gone = materialize(gone.where(F.size("gone") > 0), "gone")
+    # Equal lines lose the same ones, except where they stand in an article.
+    losers = keyed.where("bare").select("host", "same", "page").distinct()
+    losers = materialize(losers, "losers").join(gone, ["host", "same"])
+    aligned = materialize(losers.select("page", F.col("gone").alias("shared")), "losing")
     pages_marked = marked_in(rows, aligned, "page")
     losing = pages_marked.where("__maybe").join(aligned, "page", "left").select("page_id", "url", "html", "shared")
     others = pages_marked.where("not __maybe").select(

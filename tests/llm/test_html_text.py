@@ -93,3 +93,41 @@ def test_a_long_page(spark):
     rows = [(1, "http://h/1", f"<article>{html}</article>"), (2, "http://h/2", html.replace("line 77<", "other<"))]
     got = ran(spark, rows)
     assert got[1][0].count("\n\n") == 29_999 and got[2] == ("\n\n".join(["other"] * 6), 40, 29_994)
+
+
+def lines_of(*own):
+    return "".join(f"<p>{t}</p>" for t in ("Welcome", *own, "All rights"))
+
+
+def test_copies_keep_their_text(spark):
+    """Pages whose neighbour is a copy of them, as by scheme, query or repeated rows; the site's lines still go."""
+    rows = [
+        (1, "http://h/a", lines_of("one", "two")), (2, "https://h/a", lines_of("one", "two")),
+        (3, "http://h/a?x=1", lines_of("one", "two")), (4, "http://h/b", lines_of("three")), (5, "http://h/c", lines_of("four")),
+        (6, "http://pair/a", lines_of("five")), (7, "http://pair/b", lines_of("five")), (8, "http://pair/b", lines_of("five")),
+        (9, "http://mixed/a", "<p>x</p><p>y</p>"), (10, "http://mixed/b", "<article><p>x</p><p>y</p></article>"),
+    ]
+    got = ran(spark, rows)
+    assert got[1] == got[2] == got[3] == ("one\n\ntwo", 8, 2)
+    assert got[4] == ("three", 5, 2) and got[5] == ("four", 4, 2)
+    assert got[6] == got[7] == got[8] == ("Welcome\n\nfive\n\nAll rights", 25, 0)
+    assert got[9] == got[10] == ("x\n\ny", 4, 0)
+
+
+def test_near_copies_keep_what_they_share(spark):
+    body = [f"line {i}" for i in range(8)]
+    rows = [
+        (1, "http://h/a", lines_of(*body, "day 1")), (2, "http://h/a?d=2", lines_of(*body, "day 2")),
+        (3, "http://h/a?d=3", lines_of(*body, "day 3")), (4, "http://h/b", lines_of("three")), (5, "http://h/c", lines_of("four")),
+        (6, "http://pair/a", "".join(f"<p>{t}</p>" for t in body)), (7, "http://pair/b", "".join(f"<p>{t}</p>" for t in body[1:])),
+    ]
+    got = ran(spark, rows)
+    for day in (1, 2, 3):
+        assert got[day][0] == "\n\n".join([*body, f"day {day}"]) and got[day][2] == 2
+    assert got[6][0] == "\n\n".join(body) and got[7][0] == "\n\n".join(body[1:])
+
+
+def test_a_line_on_many_pages(spark):
+    """A host of copies, each page twice: the line that all share goes, each page's own stays."""
+    rows = [(i, f"http://h/{i // 2:04d}", f"<p>menu</p><p>own {i // 2}</p>") for i in range(200)]
+    assert ran(spark, rows) == {i: (f"own {i // 2}", len(f"own {i // 2}"), 1) for i in range(200)}
