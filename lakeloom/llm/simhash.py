@@ -8,11 +8,11 @@ from itertools import chain, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm.arrow import map_batches, utf8
-from lakeloom.llm.bitmap import without
+from lakeloom.llm.bitmap import maybe_in, without
 from lakeloom.llm.components import components
 from lakeloom.session import materialize
 
@@ -55,14 +55,24 @@ def fingerprint(text: bytes, shingle: int) -> int:
     return sum(1 << int(bit) for bit in np.flatnonzero(counts * 2 > n))
 
 
-def fingerprints(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int, id_col: str, text_col: str, digest: bool = False) -> DataFrame:
+    """doc_id and fp of each row, and the digest of its text (NULL of NULL) if wanted."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             values = np.array([fingerprint(text, shingle) for text in utf8(batch.column(1))], dtype=np.uint64)
-            yield {"doc_id": batch.column(0), "fp": values.view(np.int64)}
+            found = {"doc_id": batch.column(0), "fp": values.view(np.int64)}
+            yield found | {"digest": batch.column(2)} if digest else found
+
+    text = F.col(f"`{text_col}`")
+    columns = [F.col(f"`{id_col}`").cast("long").alias("doc_id"), text]
+    columns += [_digest(text).alias("digest")] if digest else []
+    schema = "doc_id long, fp long" + (", digest binary" if digest else "")
+    return map_batches(docs.select(*columns), run, schema)
 
-    docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`"))
-    return map_batches(docs, run, "doc_id long, fp long")
+
+def _digest(text: Column) -> Column:
+    return F.unhex(F.sha2(text, 256))
 
 
 def _tallied(fps: np.ndarray, lengths: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -153,6 +163,25 @@ def batches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         yield np.stack([column.to_numpy(zero_copy_only=False).astype(np.int64) for column in batch.columns], axis=1)
 
 
+def _named(prints: DataFrame, distance: int, least: Column) -> DataFrame:
+    """(fp, component_id): the minimum ``least`` of all rows that links connect to a fingerprint."""
+    nodes = materialize(prints.groupBy("fp").agg(least.alias("least")), "nodes")
+    roots = materialize(components(links(nodes.select("fp"), distance)), "roots")
+    rooted = materialize(
+        nodes.join(roots, F.col("fp") == F.col("node"), "left").select(
+            "fp", "least", F.coalesce("root", "fp").alias("root")
+        ),
+        "rooted",
+    )
+    names = materialize(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "names")
+    return materialize(rooted.join(names, "root").select("fp", "component_id"), "named")
+
+
+def _check_distance(distance: int) -> None:
+    if not 1 <= distance <= 3:
+        raise ValueError("distance has to be 1, 2 or 3: postings leave that many bytes open")
+
+
 def simhash_groups(
     docs: DataFrame, shingle: int = 3, distance: int = 2, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -164,19 +193,9 @@ def simhash_groups(
     Rows that repeat an id have a row each; a NULL id has a component but names none.  Other columns are ignored; an
     empty table gives no rows.
     """
-    if not 1 <= distance <= 3:
-        raise ValueError("distance has to be 1, 2 or 3: postings leave that many bytes open")
+    _check_distance(distance)
     prints = materialize(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    roots = materialize(components(links(nodes.select("fp"), distance)), "roots")
-    rooted = materialize(
-        nodes.join(roots, F.col("fp") == F.col("node"), "left").select(
-            "fp", "least", F.coalesce("root", "fp").alias("root")
-        ),
-        "rooted",
-    )
-    names = materialize(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "names")
-    named = materialize(rooted.join(names, "root").select("fp", "component_id"), "named")
+    named = _named(prints, distance, F.min("doc_id"))
     return prints.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
@@ -185,7 +204,30 @@ def simhash_groups(
 def drop_near_copies(
     docs: DataFrame, shingle: int = 3, distance: int = 2, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs`` whose id names their component, with all their columns."""
-    report = simhash_groups(docs, shingle, distance, id_col, text_col)
-    dropped = report.where("not (doc_id <=> component_id)").select(F.col("doc_id").alias("__id"))
-    return without(docs, materialize(dropped.distinct(), "dropped"), __id=id_col)
+    """One row of each component that ``simhash_groups`` finds, with all its columns.
+
+    The row of the smallest id stays, of a component without ids one that has none; of several texts of that id, the
+    one of the smallest digest.  Rows are looked up by id and digest, so a row goes for its own text only, whatever
+    other rows have its id; of rows that are equal in both, any one stays.
+    """
+    _check_distance(distance)
+    prints = materialize(fingerprints(docs, shingle, id_col, text_col, digest=True), "fingerprints")
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
+    named = _named(prints, distance, F.min(key))
+    # A key has one text, and so one fingerprint and component.
+    kept = key.eqNullSafe(F.col("component_id")).alias("kept")
+    keys = prints.join(named, "fp").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), kept)
+    keys = keys.groupBy("__id", "__digest", "kept").count().where("not kept or count > 1")
+    keys = materialize(keys, "keys")
+    own = docs.withColumn("__own", _digest(F.col(f"`{text_col}`")))
+    names = {"__digest": "__own", "__id": id_col}
+    rest = without(own, keys.select("__id", "__digest"), **names).select(*[F.col(f"`{c}`") for c in docs.columns])
+    again = keys.where("kept").select("__id", "__digest")
+    if again.isEmpty():
+        return rest
+    # Grouped before they are joined, so that no task gets all rows of a key.
+    whole = F.first(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("__row")
+    once = maybe_in(own.withColumn("__digest", F.col("__own")), again, "__digest")
+    once = once.groupBy(F.col(f"`{id_col}`").alias("__same"), "__own").agg(whole)
+    same = F.col("__same").eqNullSafe(F.col("__id")) & F.col("__own").eqNullSafe(F.col("__digest"))
+    return rest.unionByName(once.join(again, same, "left_semi").select("__row.*"))

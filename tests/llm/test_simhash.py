@@ -87,6 +87,30 @@ def test_empty_repeated_and_clashing(spark):
     assert sorted(r.doc_id for r in drop_near_copies(docs).collect()) == [5, 5, 9]
 
 
+def kept(spark, rows):
+    docs = spark.createDataFrame([(*r, n) for n, r in enumerate(rows)], "doc_id long, text string, `n.o` int")
+    found = drop_near_copies(docs)
+    assert found.columns == docs.columns
+    return sorted((r[:2] for r in found.collect()), key=repr)
+
+
+A, B = "one two three four five", "six seven eight nine ten"
+
+
+def test_rows_go_for_their_own_text_only(spark):
+    near = B.upper()  # an equal fingerprint, another text
+    assert kept(spark, [(None, A), (None, ""), (1, "")]) == [(1, ""), (None, A)]
+    assert kept(spark, [(3, near), (5, A), (5, B)]) == [(3, near), (5, A)]
+    assert kept(spark, [(None, A), (None, B), (7, near), (None, "x y z w")]) == [(7, near), (None, A), (None, "x y z w")]
+
+
+def test_one_row_of_each_group_stays(spark):
+    assert len(kept(spark, [(5, B), (5, B.upper()), (6, A)])) == 2
+    assert len(kept(spark, [(None, B), (None, B.upper()), (None, A), (None, A)])) == 2
+    assert kept(spark, [(5, A), (5, A), (None, A), (9, None), (9, None)]) == [(5, A), (9, None)]
+    assert len(kept(spark, [(9, None), (9, ""), (None, None)])) == 1
+
+
 def test_distance_is_checked(spark):
     with pytest.raises(ValueError):
         simhash_groups(spark.createDataFrame([], "doc_id long, text string"), distance=5)
