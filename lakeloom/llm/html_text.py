@@ -37,12 +37,21 @@ DROPPED = set(
     "svg canvas dialog menu xmp audio video".split()
 )
 DROPPED_ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu".split())
-# Parts of class and id names that mark what is no article.
+# Class and id names, or their first or last parts, that mark what is no article.
 DROPPED_NAMES = set(
     "ad ads advert advertisement adverts advertising banner breadcrumb breadcrumbs comment comments consent cookie "
     "cookies disclaimer footer login masthead menu modal nav navbar navigation newsletter notice notices pagination "
     "popup promo related share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+# First parts of names that tell of a layout or state, and names of a wrapper of the whole.
+STATES = set("has is no not with without".split())
+# Words that are also the last part of other names (share-price, related-work): they mark an element only alone, as the
+# last part, or before one of these.
+LOOSE = set("comment comments consent login menu modal notice notices promo related share social sponsor".split())
+KINDS = set(
+    "area bar block box button buttons container content form icons inner item items link links list menu overlay panel "
+    "posts section stories wrapper".split()
+)
 # An end that is left out: opening the first closes an open one of the second.
 CLOSES = {"li": {"li"}, "p": {"p"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "option": {"option"}}
 # Elements that an end left out does not reach over.
@@ -51,6 +60,8 @@ ENDS_P = BLOCKS - {"body", "html", "head", "option", "optgroup", "tbody", "thead
 
 # Where a line stands: in an article, in other main content, elsewhere.
 ARTICLE, MAIN, ELSEWHERE = 2, 1, 0
+# How an element is dropped: by its names, which an article or main element in it overrides, or by what it is.
+BY_NAME, BY_KIND = 1, 2
 # A line on different pages of so many paths of a host is the site's.
 SITE_PATHS = 3
 
@@ -62,20 +73,33 @@ def _attributes(raw: str) -> dict[str, str]:
     return found
 
 
-def _region(tag: str, attributes: dict[str, str], level: int) -> tuple[bool, int]:
-    """Whether an element is dropped, and the level of its content."""
+def _named_dropped(names: str) -> bool:
+    """Whether a class or id name marks an element as no article."""
+    for name in names.split():
+        parts = [part for part in re.split(r"[_-]+", name) if part]
+        if not parts or not STATES.isdisjoint(parts[:-1]):
+            continue
+        first, last = parts[0], parts[-1]
+        if last in DROPPED_NAMES or (first in DROPPED_NAMES and (first not in LOOSE or last in KINDS or last.isdigit())):
+            return True
+    return False
+
+
+def _region(tag: str, attributes: dict[str, str], level: int) -> tuple[int, int]:
+    """Whether an element is dropped (BY_NAME or BY_KIND, else 0), and the level of its content."""
     names = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()
     role = attributes.get("role", "").lower()
     style = attributes.get("style", "").replace(" ", "").lower()
-    drop = (
+    by_kind = (
         tag in DROPPED
         or (tag == "header" and level < ARTICLE)
         or role in DROPPED_ROLES
         or "hidden" in attributes
         or attributes.get("aria-hidden", "").lower() == "true"
         or "display:none" in style
-        or (tag not in ("body", "html", "main") and not DROPPED_NAMES.isdisjoint(re.split(r"[\s_-]+", names)))
     )
+    wrapper = tag in ("body", "html", "main", "article") or role in ("main", "article")
+    drop = BY_KIND if by_kind else BY_NAME if not wrapper and _named_dropped(names) else 0
     if tag == "article" or role == "article" or attributes.get("itemprop", "").lower() == "articlebody":
         level = ARTICLE
     elif tag == "main" or role == "main":
@@ -87,7 +111,7 @@ def page_lines(html: str) -> list[tuple[str, int]]:
     """(text, level) of each block that is not in a dropped region, in page order."""
     lines: list[tuple[str, int]] = []
     parts: list[str] = []
-    stack: list[tuple[str, bool, int]] = [("", False, ELSEWHERE)]
+    stack: list[tuple[str, int, int]] = [("", 0, ELSEWHERE)]
 
     def flush() -> None:
         if parts:
@@ -136,8 +160,10 @@ def page_lines(html: str) -> list[tuple[str, int]]:
         drop, inner = _region(tag, attributes, level)
         if inner != level:
             flush()
+            if level == ELSEWHERE and dropped == BY_NAME:
+                dropped = 0
         if not (found[3].endswith("/") and tag not in BLOCKS and tag not in RAW):
-            stack.append((tag, dropped or drop, inner))
+            stack.append((tag, max(dropped, drop), inner))
     flush()
     return lines
 

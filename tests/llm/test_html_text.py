@@ -131,3 +131,16 @@ def test_a_line_on_many_pages(spark):
     """A host of copies, each page twice: the line that all share goes, each page's own stays."""
     rows = [(i, f"http://h/{i // 2:04d}", f"<p>menu</p><p>own {i // 2}</p>") for i in range(200)]
     assert ran(spark, rows) == {i: (f"own {i // 2}", len(f"own {i // 2}"), 1) for i in range(200)}
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<article class='post no-comments'>a</article>", ["a"]), ("<div id='page' class='site no-sidebar'>a</div>", ["a"]),
+    ("<div class='content with-banner'>a</div>", ["a"]), ("<div class='share-price'>a</div>", ["a"]),
+    ("<section class='related-work'>a</section>", ["a"]), ("<article class='comments'>a</article>", ["a"]),
+    ("<div class='sidebar-right'>x<main><p>a</p></main>y</div>", ["a"]), ("<div class='post-has-sidebar'>a</div>", ["a"]),
+    ("<div class='ad'>x</div><p class='ad-box'>x</p><div id='top_ad'>x</div>a", ["a"]),
+    ("<div class='sidebar'>x</div><ul class='share-buttons'><li>x</ul><p id='comment-7'>x</p>a", ["a"]),
+    ("<main>a<div class='comments'><article>x</article></div></main>", ["a"]), ("<nav><main>x</main></nav>a", ["a"]),
+])
+def test_names_of_layout_and_state(page, want):
+    assert texts(page) == want
