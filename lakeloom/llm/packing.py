@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -15,12 +16,16 @@ import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from lakeloom.llm.arrow import map_batches
 from lakeloom.session import materialize
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 END = 0  # the id that ends each document
+# Texts with more white space in a row go through the slower library.
+LONG_SPACE = 100_000
+SPACE_RUN = re.compile(r"\s+")
 
 
 def _byte_values() -> dict[str, int]:
@@ -30,27 +35,44 @@ def _byte_values() -> dict[str, int]:
     return {chr(byte): byte for byte in plain} | {chr(256 + n): byte for n, byte in enumerate(others)}
 
 
-def encoder(vocabulary: str) -> tiktoken.Encoding:
+class ByteBpe:
     """The byte-level BPE of a tokenizers file, whose ids order its merges, run by the faster library.
 
-    Tokens, ids and added tokens are those of the file.  ``encode_ids`` gives the ids that ``tokenizers`` gives by its
-    defaults (tested on all code points and tokens).
+    Tokens, ids and added tokens are those of the file.  ``ids`` gives what ``tokenizers`` gives with
+    add_special_tokens=False (tested on all code points and tokens): by its defaults, which cut a text at added tokens
+    first, or, without ``added``, as with encode_special_tokens=True, which takes their strings as plain text.  The
+    faster library fails on a million characters of white space in a row; texts with long runs go through ``tokenizers``.
     """
-    with open(vocabulary, encoding="utf-8") as file:
-        loaded = json.load(file)
-    for token in loaded["added_tokens"]:
-        if token["single_word"] or token["lstrip"] or token["rstrip"] or token["normalized"]:
-            raise ValueError(f"added token {token['content']!r} is not matched as it stands")
-    value = _byte_values()
-    added = {token["content"]: token["id"] for token in loaded["added_tokens"]}
-    vocab = loaded["model"]["vocab"].items()
-    ranks = {bytes(value[c] for c in token): rank for token, rank in vocab if token not in added}
-    return tiktoken.Encoding("bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
 
-
-def encode_ids(encoding: tiktoken.Encoding, text: str) -> np.ndarray:
-    """The ids of a text, cut at added tokens first, as ``tokenizers`` does with add_special_tokens=False."""
-    return encoding.encode_to_numpy(text, allowed_special="all", disallowed_special=())
+    def __init__(self, vocabulary: str, added: bool = True) -> None:
+        self.vocabulary, self.added, self.second = vocabulary, added, None
+        with open(vocabulary, encoding="utf-8") as file:
+            loaded = json.load(file)
+        for token in loaded["added_tokens"]:
+            if token["single_word"] or token["lstrip"] or token["rstrip"] or token["normalized"]:
+                raise ValueError(f"added token {token['content']!r} is not matched as it stands")
+        value = _byte_values()
+        special = {token["content"]: token["id"] for token in loaded["added_tokens"]}
+        vocab = loaded["model"]["vocab"].items()
+        self.ranks = {bytes(value[c] for c in token): rank for token, rank in vocab if token not in special}
+        self.first = tiktoken.Encoding(
+            "bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=self.ranks, special_tokens=special if added else {}
+        )
+
+    def token_bytes(self) -> list[bytes]:
+        """The bytes of each id of the vocabulary, added tokens aside."""
+        found = [b""] * (max(self.ranks.values()) + 1)
+        for token, rank in self.ranks.items():
+            found[rank] = token
+        return found
+
+    def ids(self, text: str) -> np.ndarray:
+        if len(text) > LONG_SPACE and any(m.end() - m.start() > LONG_SPACE for m in SPACE_RUN.finditer(text)):
+            if self.second is None:
+                self.second = Tokenizer.from_file(self.vocabulary)
+                self.second.encode_special_tokens = not self.added
+            return np.array(self.second.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+        return self.first.encode_to_numpy(text, allowed_special="all", disallowed_special=())
 
 
 def pieces(docs: DataFrame, capacity: int, vocabulary: str, id_col: str, text_col: str) -> DataFrame:
@@ -60,13 +82,13 @@ def pieces(docs: DataFrame, capacity: int, vocabulary: str, id_col: str, text_co
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        encoding = encoder(vocabulary)
+        encoding = ByteBpe(vocabulary)
         part = TaskContext.get().partitionId()
         seen = [0] * (capacity + 1)
         for batch in batches:
             rows, out = [], defaultdict(list)
             for row, text in enumerate(batch.column(1).to_pylist()):
-                ids = np.append(encode_ids(encoding, text or ""), END).astype("<u4")
+                ids = np.append(encoding.ids(text or ""), END).astype("<u4")
                 start, length = 0, len(ids) % capacity or capacity  # the first piece takes what is left over
                 number = 0
                 while start < len(ids):

@@ -6,14 +6,12 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from lakeloom.llm.packing import VOCABULARY, encode_ids, encoder, pack, slots, solve
+from lakeloom.llm.packing import VOCABULARY, ByteBpe, pack, slots, solve
 
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    loaded = Tokenizer.from_file(VOCABULARY)
-    loaded.encode_special_tokens = True  # their strings in a text are ordinary text
-    return loaded
+    return Tokenizer.from_file(VOCABULARY)
 
 
 def check(rows, found, tokenizer, capacity):
@@ -51,8 +49,35 @@ def test_documents(spark, tokenizer):
 def test_ids_equal_on_all_code_points(tokenizer):
     texts = [f"a{chr(c)}b {chr(c)} 1{chr(c)}{chr(c)} ." for c in range(0x110000) if not 0xD800 <= c < 0xE000]
     step = texts[::11] + texts[:3000]
-    own = encoder(VOCABULARY).encode_ordinary_batch(step)
-    assert [e.ids for e in tokenizer.encode_batch(step, add_special_tokens=False)] == own
+    own = ByteBpe(VOCABULARY)
+    assert [e.ids for e in tokenizer.encode_batch(step, add_special_tokens=False)] == [own.ids(t).tolist() for t in step]
+
+
+LONG = 3_000_000
+
+
+@pytest.mark.parametrize(
+    "text",
+    [" " * LONG, "\n" * LONG, "\t" * LONG + "word", "a" + " \n\u3000" * (LONG // 3) + " b <|endoftext|> c", "x" * LONG],
+    ids=["spaces", "line ends", "tabs and a word", "mixed", "letters"],
+)
+def test_long_runs(tokenizer, text):
+    assert ByteBpe(VOCABULARY).ids(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_added_tokens_as_plain_text(tokenizer):
+    other = Tokenizer.from_file(VOCABULARY)
+    other.encode_special_tokens = True
+    plain = ByteBpe(VOCABULARY, added=False)
+    for text in ("<|endoftext|> x", " <|endoftext|><|endoftext|>", "x" + " " * 150_000 + "<|endoftext|>"):
+        assert plain.ids(text).tolist() == other.encode(text, add_special_tokens=False).ids
+        assert b"".join(plain.token_bytes()[i] for i in plain.ids(text)).decode() == text
+        assert ByteBpe(VOCABULARY).ids(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_long_white_space_packs(spark, tokenizer):
+    rows = [(1, " " * 1_500_000), (2, "a b"), (3, "a" + "\n" * 1_200_000 + "b")]
+    assert check(rows, pack(spark.createDataFrame(rows, "doc_id long, text string")).collect(), tokenizer, 2048)
 
 
 @pytest.mark.parametrize("seed", range(6))
@@ -97,9 +122,39 @@ def test_added_tokens_have_their_ids(spark):
 
 
 def test_ids_equal_those_of_the_unmodified_file():
-    unmodified, own = Tokenizer.from_file(VOCABULARY), encoder(VOCABULARY)
+    unmodified, own = Tokenizer.from_file(VOCABULARY), ByteBpe(VOCABULARY)
     texts = ADDED + [unmodified.decode([n]) for n in range(50257)]
     rng = random.Random(3)
     texts += [unmodified.decode([rng.randrange(50257) for _ in range(60)]) for _ in range(3000)]
     want = [e.ids for e in unmodified.encode_batch(texts, add_special_tokens=False)]
-    assert [encode_ids(own, text).tolist() for text in texts] == want
+    assert [own.ids(text).tolist() for text in texts] == want
+
+
+def optimum(pieces, capacity):
+    """The least number of sequences, by exhaustive search over small inputs."""
+    best = len(pieces)
+
+    def place(left, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if not left:
+            best = len(rooms)
+            return
+        for at in range(len(rooms)):
+            if rooms[at] >= left[0] and rooms[at] not in rooms[:at]:
+                place(left[1:], rooms[:at] + [rooms[at] - left[0]] + rooms[at + 1 :])
+        place(left[1:], rooms + [capacity - left[0]])
+
+    place(sorted(pieces, reverse=True), [])
+    return best
+
+
+@pytest.mark.parametrize("seed", range(25))
+def test_solver_against_exhaustive_search(seed):
+    rng = random.Random(seed)
+    capacity = rng.choice([7, 10, 20])
+    pieces = [rng.randrange(1, capacity + 1) for _ in range(rng.randrange(1, 10))]
+    packing = solve({n: pieces.count(n) for n in pieces}, capacity)
+    least = optimum(pieces, capacity)
+    assert packing.lower_bound <= least <= packing.sequences <= least + 1
