@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeloom.llm.alignment import align_tokens
 from lakeloom.llm.exact_dedup import exact_dedup
 from lakeloom.llm.html_text import extract_text
 from lakeloom.llm.mix_sources import mix_sources
@@ -150,3 +151,8 @@ def op9_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@query()
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(table(spark, sf_dir, "documents")).drop("n_together")
