@@ -12,6 +12,7 @@ from lakeloom.llm.exact_dedup import exact_dedup
 from lakeloom.llm.html_text import extract_text
 from lakeloom.llm.mix_sources import mix_sources
 from lakeloom.llm.packing import pack
+from lakeloom.llm.prefix_trie import prefix_trie
 from lakeloom.llm.quality import quality_scores, train
 from lakeloom.llm.simhash import simhash_groups
 from lakeloom.llm.substring_dedup import substring_dedup
@@ -156,3 +157,41 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_tokens(table(spark, sf_dir, "documents")).drop("n_together")
+
+
+@query("""
+with turns as (
+  select conv_id, coalesce(text, '') as text, [coalesce(role, ''), coalesce(text, '')] as said,
+    row_number() over (partition by conv_id order by turn nulls first, role, text) as place
+  from conversations where conv_id is not null),
+own as (
+  select conv_id, list(said order by place) as said,
+    xor(list_reduce(
+      list_prepend(4294967295::bigint, list_transform(string_split(conv_id::varchar, ''), lambda c: ord(c)::bigint)),
+      lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda r, i: xor(r // 2, 3988292384 * (r % 2) + i))), 4294967295) % 6 as h
+  from turns group by conv_id),
+rebuilt as (
+  select o.conv_id, list_concat(coalesce(g.said, [])[1:o.h], o.said[o.h + 1:]) as said
+  from own o left join own g on g.conv_id = o.conv_id - o.conv_id % 100),
+begun as (
+  select conv_id, d as depth, said[1:d] as node, d = len(said) as here
+  from rebuilt, unnest(range(0, len(said) + 1)) as t(d)),
+nodes as (
+  select node, any_value(depth) as depth, min(conv_id) as conv_id, count(*) as n_convs,
+    sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where here), '')) as ends_sha256
+  from begun group by node),
+weighed as (
+  select n.*, coalesce(c.n_children, 0) as n_children,
+    (n_convs - 1) * (case when n.depth > 0 then length(n.node[n.depth][2]) else 0 end) as own_saved
+  from nodes n left join (
+    select node[1:depth - 1] as above, count(*) as n_children from nodes where depth > 0 group by 1) c on c.above = n.node),
+sums as (
+  select node[1:d] as node, sum((n_children = 0)::int)::bigint as n_leaves, sum(own_saved)::bigint as saved_tokens
+  from weighed, unnest(range(0, depth + 1)) as t(d) group by 1)
+select w.conv_id, w.depth, p.conv_id as parent_conv_id, w.n_convs, w.n_children, s.n_leaves, s.saved_tokens, w.ends_sha256
+from weighed w join sums s on s.node = w.node
+  left join nodes p on w.depth > 0 and p.node = w.node[1:w.depth - 1]
+""")
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
