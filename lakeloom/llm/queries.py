@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeloom.llm import toxicity
 from lakeloom.llm.alignment import align_tokens
 from lakeloom.llm.exact_dedup import exact_dedup
 from lakeloom.llm.html_text import extract_text
@@ -195,3 +196,10 @@ from weighed w join sums s on s.node = w.node
 """)
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query()
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), most=2000)
+    return toxicity.toxicity_scores(docs, model, toxic_from=0.7)
