@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +21,12 @@ SETTINGS = {
 }
 
 
+# Where each materialized frame lies.
+_WRITTEN: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+# What was written while each open Scratch was.
+_OPEN: dict[int, list[str]] = {}
+
+
 def build_session(app_name: str = "lakeloom", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the library's settings; ``conf`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app_name)
@@ -63,5 +70,50 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     true file sizes to choose joins by.
     """
     path = scratch_path(df.sparkSession, label)
+    for paths in _OPEN.values():
+        paths.append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    _WRITTEN[written] = path
+    return written
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete materialized frames.
+
+    Only when all that was made of them is itself written: nothing can be computed from them again.
+    """
+    for frame in frames:
+        delete_path(frame.sparkSession, _WRITTEN.pop(frame))
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder, whatever file system it is on; none is no error."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+class Scratch:
+    """Owns what is materialized while it is open, and deletes it when it closes.
+
+    ``with Scratch(spark): result.write.parquet(path)`` leaves nothing but the result.  What lasts longer is written
+    before or after, or into ``keep``, which stays.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.kept = spark, set()
+
+    def __enter__(self) -> Scratch:
+        _OPEN[id(self)] = []
+        return self
+
+    def keep(self, df: DataFrame, label: str) -> DataFrame:
+        """Materialize ``df`` beyond this scratch."""
+        written = materialize(df, label)
+        self.kept.add(_WRITTEN[written])
+        return written
+
+    def __exit__(self, *_: object) -> None:
+        for path in _OPEN.pop(id(self)):
+            if path not in self.kept:
+                delete_path(self.spark, path)
