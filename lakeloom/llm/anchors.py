@@ -6,9 +6,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import xxhash
 
 # Windows of a very long text are looked at so many at a time.
-STRETCH = 1 << 20
+STRETCH = 1 << 18
 # Anchors are ordered by the upper bits of their hash, then by position, which needs this many bits.
 PLACE_BITS = 24
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -67,7 +68,7 @@ class Runs:
     at: np.ndarray
     lo: np.ndarray
     hi: np.ndarray
-    sig: np.ndarray  # hash of the tokens of all the run's windows
+    sig: np.ndarray  # hash of the tokens of all the run's windows, unlike those of anchors no sum over them
 
 
 class Winnower:
@@ -85,20 +86,19 @@ class Winnower:
         return np.frombuffer(text, dtype=np.uint8), None, None
 
     def words(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Each word between white space as a token: its hash, first byte and last byte + 1."""
+        """Each word between white space as a token: its 64-bit hash, first byte and last byte + 1."""
         raw = np.frombuffer(text, dtype=np.uint8)
         inside = np.zeros(len(raw) + 2, dtype=bool)
         inside[1:-1] = ~SPACE[raw]
         edges = np.flatnonzero(inside[1:] != inside[:-1])
         starts, ends = edges[::2], edges[1::2]
-        hashes, begin = np.empty(len(starts), dtype=np.uint64), 0
+        hashes, begin, digest = np.empty(len(starts), dtype=np.uint64), 0, xxhash.xxh3_64_intdigest
         while begin < len(starts):  # so many bytes at a time, whole words
-            base = starts[begin]
-            end = max(begin + 1, int(np.searchsorted(ends, base + STRETCH)))
-            prefix = self.one.prefix(LETTERS[raw[base : ends[end - 1]]])
-            hashes[begin:end] = self.one.spans(prefix, starts[begin:end] - base, ends[begin:end] - base)
+            end = max(begin + 1, int(np.searchsorted(ends, starts[begin] + STRETCH)))
+            words = text[starts[begin] : ends[end - 1]].split()
+            hashes[begin:end] = np.fromiter(map(digest, words), dtype=np.uint64, count=end - begin)
             begin = end
-        return scramble(hashes + (ends - starts).astype(np.uint64) * np.uint64(BASES[1])), starts, ends
+        return hashes, starts, ends
 
     def windows(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """128-bit hashes of all windows, as two arrays of 64 bits."""
@@ -114,7 +114,8 @@ class Winnower:
             yield self._runs(tokens[start : start + STRETCH + self.length - 1], start)
 
     def _runs(self, tokens: np.ndarray, offset: int) -> Runs:
-        tokens = _hashed(tokens)
+        raw, tokens = memoryview(np.ascontiguousarray(tokens)).cast("B"), _hashed(tokens)
+        width = len(raw) // len(tokens)
         prefix = self.one.prefix(tokens)
         places = np.arange(len(tokens) - self.gram + 1)
         grams = scramble((prefix[self.gram :] - prefix[: -self.gram]) * self.one.down[: len(places)])
@@ -124,5 +125,7 @@ class Winnower:
         lo = np.flatnonzero(np.r_[True, chosen[1:] != chosen[:-1]])
         hi = np.r_[lo[1:], len(chosen)] - 1
         at, ends = chosen[lo], hi + self.length
-        sig = scramble(self.one.spans(prefix, lo, ends) + ends.astype(np.uint64) - lo.astype(np.uint64))
+        spans = zip((lo * width).tolist(), (ends * width).tolist())
+        digest = xxhash.xxh3_64_intdigest
+        sig = np.fromiter((digest(raw[a:b]) for a, b in spans), dtype=np.uint64, count=len(lo))
         return Runs(grams[at], at + offset, lo + offset, hi + offset, sig)

@@ -1,20 +1,32 @@
-"""Which rows may have a key of another table, told by a bitmap of fixed size."""
+"""Which rows may have a key of another table, told by a bitmap that is sized by the number of keys."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Bits of a bitmap: 4 MiB.
-BITS = 1 << 25
+# Bits for each key: one row in 16 whose key is not there is taken for one that is, at most.
+SPARE = 16
+# The smallest bitmap, and the largest one that is broadcast: 32 KiB and 32 MiB.
+LEAST, MOST = 1 << 18, 1 << 28
+
+
+def bits_for(keys: int) -> int | None:
+    """The size of the bitmap for so many keys; None if it would be too large, and the rows are joined without one."""
+    bits = 1 << max(0, SPARE * keys - 1).bit_length()
+    return max(LEAST, bits) if bits <= MOST else None
 
 
 def marked_in(rows: DataFrame, keys: DataFrame, *key: str) -> DataFrame:
-    """``rows`` with a column ``__maybe``: true if the key is in ``keys``, and for few others while keys are few.
+    """``rows`` with a column ``__maybe``: true if the key is in ``keys``, and for one in SPARE others at most.
 
-    Keys are marked in a bitmap of fixed size, which is all that is broadcast, whatever their number.
+    Keys, a written table, are counted and marked in a bitmap, which is all that is broadcast.  Where even the largest
+    would be too full to keep rows apart, all rows may be there.
     """
-    spot = F.pmod(F.xxhash64(*key), F.lit(BITS)) + 1
+    bits = bits_for(keys.count())
+    if bits is None:
+        return rows.withColumn("__maybe", F.lit(True))
+    spot = F.pmod(F.xxhash64(*key), F.lit(bits)) + 1
     bitmap = keys.select(spot.alias("__spot")).groupBy(F.bitmap_bucket_number("__spot").alias("__bucket"))
     bitmap = bitmap.agg(F.bitmap_construct_agg(F.bitmap_bit_position("__spot")).alias("__bits"))
     found = rows.withColumn("__spot", spot).withColumn("__bucket", F.bitmap_bucket_number("__spot"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -13,12 +13,14 @@ from pyspark.sql import functions as F
 from lakeloom.llm.anchors import Winnower
 from lakeloom.llm.arrow import map_batches, utf8
 from lakeloom.llm.bitmap import marked_in, maybe_in
-from lakeloom.session import materialize
+from lakeloom.session import discard, materialize
 
 # Stands for a NULL id: it orders before all others.
 NO_ID = -(1 << 63)
 # No text has so many tokens.
 PLACES = 1 << 40
+# Surroundings of one anchor that a task looks into at a time.
+CROWD = 512
 
 
 @dataclass(frozen=True)
@@ -99,7 +101,9 @@ def judged_runs(texts: DataFrame, units: Units) -> DataFrame:
     classes = runs.groupBy("hash", "sig").agg(F.min(units.place()).alias("first"))
     judged = runs.join(materialize(classes, "classes"), ["hash", "sig"])
     judged = judged.withColumn("later", units.place() > F.col("first")).where("later or varied")
-    return materialize(judged.select("hash", "doc", "th", "at", "back", "ahead", "later"), "judged")
+    judged = materialize(judged.select("hash", "doc", "th", "at", "back", "ahead", "later"), "judged")
+    discard(found, repeated, runs)
+    return judged
 
 
 def later_spans(judged: DataFrame, units: Units) -> DataFrame:
@@ -109,69 +113,135 @@ def later_spans(judged: DataFrame, units: Units) -> DataFrame:
 
 
 def surroundings(texts: DataFrame, judged: DataFrame, units: Units) -> DataFrame:
-    """The text of the runs left to look into: (hash, doc, th, lo, body), written to the shared folder."""
-    run = F.struct("hash", (F.col("at") - F.col("back")).alias("lo"), (F.col("at") + F.col("ahead")).alias("hi"))
-    lists = judged.where("not later").groupBy("doc", "th").agg(F.collect_list(run).alias("runs"))
-    lists = materialize(
-        lists.select(
-            "doc", "th", F.col("runs.hash").alias("hashes"), F.col("runs.lo").alias("lows"),
-            F.col("runs.hi").alias("highs"),
-        ),
-        "lists",
+    """What is left to look into: (hash, part, crowded, doc, th, lo, back, body), written to the shared folder.
+
+    ``body`` is the text of the run of windows that starts at ``lo``, with the anchor ``back`` tokens further.  Each run is
+    there once, however often its row is repeated.  Runs of an anchor that has more than CROWD are ``crowded`` and dealt
+    over parts of about that many.
+    """
+    own = judged.where("not later")
+    crowds = own.groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") > CROWD)
+    crowds = materialize(crowds.select("hash", F.ceil(F.col("n") / CROWD).alias("parts")), "crowds")
+    own = own.join(crowds, "hash", "left")
+    part = F.pmod(F.xxhash64("doc", "th", "at"), F.coalesce("parts", F.lit(1).cast("long")))
+    run = F.struct(
+        "hash", part.alias("part"), F.col("parts").isNotNull().alias("crowded"),
+        (F.col("at") - F.col("back")).alias("lo"), (F.col("at") + F.col("ahead")).alias("hi"), "back",
     )
-    marked = maybe_in(texts, lists, "doc", "th").join(lists, ["doc", "th"])
+    lists = materialize(own.groupBy("doc", "th").agg(F.collect_set(run).alias("runs")), "lists")
+    # One text for all rows that repeat it: combined before the shuffle.
+    once = maybe_in(texts, lists, "doc", "th").groupBy("doc", "th").agg(F.first("text").alias("text"))
+    marked = once.join(lists, ["doc", "th"])
+    names = ("hash", "part", "crowded", "back")
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         _, cut = units.winnower()
         for batch in batches:
-            out: dict = {"hash": [], "doc": [], "th": [], "lo": [], "body": []}
-            docs, ths = batch.column("doc").to_pylist(), batch.column("th").to_pylist()
             for row, text in enumerate(utf8(batch.column("text"))):
                 _, starts, ends = cut(text)
-                hashes, lows, highs = (
-                    batch.column(name)[row].values.to_numpy(zero_copy_only=False) for name in ("hashes", "lows", "highs")
-                )
+                runs = batch.column("runs")[row].values
+                lows, highs = (runs.field(name).to_numpy(zero_copy_only=False) for name in ("lo", "hi"))
                 first, last = lows, highs + units.length
                 if starts is not None:
                     first, last = starts[first], ends[last - 1]
-                out["hash"] += hashes.tolist()
-                out["doc"] += [docs[row]] * len(hashes)
-                out["th"] += [ths[row]] * len(hashes)
-                out["lo"] += lows.tolist()
-                out["body"] += [text[a:b] for a, b in zip(first.tolist(), last.tolist())]
-            yield out
+                n = len(lows)
+                yield {
+                    **{name: runs.field(name) for name in names}, "lo": lows,
+                    "doc": [batch.column("doc")[row].as_py()] * n, "th": [batch.column("th")[row].as_py()] * n,
+                    "body": [text[a:b] for a, b in zip(first.tolist(), last.tolist())],
+                }
+
+    schema = "hash long, part long, crowded boolean, back int, lo long, doc long, th long, body binary"
+    bodies = materialize(map_batches(marked.select("doc", "th", "text", "runs"), cut_out, schema), "left")
+    discard(lists, crowds)
+    return bodies
+
+
+@dataclass(frozen=True)
+class Body:
+    """A run of windows around an anchor, as ``surroundings`` gives it."""
 
-    return materialize(map_batches(marked, cut_out, "hash long, doc long, th long, lo long, body binary"), "left")
+    hash: int
+    part: int
+    crowded: bool
+    doc: int
+    th: int
+    lo: int
+    back: int
+    text: bytes
 
 
-def window_spans(left: DataFrame, units: Units) -> DataFrame:
-    """Spans of single windows that also start further up, for runs (doc, th, lo, body)."""
+# Spans (doc, th, start, end); with an end of NULL a window that another part may know to start further up.
+FOUND = "doc long, th long, start long, end long, one long, two long"
+
+
+def spans_around_anchors(
+    bodies: DataFrame, units: Units, find: Callable[[list[Body], object], tuple[np.ndarray, ...]], held: int
+) -> DataFrame:
+    """Spans (doc, th, start, end) of repeats between the surroundings of each anchor, without repeats of one part only.
+
+    Bodies are dealt by anchor and part, and ``find`` (bodies, winnower) gives (body, start, end) of all that starts
+    further up in another of them, for the bodies of several anchors, of about ``held`` bytes.  A part hands on
+    the earliest start of each of its windows, by a 128-bit hash, to be compared with that of the anchor's other parts.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         winnower, cut = units.winnower()
+
+        def found(rows: list[Body]) -> Iterator[dict]:
+            docs, ths = (np.array([getattr(r, name) for r in rows], dtype=np.int64) for name in ("doc", "th"))
+            body, start, end = find(rows, winnower)
+            if len(body):
+                none = pa.nulls(len(body), pa.int64())
+                yield {"doc": docs[body], "th": ths[body], "start": start, "end": end, "one": none, "two": none}
+            crowd = [n for n, r in enumerate(rows) if r.crowded]
+            if crowd:
+                body, start, one, two = _first_windows(rows, crowd, docs, winnower, cut, units.inside)
+                none = pa.nulls(len(body), pa.int64())
+                yield {"doc": docs[body], "th": ths[body], "start": start, "end": none, "one": one, "two": two}
+
+        rows: list[Body] = []
+        size = 0
         for batch in batches:
-            lows = batch.column(2).to_numpy()
-            found = [winnower.windows(cut(body)[0]) for body in utf8(batch.column(3))]
-            counts = [len(one) for one, _ in found]
-            rows = np.repeat(np.arange(len(found)), counts)
-            if not len(rows):
-                continue
-            yield {
-                "one": np.concatenate([one for one, _ in found]).view(np.int64),
-                "two": np.concatenate([two for _, two in found]).view(np.int64),
-                "doc": batch.column(0).take(pa.array(rows)),
-                "th": batch.column(1).take(pa.array(rows)),
-                "at": lows[rows] + np.concatenate([np.arange(n) for n in counts]),
-            }
-
-    windows = map_batches(
-        left.select("doc", "th", "lo", "body"), run, "one long, two long, doc long, th long, at long"
-    )
-    windows = materialize(windows, "windows")
-    firsts = windows.groupBy("one", "two").agg(F.min(units.place()).alias("first"), F.max(units.place()).alias("last"))
+            columns = [batch.column(i).to_pylist() for i in range(7)]
+            for row in zip(*columns, utf8(batch.column(7))):
+                row = Body(*row)
+                if size > held and (row.hash, row.part) != (rows[-1].hash, rows[-1].part):
+                    yield from found(rows)
+                    rows, size = [], 0
+                rows.append(row)
+                size += len(row.text)
+        if rows:
+            yield from found(rows)
+
+    rows = bodies.select("hash", "part", "crowded", "doc", "th", "lo", "back", "body")
+    dealt = rows.repartition("hash", "part").sortWithinPartitions("hash", "part")
+    found = materialize(map_batches(dealt, run, FOUND), "found")
+    handed = found.where("end is null").withColumnRenamed("start", "at")
+    firsts = handed.groupBy("one", "two").agg(F.min(units.place()).alias("first"), F.max(units.place()).alias("last"))
     firsts = materialize(firsts.where("first < last").drop("last"), "firsts")
-    spans = windows.join(firsts, ["one", "two"]).where(units.place() > F.col("first"))
-    return spans.select("doc", "th", F.col("at").alias("start"), (F.col("at") + units.length).alias("end"))
+    more = handed.join(firsts, ["one", "two"]).where(units.place() > F.col("first"))
+    more = more.select("doc", "th", F.col("at").alias("start"), (F.col("at") + units.length).alias("end"))
+    return found.where("end is not null").select("doc", "th", "start", "end").unionByName(more)
+
+
+def _first_windows(
+    rows: list[Body], crowd: list[int], docs: np.ndarray, winnower: Winnower, cut: Callable, inside: bool
+) -> tuple[np.ndarray, ...]:
+    """(body, start, one, two) of the earliest starts of every window of the crowded bodies."""
+    hashes = [winnower.windows(cut(rows[n].text)[0]) for n in crowd]
+    counts = np.array([len(one) for one, _ in hashes])
+    body = np.repeat(np.array(crowd), counts)
+    within = np.arange(len(body)) - np.repeat(np.cumsum(counts) - counts, counts)
+    start = np.array([r.lo for r in rows], dtype=np.int64)[body] + within
+    one, two = (np.concatenate([pair[i] for pair in hashes]).view(np.int64) for i in (0, 1))
+    order = np.lexsort((start, docs[body], two, one))
+    body, start, one, two = body[order], start[order], one[order], two[order]
+    new = np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])])
+    if not inside:  # all starts in the smallest document
+        group = np.cumsum(new) - 1
+        new = docs[body] == docs[body][np.flatnonzero(new)][group]
+    return body[new], start[new], one[new], two[new]
 
 
 def with_spans(docs: DataFrame, spans: DataFrame, id_col: str, text_col: str) -> DataFrame:

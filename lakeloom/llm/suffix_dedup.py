@@ -8,16 +8,23 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from lakeloom.llm.anchors import BASES, LETTERS, Powers
 from lakeloom.llm.arrow import map_batches, utf8
-from lakeloom.llm.repeats import Units, covered, judged_runs, keyed, later_spans, surroundings, window_spans, with_spans
-from lakeloom.session import materialize
-
-# An array is closed at the next anchor when it has so many suffixes, and no anchor brings more than so many.
-ARRAY = 1 << 16
-MANY = 1 << 18
+from lakeloom.llm.repeats import (
+    Body,
+    Units,
+    covered,
+    judged_runs,
+    keyed,
+    later_spans,
+    spans_around_anchors,
+    surroundings,
+    with_spans,
+)
+
+# Bytes of surroundings in one array, which is closed at the next anchor, or part of a crowded one, beyond them.
+ARRAY = 1 << 17
 # Neighbours whose bytes are compared at a time.
 COMPARED = 1 << 13
 
@@ -102,9 +109,10 @@ def maximal_repeats(suffixes: Suffixes, length: int) -> Iterator[tuple[int, slic
             yield depth, slice(first, last + 1)
 
 
-def _removed(bodies: list[bytes], docs: np.ndarray, lows: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """(body, start, bytes) of all occurrences but the earliest of each maximal repeat."""
-    suffixes = suffix_array(bodies, length)
+def later_occurrences(bodies: list[Body], length: int) -> tuple[np.ndarray, ...]:
+    """(body, start, end) of all occurrences but the earliest of each maximal repeat."""
+    docs, lows = (np.array([getattr(b, name) for b in bodies], dtype=np.int64) for name in ("doc", "lo"))
+    suffixes = suffix_array([b.text for b in bodies], length)
     doc, start = docs[suffixes.body], lows[suffixes.body] + suffixes.offset
     place = np.lexsort((start, doc))
     earliness = np.empty(len(doc), dtype=np.int64)
@@ -117,46 +125,16 @@ def _removed(bodies: list[bytes], docs: np.ndarray, lows: np.ndarray, length: in
         own = reach[group]
         own[(early > early.min()) & (own < depth)] = depth
     found = np.flatnonzero(reach)
-    return suffixes.body[found], start[found], reach[found]
-
-
-def interval_spans(left: DataFrame, units: Units) -> DataFrame:
-    """Spans of repeats between the runs (hash, doc, th, lo, body) of an anchor, by suffix arrays over many anchors."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        held: list[tuple[int, int, int, int, bytes]] = []
-        size = 0
-
-        def spans(rows: list) -> Iterator[dict]:
-            docs, ths, lows = (np.array([r[i] for r in rows], dtype=np.int64) for i in (1, 2, 3))
-            at, start, reach = _removed([r[4] for r in rows], docs, lows, units.length)
-            if len(at):
-                yield {"doc": docs[at], "th": ths[at], "start": start, "end": start + reach}
-
-        for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(4)]
-            for row in zip(*columns, utf8(batch.column(4))):
-                if size > ARRAY and row[0] != held[-1][0]:
-                    yield from spans(held)
-                    held, size = [], 0
-                held.append(row)
-                size += len(row[4]) - units.length + 1
-        if held:
-            yield from spans(held)
-
-    rows = left.select("hash", "doc", "th", "lo", "body").repartition("hash").sortWithinPartitions("hash")
-    return map_batches(rows, run, "doc long, th long, start long, end long")
+    return suffixes.body[found], start[found], start[found] + reach[found]
 
 
 def repeated_bytes(docs: DataFrame, units: Units, id_col: str, text_col: str) -> DataFrame:
     """Spans (doc, th, start, end) of bytes that lie in repeated strings; they may overlap."""
     texts = keyed(docs, id_col, text_col)
     judged = judged_runs(texts, units)
-    left = surroundings(texts, judged, units)
-    windows = F.sum(F.octet_length("body") - units.length + 1)
-    crowds = materialize(left.groupBy("hash").agg(windows.alias("n")).where(F.col("n") > MANY).select("hash"), "crowds")
-    found = interval_spans(left.join(crowds, "hash", "left_anti"), units)
-    return later_spans(judged, units).unionByName(found).unionByName(window_spans(left.join(crowds, "hash"), units))
+    bodies = surroundings(texts, judged, units)
+    found = spans_around_anchors(bodies, units, lambda rows, _: later_occurrences(rows, units.length), ARRAY)
+    return later_spans(judged, units).unionByName(found)
 
 
 def suffix_dedup(
@@ -173,8 +151,8 @@ def suffix_dedup(
     Equal strings of ``length`` bytes share a winnowed anchor at the same place, so the runs around each anchor that
     occurs twice go together, each different run once.  Enhanced suffix arrays over such runs, of bounded size, are
     scanned for their common-prefix intervals, and those with different bytes to the left are the maximal repeats, with
-    all occurrences.  An anchor whose different surroundings have over MANY windows has these looked up by hash, which
-    gives the same bytes and spreads over many tasks.
+    all occurrences.  The runs of an anchor that has very many are dealt over several arrays.  Each hands on the first
+    occurrence of every class of equal beginnings of ``length`` bytes, and of these all but the earliest go as well.
     """
     units = Units("bytes", length, gram, inside=True)
     found = with_spans(docs, repeated_bytes(docs, units, id_col, text_col), id_col, text_col)

@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 
+from lakeloom.llm import repeats
 from lakeloom.llm import suffix_dedup as module
 from lakeloom.llm.suffix_dedup import maximal_repeats, suffix_array, suffix_dedup
 
@@ -73,10 +74,10 @@ def test_suffix_array_and_maximal_repeats():
         assert got == want
 
 
-@pytest.mark.parametrize("many", [1 << 18, 1])
+@pytest.mark.parametrize("crowd", [512, 2])
 @pytest.mark.parametrize("length,gram", [(100, 16), (20, 4), (9, 9)])
-def test_documents_equal_brute_force(spark, monkeypatch, length, gram, many):
-    monkeypatch.setattr(module, "MANY", many)
+def test_documents_equal_brute_force(spark, monkeypatch, length, gram, crowd):
+    monkeypatch.setattr(repeats, "CROWD", crowd)
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
     rows = [(r.doc_id, r.text[:3000]) for r in docs][:120] + [(1000 + r.doc_id, r.text) for r in docs[:6]]
     assert ran(spark, rows, length=length, gram=gram) == plain(rows, length)
@@ -104,3 +105,31 @@ def test_a_long_text(spark):
     rows = [(1, text), (2, "#" + text[900_000:1_200_000])]
     got = ran(spark, rows)
     assert [r[:4] for r in got] == [(1, 1_300_000, 0, 0), (2, 300_001, 300_000, 1)]
+
+
+def test_crowded_anchor(spark, monkeypatch):
+    """One passage in very many different surroundings, dealt over parts that must agree."""
+    rng = random.Random(6)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(150))
+    rows = []
+    for i in range(400):
+        left, right = ("".join(rng.choice("xy") for _ in range(rng.randrange(9))) for _ in range(2))
+        rows.append((rng.randrange(10**6), f"{i}" * 5 + left + passage[rng.randrange(40) :] + right + f"{i}" * 40))
+    for crowd in (512, 7):
+        monkeypatch.setattr(repeats, "CROWD", crowd)
+        assert ran(spark, rows, length=60, gram=8) == plain(rows, 60)
+
+
+@pytest.mark.parametrize("copies", [2, 40])
+def test_repeated_rows_bring_no_bodies(spark, copies):
+    """What is looked into does not grow with the copies of a row."""
+    rng = random.Random(7)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(900))
+    rows = [(None, "left " + passage + " right")] * copies + [(3, "other " + passage + " end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    units = repeats.Units("bytes", 100, 16, inside=True)
+    texts = repeats.keyed(docs, "doc_id", "text")
+    bodies = repeats.surroundings(texts, repeats.judged_runs(texts, units), units).collect()
+    assert 0 < len(bodies) < 30 and len({(b.doc, b.lo, b.back) for b in bodies}) == len(bodies)
+    got = sorted((r.doc_id or 0, r.n_removed) for r in suffix_dedup(docs).collect())
+    assert got == [(0, 0)] * copies + [(3, 902)]
