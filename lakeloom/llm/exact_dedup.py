@@ -82,9 +82,14 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     kept = without(own, dropped, __id=id_col, __digest="__own")
     again = report.where("kept").groupBy(*key).count().where("count > 1").drop("count")
     again = materialize(again, "again")
+    columns = [F.col(f"`{name}`") for name in docs.columns]
     if again.isEmpty():
-        return kept.select(*docs.columns)
-    same = F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__digest"))
-    place = F.row_number().over(Window.partitionBy(f"`{id_col}`", "__own").orderBy(F.length(text).desc(), text))
-    once = kept.join(again, same, "left_semi").withColumn("__place", place).where("__place = 1").drop("__place")
-    return kept.join(again, same, "left_anti").unionByName(once).select(*docs.columns)
+        return kept.select(*columns)
+    same = F.col("__same").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__digest"))
+    # Grouped before they are joined, so that no task gets all rows of a key.
+    longest = F.max_by(F.struct(*columns), F.struct(F.length(text), text)).alias("__row")
+    doubtful = maybe_in(kept.withColumn("__digest", F.col("__own")), again, "__digest")
+    once = doubtful.groupBy(F.col(f"`{id_col}`").alias("__same"), "__own").agg(longest)
+    once = once.join(again, same, "left_semi").select("__row.*")
+    alone = without(kept, again, __digest="__own", __id=id_col).select(*columns)
+    return alone.unionByName(once)

@@ -53,8 +53,9 @@ def mix_sources(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
+    row_col: str | None = None,
 ) -> DataFrame:
-    """One row per input row: doc_id, source, size, source_size, target, copies, taken.
+    """One row per input row: doc_id, source, size, source_size, target, copies, taken, and ``row_col`` if named.
 
     ``size`` counts words; a NULL text has none.  Within a source every document is expected as often,
     target / source_size times.  The prefix sums of these expectations, plus one offset per source drawn from the
@@ -67,8 +68,9 @@ def mix_sources(
     written once with partition and position; counts per source and partition then give each row its place.
     """
     size = F.regexp_count(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), F.lit(WORD)).cast("bigint")
+    row = [row_col] if row_col else []
     rows = docs.select(
-        F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").alias("source"), size.alias("size")
+        F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").alias("source"), size.alias("size"), *row
     )
     # The sizes are computed once, before the ranges are sampled.
     rows = materialize(rows, "sizes")
@@ -101,10 +103,12 @@ def mix_sources(
     upto = F.col("position") + F.col("shift") + 1
     numbered = placed.join(
         materialize(starts, "starts"), (F.col("part") == F.col("p")) & F.col("source").eqNullSafe(F.col("s"))
-    ).select("doc_id", "source", "size", "source_size", "target", upto.alias("i"), offset.alias("u"), rate.alias("r"))
+    ).select(
+        "doc_id", "source", "size", "source_size", "target", *row, upto.alias("i"), offset.alias("u"), rate.alias("r")
+    )
     crossed = F.floor(F.col("i") * F.col("r") + F.col("u")) - F.floor((F.col("i") - 1) * F.col("r") + F.col("u"))
     copies = F.least(crossed, F.lit(most).cast("bigint")).alias("copies")
-    return numbered.select("doc_id", "source", "size", "source_size", "target", copies).withColumn(
+    return numbered.select("doc_id", "source", "size", "source_size", "target", copies, *row).withColumn(
         "taken", F.col("size") * F.col("copies")
     )
 
@@ -112,18 +116,13 @@ def mix_sources(
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, with all their columns, each as often as ``mix_sources`` takes it.
 
-    Copies are looked up by id.  Rows that share an id share its copies as evenly as they can.
+    Rows are written once with a number, by which their copies find them, so rows that share an id have their own
+    copies, and no task gets all rows of an id.
     """
-    id_col = options.get("id_col", "doc_id")
-    report = mix_sources(docs, **options)
-    copies = report.groupBy(F.col("doc_id").alias("__id")).agg(
-        F.sum("copies").alias("__copies"), F.count("*").alias("__n")
-    )
-    copies = materialize(copies.where("__copies > 0"), "copies")
+    numbered = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    report = mix_sources(numbered, row_col="__row", **options)
+    copies = materialize(report.where("copies > 0").select("__row", F.col("copies").alias("__copies")), "copies")
     # Nearly all documents have copies, so their texts move once to meet them, at any size.
-    rows = docs.join(copies.hint("merge"), F.col(f"`{id_col}`").eqNullSafe(F.col("__id")))
-    shared = rows.where("__n > 1")
-    place = F.row_number().over(Window.partitionBy("__id").orderBy(F.xxhash64(*docs.columns)))
-    own = F.floor(F.col("__copies") / F.col("__n")) + F.when(place <= F.col("__copies") % F.col("__n"), 1).otherwise(0)
-    rows = rows.where("__n = 1").unionByName(shared.withColumn("__copies", own.cast("long")).where("__copies > 0"))
-    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "__copies"))).select(*docs.columns)
+    rows = numbered.join(copies.hint("merge"), "__row")
+    copied = rows.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "__copies")))
+    return copied.select(*[F.col(f"`{name}`") for name in docs.columns])

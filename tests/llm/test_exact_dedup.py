@@ -57,3 +57,18 @@ def test_rows_that_stay_and_empty_tables(spark):
     want = {(i, sha) for i, _, _, keep, sha in plain(rows) if keep}
     got = [(r.doc_id, hashlib.sha256(squeezed(r.text).encode()).hexdigest()) for r in kept.collect()]
     assert len(got) == len(set(got)) and set(got) == want and (14, hashlib.sha256(b"onlyhere").hexdigest()) in got
+
+
+def test_odd_columns_and_a_hot_null_id(spark):
+    """Columns with dots, maps and clashing names; a third of the rows without an id, many of them equal."""
+    schema = "doc_id long, text string, source string, `a.b` string, m map<string,int>, __row int, hash int, size int"
+    schema = schema.replace("__row", "row")
+    rows = [(n if n % 3 else None, f"text {n if n % 2 else 0}", "s", "x", {"k": n}, n, 1, 2) for n in range(300)]
+    docs = spark.createDataFrame(rows, schema).repartition(4)
+    got = drop_copies(docs)
+    assert got.columns == docs.columns
+    found = got.collect()
+    assert all(r.m["k"] == r.row and r["a.b"] == "x" for r in found)
+    # 150 texts of their own and "text 0", whose smallest id is NULL.
+    assert len(found) == len({r.text for r in found}) == 151
+    assert [r.doc_id for r in found if r.text == "text 0"] == [None]

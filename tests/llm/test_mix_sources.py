@@ -37,3 +37,16 @@ def test_empty_and_repeated(spark):
     assert sorted(r.doc_id or 0 for r in mixed_documents(docs).collect()) == [0] * 3 + [7] * 9
     only_words = spark.createDataFrame([(1, None, None)], "doc_id long, text string, source string")
     assert [tuple(r)[2:] for r in mix_sources(only_words).collect()] == [(0, 0, 0.0, 0, 0)]
+
+
+def test_odd_columns_and_a_hot_null_id(spark):
+    """Columns with dots, maps and clashing names; a third of the rows without an id, many of them equal."""
+    schema = "doc_id long, text string, source string, `a.b` string, m map<string,int>, __row int, hash int, size int"
+    schema = schema.replace("__row", "row")
+    rows = [(n if n % 3 else None, f"text {n if n % 2 else 0}", "s", "x", {"k": n}, n, 1, 2) for n in range(300)]
+    docs = spark.createDataFrame(rows, schema).repartition(4)
+    got = mixed_documents(docs)
+    assert got.columns == docs.columns
+    found = got.collect()
+    assert all(r.m["k"] == r.row and r["a.b"] == "x" for r in found)
+    assert len(found) == 450 and {r.row for r in found} == set(range(300))
