@@ -128,31 +128,44 @@ def surroundings(texts: DataFrame, judged: DataFrame, units: Units) -> DataFrame
         "hash", part.alias("part"), F.col("parts").isNotNull().alias("crowded"),
         (F.col("at") - F.col("back")).alias("lo"), (F.col("at") + F.col("ahead")).alias("hi"), "back",
     )
-    lists = materialize(own.groupBy("doc", "th").agg(F.collect_set(run).alias("runs")), "lists")
-    # One text for all rows that repeat it: combined before the shuffle.
-    once = maybe_in(texts, lists, "doc", "th").groupBy("doc", "th").agg(F.first("text").alias("text"))
-    marked = once.join(lists, ["doc", "th"])
+    lists = own.groupBy("doc", "th").agg(F.collect_set(run).alias("runs"), F.count("*").alias("n"))
+    lists = materialize(lists.withColumn("repeated", F.col("n") > F.size("runs")).drop("n"), "lists")
+
+    def marked(which: str, combined: bool) -> DataFrame:
+        wanted = materialize(lists.where(which).drop("repeated"), "wanted")
+        found = maybe_in(texts, wanted, "doc", "th")
+        if combined:  # one text for all rows that repeat it, before any of them is joined
+            found = found.groupBy("doc", "th").agg(F.first("text").alias("text"))
+        return found.join(wanted, ["doc", "th"]).select("doc", "th", "text", "runs")
+
+    whole = marked("not repeated", False)
+    if not lists.where("repeated").isEmpty():
+        whole = whole.unionByName(marked("repeated", True))
     names = ("hash", "part", "crowded", "back")
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         _, cut = units.winnower()
         for batch in batches:
-            for row, text in enumerate(utf8(batch.column("text"))):
+            runs = batch.column("runs")
+            fields = runs.flatten()
+            sizes = runs.value_lengths().to_numpy()
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            lows, highs = (fields.field(name).to_numpy(zero_copy_only=False) for name in ("lo", "hi"))
+            begins = np.cumsum(sizes) - sizes
+            bodies: list[bytes] = []
+            for text, at, n in zip(utf8(batch.column("text")), begins.tolist(), sizes.tolist()):
                 _, starts, ends = cut(text)
-                runs = batch.column("runs")[row].values
-                lows, highs = (runs.field(name).to_numpy(zero_copy_only=False) for name in ("lo", "hi"))
-                first, last = lows, highs + units.length
+                first, last = lows[at : at + n], highs[at : at + n] + units.length
                 if starts is not None:
                     first, last = starts[first], ends[last - 1]
-                n = len(lows)
-                yield {
-                    **{name: runs.field(name) for name in names}, "lo": lows,
-                    "doc": [batch.column("doc")[row].as_py()] * n, "th": [batch.column("th")[row].as_py()] * n,
-                    "body": [text[a:b] for a, b in zip(first.tolist(), last.tolist())],
-                }
+                bodies += [text[a:b] for a, b in zip(first.tolist(), last.tolist())]
+            yield {
+                **{name: fields.field(name) for name in names}, "lo": lows, "body": bodies,
+                "doc": batch.column("doc").take(pa.array(row)), "th": batch.column("th").take(pa.array(row)),
+            }
 
     schema = "hash long, part long, crowded boolean, back int, lo long, doc long, th long, body binary"
-    bodies = materialize(map_batches(marked.select("doc", "th", "text", "runs"), cut_out, schema), "left")
+    bodies = materialize(map_batches(whole, cut_out, schema), "left")
     discard(lists, crowds)
     return bodies
 
