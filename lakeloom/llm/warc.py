@@ -19,6 +19,8 @@ from lakeloom.session import materialize, scratch_path
 
 # Bytes of the records of one archive, about: an archive is read by one task.
 ARCHIVE_BYTES = 16 << 20
+# Records of a WARC archive, as a task of a join may write many.
+ARCHIVE_RECORDS = 4096
 # Payloads that are at least so long and occur again are written once.
 SHARED_BYTES = 1000
 ID_HEADER = "X-Page-Id"
@@ -138,11 +140,14 @@ def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         raise ValueError(f"no record at byte {at}")
 
 
-def _written(spark: SparkSession, records: DataFrame, label: str, line_end: str) -> str:
-    """Records as gzip archives, one per partition; bytes pass through the text writer as they are."""
+def _written(spark: SparkSession, records: DataFrame, label: str, line_end: str, most: int = 0) -> str:
+    """Records as gzip archives, one or, if there are over ``most``, more per partition.
+
+    Bytes pass through the text writer as they are.
+    """
     path = scratch_path(spark, label)
     values = records.select(F.col("value").cast("string").alias("value"))
-    values.write.option("lineSep", line_end).option("compression", "gzip").text(path)
+    values.write.options(lineSep=line_end, compression="gzip", maxRecordsPerFile=most).text(path)
     return path
 
 
@@ -162,8 +167,8 @@ def write_arc(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
         F.coalesce(F.col(f"`{html_col}`"), F.lit("")).alias("html"),
     )
     size = rows.agg(F.sum(F.octet_length("html").cast("long") + 300)).first()[0] or 0
-    # The address deals out pages without an id.
-    rows = rows.repartition(math.ceil(size / ARCHIVE_BYTES) or 1, "id", "url")
+    # Dealt one after the other, so that pages of one id or address do not meet in one archive.
+    rows = rows.repartition(math.ceil(size / ARCHIVE_BYTES) or 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         part = TaskContext.get().partitionId()
@@ -275,7 +280,7 @@ def convert_arc(spark: SparkSession, path: str, shared_bytes: int = SHARED_BYTES
                 values.append(warc_record(kind, fields, block))
             yield {"value": values}
 
-    return _written(spark, map_batches(decided, write, "value binary"), "warc", "\r\n\r\n")
+    return _written(spark, map_batches(decided, write, "value binary"), "warc", "\r\n\r\n", ARCHIVE_RECORDS)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:

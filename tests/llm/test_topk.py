@@ -60,3 +60,28 @@ def test_empty(spark):
     one = spark.createDataFrame([(50, [1.0])], "vec_id long, embedding array<float>")
     assert top_k(one, one).collect() == []
     assert top_k(one, none).collect() == []
+
+
+def test_shelves_below_the_bound_are_not_visited(spark, monkeypatch):
+    """Clusters by id: a query has to visit the shelves of its own cluster only."""
+    for name, size in (("BLOCK", 10), ("SHELF", 40), ("BUNDLE", 16)):
+        monkeypatch.setattr(topk, name, size)
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(8, 12)) * 4
+    rows = [(n, (centres[n // 100] + rng.normal(size=12) * 0.05).tolist()) for n in range(800)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    queries = vectors.where("vec_id % 50 = 0")
+    found = topk.search(vectors, queries, 5, 256, "vec_id", "embedding")
+    got = sorted(tuple(r) for r in topk.ranked(found, 5).collect())
+    assert got == plain(rows, list(range(0, 800, 50)), 5)
+    looked, skipped = found.agg({"looked": "sum", "skipped": "sum"}).first()
+    assert looked + skipped <= 16 * 15 * 4 / 3  # blocks on visited shelves: a third of all at most
+
+
+def test_bounds_hold():
+    rng = np.random.default_rng(6)
+    for size in (3, 2**20, 2**40):
+        vectors, asked = (rng.integers(-size, size, (50, 7)) for _ in range(2))
+        high = topk.bounds(asked, vectors.max(axis=0), vectors.min(axis=0))
+        exact = [[sum(int(a) * int(b) for a, b in zip(x, y)) for y in vectors] for x in asked]
+        assert all(max(own) <= bound for own, bound in zip(exact, high.tolist()))
