@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +22,8 @@ NO_ID = -(1 << 63)
 PLACES = 1 << 40
 # Surroundings of one anchor that a task looks into at a time.
 CROWD = 512
+# Groups of windows, by their start before the anchor, into which larger crowds are split.
+STARTS = 8
 
 
 @dataclass(frozen=True)
@@ -116,16 +119,15 @@ def surroundings(texts: DataFrame, judged: DataFrame, units: Units) -> DataFrame
     """What is left to look into: (hash, part, crowded, doc, th, lo, back, body), written to the shared folder.
 
     ``body`` is the text of the run of windows that starts at ``lo``, with the anchor ``back`` tokens further.  Each run is
-    there once, however often its row is repeated.  Runs of an anchor that has more than CROWD are ``crowded`` and dealt
-    over parts of about that many.
+    there once, however often its row is repeated.  Only bodies of one anchor and part can share a window, except for
+    ``crowded`` ones, whose anchor has other parts with which they can.
     """
     own = judged.where("not later")
     crowds = own.groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") > CROWD)
-    crowds = materialize(crowds.select("hash", F.ceil(F.col("n") / CROWD).alias("parts")), "crowds")
+    crowds = materialize(crowds.select("hash", F.lit(True).alias("crowd")), "crowds")
     own = own.join(crowds, "hash", "left")
-    part = F.pmod(F.xxhash64("doc", "th", "at"), F.coalesce("parts", F.lit(1).cast("long")))
     run = F.struct(
-        "hash", part.alias("part"), F.col("parts").isNotNull().alias("crowded"),
+        "hash", F.lit(0).cast("long").alias("part"), F.col("crowd").isNotNull().alias("crowded"),
         (F.col("at") - F.col("back")).alias("lo"), (F.col("at") + F.col("ahead")).alias("hi"), "back",
     )
     lists = own.groupBy("doc", "th").agg(F.collect_set(run).alias("runs"), F.count("*").alias("n"))
@@ -164,10 +166,60 @@ def surroundings(texts: DataFrame, judged: DataFrame, units: Units) -> DataFrame
                 "doc": batch.column("doc").take(pa.array(row)), "th": batch.column("th").take(pa.array(row)),
             }
 
-    schema = "hash long, part long, crowded boolean, back int, lo long, doc long, th long, body binary"
-    bodies = materialize(map_batches(whole, cut_out, schema), "left")
-    discard(lists, crowds)
-    return bodies
+    bodies = materialize(map_batches(whole, cut_out, BODIES), "left")
+    if crowds.isEmpty():
+        return bodies
+    return bodies.where("not crowded").unionByName(dispersed(bodies.where("crowded"), units))
+
+
+BODIES = "hash long, part long, crowded boolean, back int, lo long, doc long, th long, body binary"
+
+
+def dispersed(bodies: DataFrame, units: Units) -> DataFrame:
+    """The bodies of crowded anchors by what their windows have in common.
+
+    Windows that start at nearly the same place before the anchor share the tokens in the middle of them all; so a body is
+    split by the starts of its windows, and each piece goes with those of equal middles.  Pieces whose middle nobody
+    has are done with.  Middles that are still crowded are dealt over several parts.
+    """
+    reach = units.length - units.gram
+    edges = np.linspace(0, reach + 1, STARTS + 1).astype(int).tolist()
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        _, cut = units.winnower()
+        names = ("hash", "middle", "back", "lo", "doc", "th", "body")
+        for batch in batches:
+            rows = []
+            columns = [batch.column(name).to_pylist() for name in ("hash", "back", "lo", "doc", "th")]
+            for anchor, back, lo, doc, th, text in zip(*columns, utf8(batch.column("body"))):
+                tokens, starts, ends = cut(text)
+                raw = memoryview(np.ascontiguousarray(tokens)).cast("B")
+                width = len(raw) // len(tokens)
+                least = back - (len(tokens) - units.length)  # the last window starts so far before the anchor
+                for low, high in zip(edges, edges[1:]):
+                    low, high = max(low, least), min(high - 1, back)  # windows that start so far before the anchor
+                    if low > high:
+                        continue
+                    bucket = next(n for n, edge in enumerate(edges[1:]) if low < edge)
+                    near, far = edges[bucket], edges[bucket + 1] - 1
+                    middle = raw[(back - near) * width : (back + units.length - far) * width]
+                    begin, end = back - high, back - low + units.length
+                    first, last = (begin, end) if starts is None else (int(starts[begin]), int(ends[end - 1]))
+                    key = xxhash.xxh3_64_intdigest(middle, seed=bucket) - (1 << 63)
+                    rows.append((anchor, key, high, lo + begin, doc, th, text[first:last]))
+            if rows:
+                yield dict(zip(names, map(list, zip(*rows))))
+
+    schema = "hash long, middle long, back int, lo long, doc long, th long, body binary"
+    pieces = materialize(map_batches(bodies.select(*[part.split()[0] for part in BODIES.split(", ")]), split, schema), "pieces")
+    middles = pieces.groupBy("hash", "middle").agg(F.count("*").alias("n")).where("n > 1")
+    middles = materialize(middles.select("hash", "middle", F.ceil(F.col("n") / CROWD).alias("parts")), "middles")
+    dealt = F.xxhash64("middle", F.pmod(F.xxhash64("doc", "th", "lo"), "parts"))
+    found = pieces.join(middles, ["hash", "middle"]).select(
+        "hash", F.when(F.col("parts") > 1, dealt).otherwise(F.col("middle")).alias("part"),
+        (F.col("parts") > 1).alias("crowded"), "back", "lo", "doc", "th", "body",
+    )
+    return materialize(found, "dispersed")
 
 
 @dataclass(frozen=True)
