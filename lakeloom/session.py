@@ -93,6 +93,24 @@ def delete_path(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def replace_path(spark: SparkSession, new: str, path: str) -> None:
+    """Put a finished folder in the place of another one, which is readable up to the two renames and restored if they fail."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    place, target = hadoop.Path(new), hadoop.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    old = hadoop.Path(target.getParent(), f"_old-{uuid.uuid4().hex}")
+    had = files.exists(target)
+    if had and not files.rename(target, old):
+        raise RuntimeError(f"cannot move {path} away")
+    if not files.rename(place, target):
+        if had:
+            files.rename(old, target)
+        raise RuntimeError(f"cannot move {new} to {path}")
+    if had:
+        files.delete(old, True)
+    spark.catalog.refreshByPath(path)
+
+
 class Scratch:
     """Owns what is materialized while it is open, and deletes it when it closes.
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from lakeloom.session import delete_path, replace_path
 from lakeloom.sources.csv_text import read_text_csv
 
 # Fixed layer names.
@@ -63,6 +65,9 @@ class Lake:
     ) -> str:
         """Replace a table.  ``schema`` has to equal the frame's names and types.
 
+        The new table is written beside the old one and takes its place when it is whole, so a write that fails
+        leaves the old table as it was, and a frame that reads the table may replace it.
+
         Each task writes a file per partition value it meets.  Where tasks meet
         many, ``rebalance`` shuffles the rows by the partition columns first: a
         partition then gets few files, yet one that holds most of the rows is
@@ -71,12 +76,15 @@ class Lake:
         if schema is not None:
             require_schema(df, schema)
         path = self.table_path(layer, table, bool(partition_by))
-        if partition_by:
-            if rebalance:
-                df = df.hint("rebalance", *partition_by)
-            df.write.format(self.format).mode("overwrite").partitionBy(*partition_by).save(path)
-        else:
-            df.write.format(self.format).mode("overwrite").save(path)
+        beside = f"{path.rpartition('/')[0]}/_new-{uuid.uuid4().hex}"
+        if rebalance and partition_by:
+            df = df.hint("rebalance", *partition_by)
+        try:
+            df.write.format(self.format).partitionBy(*partition_by).save(beside)
+        except BaseException:
+            delete_path(df.sparkSession, beside)
+            raise
+        replace_path(df.sparkSession, beside, path)
         return path
 
     def read(

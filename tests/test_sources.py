@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.session import shared_folder
+from lakeloom.session import Scratch, discard, materialize, shared_folder
 from lakeloom.sources.csv_text import read_text_csv, records_are_lines, write_text_csv
 from lakeloom.sources.layers import RAW, SILVER, Lake, layer_name, require_schema, sql_over_files
 
@@ -181,3 +181,68 @@ def test_sql_keeps_other_braces(spark, tmp_path, rows):
     spark.range(2).write.parquet(path)
     got = sql_over_files(spark, "select '{x}' as x, '{}' as y, id from {t} where id > 0", t=path)
     assert rows(got) == [("{x}", "{}", 1)]
+
+
+def odd_csv(rng, n):
+    """A CSV whose fields hold quotes, separators and line breaks, some over many lines, and its rows."""
+    rows = []
+    for i in range(n):
+        field = "".join(rng.choice(["a", "é", ",", '"', "\n", "\r\n", " "]) for _ in range(rng.randrange(12)))
+        rows.append((str(i), field + "\n" * rng.choice([0, 0, 0, 300]) if i % 3 else "", "x" if i % 2 else None))
+    body = "".join(
+        ",".join("" if v is None or v == "" else '"' + v.replace('"', '""') + '"' for v in row) + "\r\n" * (1 + (i % 50 == 0))
+        for i, row in enumerate(rows)
+    )
+    return "\ufeff,k.ey,tex`t\r\n" + body, rows
+
+
+def test_large_files_with_line_breaks_are_read_in_ranges(spark, tmp_path, rows):
+    import random
+
+    text, want = odd_csv(random.Random(3), 1500)
+    path = put(tmp_path / "a.csv", text)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        df = read_text_csv(spark, path, ranged_bytes=0)
+        whole = read_text_csv(spark, path, multiline=True)
+        assert df.columns == whole.columns and df.dtypes == whole.dtypes
+        got = rows(df)
+        assert got == rows(whole) and len(got) == len(want)
+        assert spark.read.text(path).rdd.getNumPartitions() > 20  # records span blocks
+        with pytest.raises(Exception):
+            read_text_csv(spark, put(tmp_path / "b.csv", 'a,b\n"x\ny",1\n2\n'), ranged_bytes=0).collect()
+        stray = put(tmp_path / "c.csv", 'a,b\n"x\ny",5" pipe\nz,"1\n2"\n')
+        assert rows(read_text_csv(spark, stray, ranged_bytes=0)) == rows(read_text_csv(spark, stray, multiline=True))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_a_failed_refresh_leaves_the_table(spark, tmp_path, rows):
+    lake = Lake(str(tmp_path))
+    df = spark.range(5).withColumn("p", F.col("id") % 2)
+    for options in ({}, {"partition_by": ["p"]}):
+        lake.write(df, SILVER, "t", **options)
+        bad = df.withColumn("id", F.when(F.col("id") == 4, F.raise_error(F.lit("midway")).cast("long")).otherwise(F.col("id")))
+        with pytest.raises(Exception, match="midway"):
+            lake.write(bad.repartition(3), SILVER, "t", **options)
+        read = lake.read(spark, SILVER, "t", partitioned=bool(options))
+        assert rows(read) == rows(df)
+        lake.write(read.withColumn("id", F.col("id") + 1), SILVER, "t", **options)  # a table made from itself
+        assert rows(lake.read(spark, SILVER, "t", partitioned=bool(options)).select("id")) == rows(df.select(F.col("id") + 1))
+        assert not [p.name for p in (tmp_path / SILVER).iterdir() if p.name.startswith("_")]
+
+
+def test_scratch_deletes_what_was_written(spark):
+    import os
+
+    base = shared_folder(spark).removeprefix("file:")
+    count = lambda: sum(len(files) for _, _, files in os.walk(base))
+    before = count()
+    with Scratch(spark) as scratch:
+        one = materialize(spark.range(10), "one")
+        two = scratch.keep(one.where("id > 3"), "two")
+        assert count() > before
+    assert two.count() == 6
+    discard(two)
+    assert count() == before
