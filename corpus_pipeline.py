@@ -11,7 +11,7 @@ from lakeloom.llm.mix_sources import mixed_documents
 from lakeloom.llm.packing import pack
 from lakeloom.llm.quality import keep_good, train
 from lakeloom.llm.simhash import drop_near_copies
-from lakeloom.session import materialize
+from lakeloom.session import Scratch, discard
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -55,8 +55,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole of ``documents``; what one stage keeps is written and read by the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the whole of ``documents``; what one stage keeps is written and read by the next.
+
+    What a stage wrote on its way, and what the stage before kept, is deleted as soon as its own result is written.
+    """
+    docs, kept = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with Scratch(spark) as scratch:
+            docs = scratch.keep(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if kept is not None:
+            discard(kept)
+        kept = docs
     return STAGES[-1][1](spark, docs, sf_dir)
