@@ -174,8 +174,8 @@ def aligned_rows(docs: DataFrame, first: str, second: str, width: int, id_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         one, two = ByteBpe(first, added=False), SecondTokenizer(second)
-        a_known, b_known = one.token_bytes(), two.known
-        a_sizes, b_sizes = _sizes(a_known), _sizes(b_known)
+        b_known = two.known
+        a_sizes, b_sizes = _sizes(one.token_bytes()), _sizes(b_known)
         for batch in batches:
             out: dict = {name: [] for name in ("n_a", "n_b", "n_groups", "n_links", "n_together", "groups_sha256")}
             pairs, times = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
@@ -184,8 +184,8 @@ def aligned_rows(docs: DataFrame, first: str, second: str, width: int, id_col: s
                 counts, digest, found = (0, 0, 0, 0, 0), "", 0
                 text = (raw or b"").decode("utf-8", "replace")
                 a, b = (one.ids(" " + text).astype(np.int64), two.ids(text)) if text else ([], [])
-                whole = b"".join(map(b_known.__getitem__, b))
-                if text and whole == b" " + raw and whole == b"".join(map(a_known.__getitem__, a)):
+                # A byte-level BPE gives back every text that is one; an invalid one was changed before it was encoded.
+                if text and b"".join(map(b_known.__getitem__, b.tolist())) == b" " + raw and a_sizes[a].sum() == len(raw) + 1:
                     both = Alignment.of(a, b, a_sizes[a], b_sizes[b])
                     n_links, parts = 0, []
                     for i, j, _ in both.overlaps():
