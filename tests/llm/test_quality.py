@@ -87,3 +87,30 @@ def test_edges(spark, tables):
     assert train(docs, none).score(matrix([b"a"])).tolist() == [0.5]
     odd = spark.createDataFrame([(None, 1), (3, None), (3, 0), (3, 1), (10**12, 1)], "doc_id long, quality int")
     assert np.isfinite(train(docs.union(docs), odd).score(matrix([b"a b"]))).all()
+
+
+def gains(rows, labels, f, threshold, ridge=1.0):
+    """Gain of a split of all rows, by the second-order formula with its limits, from gradients at the constant score."""
+    share = (labels.sum() + 0.5) / (len(labels) + 1)
+    g, h = labels - share, np.full(len(labels), share * (1 - share))
+    right = rows[:, f] > threshold
+    if h[right].sum() < 1 or h[~right].sum() < 1:
+        return 0.0
+    parts = [g[side].sum() ** 2 / (h[side].sum() + ridge) for side in (right, ~right)]
+    return sum(parts) - g.sum() ** 2 / (h.sum() + ridge)
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_first_split_is_the_best_of_all(seed):
+    rng = np.random.default_rng(seed)
+    rows = rng.integers(0, 9, (60, 4)).astype(float)
+    labels = (rows[:, seed % 4] + rng.normal(0, 3, 60) > 4).astype(float)
+    model = fit(rows, labels, trees=1, depth=1, bins=64)
+    best = max(gains(rows, labels, f, t) for f in range(4) for t in np.unique(rows[:, f]))
+    own = gains(rows, labels, int(model.feature[0, 0]), float(model.threshold[0, 0]))
+    assert own == pytest.approx(best) and best > 0
+    share = (labels.sum() + 0.5) / (len(labels) + 1)
+    right = rows[:, model.feature[0, 0]] > model.threshold[0, 0]
+    for leaf, side in enumerate((~right, right)):
+        want = 0.15 * (labels[side] - share).sum() / (side.sum() * share * (1 - share) + 1)
+        assert model.value[0, leaf] == pytest.approx(want)
