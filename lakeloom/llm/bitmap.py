@@ -5,20 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Bits for each key: one row in 16 whose key is not there is taken for one that is, at most.
-SPARE = 16
+# Bits for each key, if they fit: one row in 16 whose key is not there is taken for one that is, at most.  With fewer than
+# two bits a key four rows in ten are, and a bitmap does not pay.
+SPARE, SCARCE = 16, 2
 # The smallest bitmap, and the largest one that is broadcast: 32 KiB and 32 MiB.
 LEAST, MOST = 1 << 18, 1 << 28
 
 
 def bits_for(keys: int) -> int | None:
-    """The size of the bitmap for so many keys; None if it would be too large, and the rows are joined without one."""
+    """The size of the bitmap for so many keys; None if even the largest is too full, and rows are joined without one."""
     bits = 1 << max(0, SPARE * keys - 1).bit_length()
-    return max(LEAST, bits) if bits <= MOST else None
+    return min(max(LEAST, bits), MOST) if SCARCE * keys <= MOST else None
 
 
 def marked_in(rows: DataFrame, keys: DataFrame, *key: str) -> DataFrame:
-    """``rows`` with a column ``__maybe``: true if the key is in ``keys``, and for one in SPARE others at most.
+    """``rows`` with a column ``__maybe``: true if the key is in ``keys``, and for a few others.
 
     Keys, a written table, are counted and marked in a bitmap, which is all that is broadcast.  Where even the largest
     would be too full to keep rows apart, all rows may be there.

@@ -54,7 +54,12 @@ def count_words(text: str) -> Counter:
 
 
 def divisor(words: int) -> float:
-    """What a sum over so many words is divided by: an average in units of its error, as chance weighs less in long texts."""
+    """What a sum over so many words is divided by.
+
+    A word that a text has n times weighs as the root of n, since repetitions tell little more.  The squares of all weights
+    add up to the number of words, whose root makes of the sum an average in units of its error: chance weighs less
+    in long texts.
+    """
     return max(1, words) ** 0.5 * USUAL**0.5
 
 
@@ -118,7 +123,7 @@ class Scorer:
         if len(self.known) + len(new) > REMEMBERED:
             self.known, new = {}, list(words)
         self.known.update(zip(new, self.model.word_margins(new).tolist()))
-        total = sum(self.known[word] * n for word, n in words.items())
+        total = sum(self.known[word] * n**0.5 for word, n in words.items())
         return total / divisor(words.total())
 
     def scores(self, texts: list[str]) -> np.ndarray:
@@ -138,7 +143,7 @@ class Bags:
             before += len(found)
         self.starts, self.buckets = np.concatenate(starts), np.concatenate(buckets)
         self.words = [np.array([known[word] for word in words], dtype=np.int64) for words, _ in docs]
-        self.weights = [np.array(n, dtype=np.float64) / divisor(sum(n)) for _, n in docs]
+        self.weights = [np.sqrt(np.array(n, dtype=np.float64)) / divisor(sum(n)) for _, n in docs]
 
     def grams(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """How many subwords each of the words has, and the buckets of all in a row."""

@@ -2,8 +2,9 @@ import hashlib
 
 from pyspark.sql import functions as F
 
+from lakeloom.llm import bitmap
 from lakeloom.llm import exact_dedup as module
-from lakeloom.llm.bitmap import maybe_in
+from lakeloom.llm.bitmap import LEAST, MOST, bits_for, maybe_in
 from lakeloom.llm.exact_dedup import drop_copies, exact_dedup
 
 
@@ -72,3 +73,14 @@ def test_odd_columns_and_a_hot_null_id(spark):
     # 150 texts of their own and "text 0", whose smallest id is NULL.
     assert len(found) == len({r.text for r in found}) == 151
     assert [r.doc_id for r in found if r.text == "text 0"] == [None]
+
+
+def test_bitmap_is_sized_by_the_keys(spark, monkeypatch):
+    assert bits_for(0) == bits_for(1000) == LEAST and bits_for(1 << 20) == 1 << 24
+    assert bits_for(50_000_000) == MOST and bits_for(10**9) is None
+    rows = spark.range(400_000).withColumn("k", F.md5(F.col("id").cast("string")))
+    keys = rows.where("id % 4 = 0").select("k")
+    others = rows.where("id % 4 > 0")
+    assert 0 < maybe_in(others, keys, "k").count() < 300_000 / 16
+    monkeypatch.setattr(bitmap, "MOST", 1 << 10)
+    assert maybe_in(others, keys, "k").count() == 300_000
