@@ -84,7 +84,7 @@ def _attributes(raw: str) -> dict[str, str]:
 
 
 def _marks(names: str) -> set[str]:
-    """The words in class or id names that mark an element as no article."""
+    """The words in class or id names, or whole names, that mark an element as no article."""
     found = set()
     for name in names.split():
         parts = [part for part in re.split(r"[_-]+", name) if part]
@@ -94,7 +94,7 @@ def _marks(names: str) -> set[str]:
         if last in DROPPED_NAMES:
             found.add(last)
         elif first in DROPPED_NAMES and (first not in LOOSE or last in KINDS or last.isdigit()):
-            found.add(first)
+            found.add(name if first in LOOSE else first)  # a comment-list is certain
         elif tuple(parts[:2]) in DROPPED_PAIRS:
             found.add("".join(parts[:2]))
     return found

@@ -144,6 +144,7 @@ def test_a_line_on_many_pages(spark):
     ("<div class='sidebar'>x</div><ul class='share-buttons'><li>x</ul><p id='comment-7'>x</p>a", ["a"]),
     ("<div class='responses'>x</div><div id='disqus_thread'>x</div><div class='top-bar'>x</div><p class='copyright'>x</p>a", ["a"]),
     ("<article><p class='notice'>a</p><p class='menu'>b</p><div class='comment'>c</div></article>", ["a", "b", "c"]),
+    ("<article>a<ol class='comment-list'><li>x</ol><div class='notice-box'>x</div><div class='share'>b</div></article>", ["a", "b"]),
     ("<article>a<div class='ad'>x</div><p class='ad'>x</p><section class='comments'><p>x</section><div id='disqus_thread'>x</div></article>", ["a"]),
     ("<main>a<div class='comments'><article>x</article></div></main>", ["a"]), ("<nav><main>x</main></nav>a", ["a"]),
 ])
