@@ -50,7 +50,9 @@ DROPPED_PAIRS = {("top", "bar"), ("bottom", "bar"), ("side", "bar"), ("reader",
 STATES = set("has is no not with without".split())
 # Words that are also the last part of other names (share-price, related-work) or mean something else in an article (a
 # notice of law): they mark an element only alone, as the last part, or before one of KINDS.
-LOOSE = set("comment consent copyright disclaimer login menu modal notice notices promo related reviews share social sponsor".split())
+LOOSE = set(
+    "comment consent copyright disclaimer login menu modal notice notices promo related reviews share social sponsor".split()
+)
 KINDS = set(
     "area bar block box button buttons container content form icons inner item items link links list menu overlay panel "
     "posts section stories thread wrapper".split()
@@ -58,7 +60,9 @@ KINDS = set(
 # Adverts are dropped wherever they are marked.
 ADVERTS = set("ad ads advert advertisement adverts advertising sponsored".split())
 # Elements that hold the text itself.
-TEXT_ELEMENTS = set("a b blockquote code dd dt em figcaption h1 h2 h3 h4 h5 h6 i li p pre q small span strong td th u".split())
+TEXT_ELEMENTS = set(
+    "a b blockquote code dd dt em figcaption h1 h2 h3 h4 h5 h6 i li p pre q small span strong td th u".split()
+)
 # An end that is left out: opening the first closes an open one of the second.
 CLOSES = {"li": {"li"}, "p": {"p"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "option": {"option"}}
 # Elements that an end left out does not reach over.
@@ -320,8 +324,8 @@ def site_lines(pages: DataFrame, asked: DataFrame) -> DataFrame:
         return F.when(F.size(same) < ALIKE, F.col("path"))
 
     other = compared.select("host", "hash", unlike("one").alias("one"), unlike("two").alias("two"))
-    other = other.select("host", "hash", F.explode(F.array(F.struct(F.lit(1).alias("n"), F.col("one").alias("path")),
-                                                          F.struct(F.lit(2).alias("n"), F.col("two").alias("path")))).alias("o"))
+    sides = [F.struct(F.lit(n).alias("n"), F.col(name).alias("path")) for n, name in enumerate(("one", "two"))]
+    other = other.select("host", "hash", F.explode(F.array(*sides)).alias("o"))
     other = other.where("o.path is not null").select("host", "hash", "o.n", "o.path").distinct()
     paths = other.groupBy("host", "hash", "n").count().where(F.col("count") >= SITE_PATHS - 1)
     found = paths.groupBy("host", "hash").count().where(F.col("count") == 2)
@@ -338,10 +342,11 @@ def extract_text(
     what is certain, and text that merely bears such a name is doubtful.  A page with an article or main element gives
     what stands in these, other pages all that is left.
 
-    Then pages are differenced.  Pages of a host with equal lines count as one, with the first of their paths.  A page that has
-    lines to lose is aligned, line by line, with the page next to it: of the neighbours by path within the host, the one
+    Then pages are differenced.  Pages of a host with equal lines count as one, with the first of their paths.  A page
+    that has lines to lose is aligned, line by line, with the page next to it: of the neighbours by path within the host, the one
     that shares more path segments, the earlier one if both do.  Lines of a longest common subsequence of the two are
-    deleted if they are the site's: on pages of at least SITE_PATHS paths of the host, where near copies of one page count as one.
+    deleted if they are the site's: on pages of at least SITE_PATHS paths of the host, where near copies of one page
+    count as one.
     On a page without article and main the others are deleted, too, unless they are more than half of what is left without
     the site's lines: then the two are near copies, and what they share may be the article.  In an article only
     doubtful lines can be lost, and in a main element with an article also those outside of the article; the

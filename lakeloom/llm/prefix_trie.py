@@ -156,9 +156,9 @@ def tree_rows(entries: list[tuple], tree: int, whole: bool, named: bool) -> Iter
     """Rows of ROWS for one stretch of sorted entries (those of ENTRY).
 
     An entry brings values for the trie nodes of its key from depth ``start`` on.  All values of a node meet in this
-    tree, unless it lies on the way to the first or the last key, the rim, as its neighbours may hold more of it.  What is known
-    of the rim is carried on by two entries, except if the tree is ``whole``.  Nodes whose parent is in the rim get their
-    parent by its name, a digest of its turns.  ``named``: all nodes give their names.
+    tree, unless it lies on the way to the first or the last key, the rim, as neighbours may hold more of it.  What is
+    known of the rim is carried on by two entries, except if the tree is ``whole``.  Nodes whose parent is in the rim
+    get their parent by its name, a digest of its turns.  ``named``: all nodes give their names.
     """
     root = Node()
     for entry in entries:
@@ -374,10 +374,8 @@ def prefix_trie(
     """
     role, text = (F.coalesce(F.col(f"`{name}`"), F.lit("")) for name in (role_col, text_col))
     conv = F.col(f"`{conv_col}`").cast("long")
-    rows = conversations.where(conv.isNotNull()).select(
-        conv.alias("conv_id"),
-        F.struct(F.col(f"`{turn_col}`").alias("turn"), _digest(role, text).alias("id"), F.length(text).alias("size")).alias("t"),
-    )
+    said = F.struct(F.col(f"`{turn_col}`").alias("turn"), _digest(role, text).alias("id"), F.length(text).alias("size"))
+    rows = conversations.where(conv.isNotNull()).select(conv.alias("conv_id"), said.alias("t"))
     own = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("t"))
     own = materialize(own.select("conv_id", F.col("t.id").alias("own_ids"), F.col("t.size").alias("own_sizes")), "own")
     taken = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6

@@ -89,8 +89,9 @@ class Shelf:
     ) -> tuple[np.ndarray, np.ndarray]:
         """The k best (ids, scores) of the shelf and of those ``known``, ties to smaller ids; fewer if there are fewer.
 
-        Scores below ``least`` need not be found.  No vector of a block scores above the block's bound, the sum of its best values per component.  Blocks are
-        taken in the order of their bounds until these fall below the k-th score; a block that could tie is scored.
+        Scores below ``least`` need not be found.  No vector of a block scores above the block's bound, the sum of its
+        best values per component.  Blocks are taken in the order of their bounds until these fall below the k-th
+        score; a block that could tie is scored.
         """
         ask = query.astype(np.float64)
         bounds = np.maximum(self.high * ask, self.low * ask).sum(axis=1)
@@ -127,9 +128,8 @@ def shelf_edges(shelves: DataFrame) -> DataFrame:
                 _numbers(raw).reshape(-1, dims) if dims else np.zeros((1, 0), dtype="<i8")
                 for raw, dims in zip(batch.column("matrix").to_pylist(), columns["dims"].to_pylist())
             ]
-            yield {
-                **columns, "high": [m.max(axis=0).tobytes() for m in matrices], "low": [m.min(axis=0).tobytes() for m in matrices]
-            }
+            high, low = [m.max(axis=0).tobytes() for m in matrices], [m.min(axis=0).tobytes() for m in matrices]
+            yield {**columns, "high": high, "low": low}
 
     rows = shelves.select("dims", "part", "number", "matrix")
     edges = map_batches(rows, run, "dims long, part long, number long, high binary, low binary")
@@ -278,7 +278,8 @@ def top_k(
 
     Blocks of consecutive ids stand on shelves of bounded size, and queries go in bundles.  A first pass lets each query
     visit the FIRST shelves of its highest bounds, which gives a score that its k-th best has at least.  With this score
-    the bundles meet the edges of all shelves, and only queries whose bound on a shelf reaches it are joined to that shelf.  A task merges what it finds before it writes, so that a query has at most k rows per task.
+    the bundles meet the edges of all shelves, and only queries whose bound on a shelf reaches it are joined to that
+    shelf.  A task merges what it finds before it writes, so that a query has at most k rows per task.
     """
     return ranked(search(vectors, queries, k, scale, id_col, vector_col), k)
 
@@ -317,9 +318,8 @@ def _with_least(bundles: DataFrame, least: DataFrame | None) -> DataFrame:
 
         own = map_batches(bundles.select("bundle", "keys"), members, "bundle long, query_id long").join(least, "query_id")
         own = own.groupBy("bundle").agg(F.collect_list("query_id").alias("ids"), F.collect_list("least").alias("scores"))
-        rows = bundles.join(own, "bundle", "left").select(
-            "bundle", "dims", "keys", "asked", F.coalesce("ids", none).alias("ids"), F.coalesce("scores", none).alias("scores")
-        )
+        columns = [F.coalesce(name, none).alias(name) for name in ("ids", "scores")]
+        rows = bundles.join(own, "bundle", "left").select("bundle", "dims", "keys", "asked", *columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:

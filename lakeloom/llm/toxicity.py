@@ -237,7 +237,9 @@ def fit(
     seed: int = 7,
     least: int = LEAST,
 ) -> Model:
-    """Train on documents given as words and their numbers, in about ``steps`` batches; ``share`` of all documents to be scored have label 1.
+    """Train on documents given as words and their numbers, in about ``steps`` batches.
+
+    ``share`` of all documents to be scored have label 1.
 
     One document in ASIDE is not trained on: by these the averaged margins become probabilities.  Without both labels
     in both parts the score is constant.
@@ -277,7 +279,8 @@ def train(
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     sample = once.where("label = 1").orderBy(*order).limit(most)
     sample = sample.unionByName(once.where("label = 0").orderBy(*order).limit(2 * most))
-    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(f"`{text_col}`", F.lit("")).alias("text"))
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"))
     chosen = texts.where(F.octet_length("text") <= max_bytes).join(F.broadcast(sample), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -307,8 +310,8 @@ def toxicity_scores(
     """One row per input row: doc_id, held_out, score (0 to 1), predicted (1 from ``toxic_from`` on).
 
     A score depends on the text alone: its lower-cased words, each the mean of the trained vectors of its character
-    n-grams and of itself, averaged, into the softmax.  A word never seen in training, as a misspelt one, has the vectors of the
-    n-grams that it shares with others.  NULL counts as empty; texts without words have a score like any other.  Rows
+    n-grams and of itself, averaged, into the softmax.  A word never seen in training, as a misspelt one, has the
+    vectors of the n-grams that it shares with others.  NULL counts as empty; texts without words have a score like any other.  Rows
     that repeat an id have a row each.  Other columns are ignored; an empty table gives no rows.
     """
 
