@@ -279,7 +279,8 @@ def trie_nodes(entries: DataFrame, turns: int) -> DataFrame:
         if not n:
             break
         whole = size <= turns or n == before or n <= 2
-        parts = 1 if whole else int(size // (4 * turns)) + 1
+        # Enough keys for each part that the next round has fewer, however long they are.
+        parts = 1 if whole else max(1, min(int(size // (4 * turns)) + 1, n // TREE_KEYS))
         dealt = carried.repartitionByRange(parts, "key") if parts > 1 else carried.coalesce(1)
         dealt, level, before = dealt.sortWithinPartitions("key"), level + 1, n
     columns = [part.split()[0] for part in NODES.split(", ")]
