@@ -225,6 +225,23 @@ def link_counts(aligned: DataFrame, width: int) -> DataFrame:
     return materialize(counts.join(tops, "a").select("pair", "n", (F.col("n") == F.col("top")).alias("best")), "counts")
 
 
+def most_frequent(counts: DataFrame, most: int) -> tuple[pa.Table, bool]:
+    """The pairs of the highest counts, ``most`` or fewer, and whether these are all.
+
+    Pairs are counted by the size of their count, eight steps for each doubling, which gives the step from which on all
+    fit.  So no task sends more than it has to the driver, which gets ``most`` rows at most.
+    """
+    step = F.floor(F.log2("n") * 8)
+    sizes = {row["step"]: row["count"] for row in counts.groupBy(step.alias("step")).count().collect()}
+    least, left = None, most
+    for own in sorted(sizes, reverse=True):
+        if sizes[own] > left:
+            break
+        least, left = own, left - sizes[own]
+    top = counts.where(F.lit(False) if least is None else step >= least)
+    return top.toArrow(), least == min(sizes, default=None)
+
+
 def align_tokens(
     docs: DataFrame,
     first: str = BYTE_BPE,
@@ -253,7 +270,7 @@ def align_tokens(
     width = sentencepiece.SentencePieceProcessor(model_file=second).get_piece_size()
     aligned = aligned_rows(docs, first, second, width, id_col, text_col)
     counts = link_counts(aligned, width)
-    top = counts.orderBy(F.col("n").desc(), "pair").limit(held).toArrow()
+    top, whole = most_frequent(counts, held)
     order = np.argsort(top["pair"].to_numpy())
     known = top["pair"].to_numpy()[order]
     # A link's count, and its count as a best one.
@@ -286,7 +303,7 @@ def align_tokens(
     )
     names = "doc_id n_a n_b n_groups n_links n_together n_best count_sum groups_sha256".split()
     weighed = map_batches(aligned, weigh, schema)
-    if len(known) < held:
+    if whole:
         return weighed.select(names)
     weighed = materialize(weighed, "weighed")
     others = weighed.select("row", F.explode(F.arrays_zip("pairs", "times")).alias("p"))
