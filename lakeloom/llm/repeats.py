@@ -21,7 +21,9 @@ NO_ID = -(1 << 63)
 # No text has so many tokens.
 PLACES = 1 << 40
 # Surroundings of one anchor that a task looks into at a time.
-CROWD = 512
+CROWD = 384
+# Pieces of one middle that stay together, and those of a larger middle that a part gets.
+TOGETHER, PART = 256, 128
 # Groups of windows, by their start before the anchor, into which larger crowds are split.
 STARTS = 8
 
@@ -133,8 +135,11 @@ def surroundings(texts: DataFrame, judged: DataFrame, units: Units) -> DataFrame
     lists = own.groupBy("doc", "th").agg(F.collect_set(run).alias("runs"), F.count("*").alias("n"))
     lists = materialize(lists.withColumn("repeated", F.col("n") > F.size("runs")).drop("n"), "lists")
 
+    used = [lists]
+
     def marked(which: str, combined: bool) -> DataFrame:
         wanted = materialize(lists.where(which).drop("repeated"), "wanted")
+        used.append(wanted)
         found = maybe_in(texts, wanted, "doc", "th")
         if combined:  # one text for all rows that repeat it, before any of them is joined
             found = found.groupBy("doc", "th").agg(F.first("text").alias("text"))
@@ -167,6 +172,7 @@ def surroundings(texts: DataFrame, judged: DataFrame, units: Units) -> DataFrame
             }
 
     bodies = materialize(map_batches(whole, cut_out, BODIES), "left")
+    discard(*used)
     if crowds.isEmpty():
         return bodies
     return bodies.where("not crowded").unionByName(dispersed(bodies.where("crowded"), units))
@@ -211,9 +217,10 @@ def dispersed(bodies: DataFrame, units: Units) -> DataFrame:
                 yield dict(zip(names, map(list, zip(*rows))))
 
     schema = "hash long, middle long, back int, lo long, doc long, th long, body binary"
-    pieces = materialize(map_batches(bodies.select(*[part.split()[0] for part in BODIES.split(", ")]), split, schema), "pieces")
+    pieces = materialize(map_batches(bodies, split, schema), "pieces")
     middles = pieces.groupBy("hash", "middle").agg(F.count("*").alias("n")).where("n > 1")
-    middles = materialize(middles.select("hash", "middle", F.ceil(F.col("n") / CROWD).alias("parts")), "middles")
+    parts = F.when(F.col("n") > min(TOGETHER, CROWD), F.ceil(F.col("n") / min(PART, CROWD))).otherwise(F.lit(1).cast("long"))
+    middles = materialize(middles.select("hash", "middle", parts.alias("parts")), "middles")
     dealt = F.xxhash64("middle", F.pmod(F.xxhash64("doc", "th", "lo"), "parts"))
     found = pieces.join(middles, ["hash", "middle"]).select(
         "hash", F.when(F.col("parts") > 1, dealt).otherwise(F.col("middle")).alias("part"),
