@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -10,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.functions.cleaning import Step, constant
-from lakeloom.operators.joins import fits_broadcast
+from lakeloom.operators.joins import fits_broadcast, hot_keys, measured_bytes
 from lakeloom.session import materialize
 
 
@@ -53,6 +54,8 @@ REPEATED_SHARE = 0.05
 # Up to this many repeated keys go into the plan as values, which the Parquet
 # scan can use to skip row groups.
 LISTED_KEYS = 1000
+# Bytes in memory of the rows that one task of a distinct in parts has to hold.
+PART_BYTES = 64 << 20
 
 
 def repeated_share(df: DataFrame, key: str) -> float:
@@ -62,6 +65,19 @@ def repeated_share(df: DataFrame, key: str) -> float:
     return (row["m"] or 0) / row["n"] if row["n"] else 0.0
 
 
+def distinct_in_parts(df: DataFrame, key: str) -> DataFrame:
+    """Distinct rows; rows that agree agree in ``key``, whose parts are small enough to be held in memory.
+
+    A plain distinct combines rows before it shuffles them: a task holds all the rows of its share of the files, many
+    times their stored size, and spills.  Here rows are shuffled as they are, by their key, to a part for each
+    ``PART_BYTES``.  Only a hot key needs rows combined first: then the plain distinct runs.
+    """
+    parts = math.ceil(measured_bytes(df) / PART_BYTES)
+    if parts <= 1 or hot_keys(df, key):
+        return df.distinct()
+    return df.repartition(parts, key).distinct()
+
+
 def drop_copies(df: DataFrame, key: str | None = None) -> DataFrame:
     """Keep one of each group of rows that agree in every column.
 
@@ -70,13 +86,15 @@ def drop_copies(df: DataFrame, key: str | None = None) -> DataFrame:
     whose key occurs once cannot have a copy and pass through untouched, and
     the distinct runs over the rest.  Rows that share the key but differ
     elsewhere all stay; NULL counts as a key.  A small share of the keys is
-    counted first: where many rows share theirs, the plain distinct runs at
-    once.  The repeated keys are listed in the plan if they are few and sent to
-    all tasks if their measured size allows it; otherwise the plain distinct
+    counted first: where many rows share theirs, a distinct in parts of bounded
+    size runs at once.  The repeated keys are listed in the plan if they are few and sent to
+    all tasks if their measured size allows it; otherwise the distinct in parts
     runs.  The rows that result are the same by any of these ways.
     """
-    if key is None or repeated_share(df, key) > REPEATED_SHARE:
+    if key is None:
         return df.distinct()
+    if repeated_share(df, key) > REPEATED_SHARE:
+        return distinct_in_parts(df, key)
     repeated = materialize(df.groupBy(key).count().where(F.col("count") > 1).select(key), "repeated-keys")
     n_repeated = repeated.count()
     if n_repeated == 0:
@@ -95,5 +113,5 @@ def drop_copies(df: DataFrame, key: str | None = None) -> DataFrame:
         once = df.join(marks, key, "left_anti").where(column.isNotNull())
         doubtful = df.join(marks, key, "left").where(column.isNull() | F.col("__repeated"))
     else:
-        return df.distinct()
+        return distinct_in_parts(df, key)
     return once.select(*df.columns).unionByName(doubtful.select(*df.columns).distinct())

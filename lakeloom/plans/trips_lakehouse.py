@@ -367,9 +367,8 @@ class Build:
             users = lake.read(spark, RAW, f"raw_usuarios_{year}")
             fields = user_fields(year, native_time(spark))
             lake.write(harmonize(users, fields), SILVER, f"stg_usuarios_{year}", users_as)
-        trips = drop_copies(
-            union_vintages([self.table(f"stg_recorridos_{y}") for y in YEARS]), key="id_recorrido"
-        )
+        # Rows of two years differ in their year: copies are looked for within each.
+        trips = union_vintages([drop_copies(self.table(f"stg_recorridos_{y}"), key="id_recorrido") for y in YEARS])
         lake.write(trips, SILVER, "stg_recorridos", TRIPS, self.partition_by)
         users = union_vintages([self.table(f"stg_usuarios_{y}") for y in YEARS])
         lake.write(users, SILVER, "stg_usuarios", users_as, self.partition_by)

@@ -142,18 +142,24 @@ def _largest_file(spark: SparkSession, path: str) -> int:
     return files.agg(F.max("length")).first()[0] or 0
 
 
+def _first_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(line): the first line of each file.  Its number is found first, which needs no line's text and no sort."""
+    first_blocks = spark.read.text(path).where(F.col("_metadata.file_block_start") == 0)
+    lines = first_blocks.select(
+        F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"),
+        F.monotonically_increasing_id().alias("number"),
+    )
+    firsts = lines.groupBy("file").agg(F.min("number").alias("number")).select("number")  # one row per file
+    return lines.join(F.broadcast(firsts), "number", "left_semi").select("line")
+
+
 def file_headers(spark: SparkSession, path: str) -> list[str]:
     """The distinct first lines of the files under ``path``, two of them at most.
 
     Only the first block of a file is looked at.  Files without a line have no header.
     """
-    first_blocks = spark.read.text(path).where(F.col("_metadata.file_block_start") == 0)
-    lines = first_blocks.select(F.col("_metadata.file_path").alias("file"), "value").withColumn(
-        "line", F.monotonically_increasing_id()
-    )
-    heads = lines.groupBy("file").agg(F.min(F.struct("line", "value")).alias("head"))
-    header = F.regexp_replace("head.value", "^\ufeff|\r$", "")
-    return [row[0] for row in heads.select(header.alias("header")).distinct().limit(2).collect()]
+    header = F.regexp_replace("line", "^\ufeff|\r$", "")
+    return [row[0] for row in _first_lines(spark, path).select(header.alias("header")).distinct().limit(2).collect()]
 
 
 def write_text_csv(df: DataFrame, path: str) -> None:

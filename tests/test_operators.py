@@ -142,6 +142,19 @@ def test_drop_copies_without_any(spark, rows):
     assert rows(drop_copies(df, "id")) == rows(df)
 
 
+@pytest.mark.parametrize("hot", [False, True])
+def test_drop_copies_in_parts(spark, rows, monkeypatch, hot):
+    monkeypatch.setattr("lakeloom.operators.harmonize.PART_BYTES", 20_000)
+    data = [(i % 1500, f"v{i % 3000}", float(i % 2)) for i in range(4000)] + [(None, "x", None)] * 20
+    if hot:
+        data += [(7, "v7", 1.0)] * 4000
+    df = spark.createDataFrame(data, "id int, v string, d double").repartition(5)
+    got = drop_copies(df, "id")
+    assert rows(got) == rows(df.distinct())
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert ("RepartitionByExpression [id" in plan) != hot  # rows are not held before the shuffle, unless of a hot key
+
+
 # ---- keys -------------------------------------------------------------------
 
 

@@ -266,3 +266,14 @@ def test_large_csv_files_are_written_by_as_many_tasks(spark, tmp_path, rows, mon
     monkeypatch.setattr(sources, "FILE_BYTES", sources.stored_bytes(spark, str(tmp_path), "documents") // 3)
     assert rows(sources.csv_read_in_ranges(spark, str(tmp_path))) == want
     assert written[0] == 1 and 3 <= written[1] <= 4
+
+
+def test_first_lines_are_found_without_a_sort(spark, tmp_path, rows):
+    from lakeloom.sources import csv_text
+
+    for name, text in (("a", "\ufeffx,y\r\n1,2\r\n"), ("b", "x,y\n" + "3,4\n" * 500), ("c", ""), ("d", "\nx\n")):
+        put(tmp_path / f"{name}.csv", text)
+    lines = csv_text._first_lines(spark, str(tmp_path))
+    assert sorted(r.line.strip("\ufeff\r") for r in lines.collect()) == ["", "x,y", "x,y"]
+    assert "Sort" not in lines._jdf.queryExecution().executedPlan().toString()
+    assert sorted(csv_text.file_headers(spark, str(tmp_path))) == ["", "x,y"]
