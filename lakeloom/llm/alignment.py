@@ -38,7 +38,7 @@ class Csr:
 
     @classmethod
     def of_spans(cls, sizes: np.ndarray) -> Csr:
-        """Rows that take the columns one after another, so many each: tokens and their bytes."""
+        """Rows that take the columns one after another, so many each: tokens and their parts."""
         starts = np.concatenate([[0], np.cumsum(sizes)])
         return cls(starts, np.arange(starts[-1]), int(starts[-1]))
 
@@ -49,9 +49,10 @@ class Csr:
 
     def transposed(self) -> Csr:
         rows = np.repeat(np.arange(len(self.starts) - 1), np.diff(self.starts))
-        order = np.argsort(self.columns, kind="stable")
+        if (self.columns[1:] < self.columns[:-1]).any():
+            rows = rows[np.argsort(self.columns, kind="stable")]
         counts = np.bincount(self.columns, minlength=self.width)
-        return Csr(np.concatenate([[0], np.cumsum(counts)]), rows[order], len(self.starts) - 1)
+        return Csr(np.concatenate([[0], np.cumsum(counts)]), rows, len(self.starts) - 1)
 
     def entries_of_product(self, other: Csr) -> int:
         """The first pass of a product: its entries, met more than once or not, counted without forming them."""
@@ -114,22 +115,27 @@ class Alignment:
 
     a: np.ndarray
     b: np.ndarray
-    a_bytes: Csr  # tokens x bytes
-    b_bytes: Csr
+    a_parts: Csr  # tokens x parts: bytes that no token's end divides, all of them in the same two tokens
+    b_parts: Csr
     a_groups: Csr  # tokens x groups
     b_groups: Csr
 
     @classmethod
     def of(cls, a: np.ndarray, b: np.ndarray, a_sizes: np.ndarray, b_sizes: np.ndarray) -> Alignment:
-        a_bytes, b_bytes = Csr.of_spans(a_sizes), Csr.of_spans(b_sizes)
-        ends = np.intersect1d(a_bytes.starts[1:], b_bytes.starts[1:], assume_unique=True)
-        a_groups = Csr.of_one_each(np.searchsorted(ends, a_bytes.starts[1:]), len(ends))
-        b_groups = Csr.of_one_each(np.searchsorted(ends, b_bytes.starts[1:]), len(ends))
-        return cls(a, b, a_bytes, b_bytes, a_groups, b_groups)
+        a_ends, b_ends = np.cumsum(a_sizes), np.cumsum(b_sizes)
+        every = np.concatenate([a_ends, b_ends])
+        every.sort(kind="stable")  # two runs in order
+        again = every[1:] == every[:-1]
+        ends, cuts = every[1:][again], every[np.concatenate([[True], ~again])] if len(every) else every
+        a_parts = Csr.of_spans(np.diff(np.searchsorted(cuts, a_ends), prepend=-1))
+        b_parts = Csr.of_spans(np.diff(np.searchsorted(cuts, b_ends), prepend=-1))
+        a_groups = Csr.of_one_each(np.searchsorted(ends, a_ends), len(ends))
+        b_groups = Csr.of_one_each(np.searchsorted(ends, b_ends), len(ends))
+        return cls(a, b, a_parts, b_parts, a_groups, b_groups)
 
     def overlaps(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Links (token of a, token of b, bytes in common)."""
-        return self.a_bytes.times(self.b_bytes.transposed())
+        """Links (token of a, token of b, parts in common)."""
+        return self.a_parts.times(self.b_parts.transposed())
 
     def together(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Links (token of a, token of b, 1) of tokens in one group."""
@@ -143,17 +149,17 @@ class Alignment:
         a_group, b_group, n = self.a_groups.columns, self.b_groups.columns, self.a_groups.width
         a_upto = np.concatenate([[0], np.cumsum(np.bincount(a_group, minlength=n))])
         b_upto = np.concatenate([[0], np.cumsum(np.bincount(b_group, minlength=n))])
-        ids = np.empty(len(self.a) + len(self.b), dtype=np.int64)
+        ids = np.empty(len(self.a) + len(self.b), dtype=np.int32)
         ids[np.arange(len(self.a)) + b_upto[a_group]] = self.a
         ids[np.arange(len(self.b)) + a_upto[b_group + 1]] = self.b
         after = np.full(len(ids), ord(","), dtype=np.uint8)
         after[a_upto[1:] + b_upto[:-1] - 1] = ord("|")
         after[a_upto[1:] + b_upto[1:] - 1] = ord(";")
-        digits = np.ones(len(ids), dtype=np.int64)
+        digits = np.ones(len(ids), dtype=np.int32)
         places = len(str(ids.max(initial=0)))
         for place in range(1, places):
             digits += ids >= 10**place
-        ends = np.cumsum(digits + 1)
+        ends = np.cumsum(digits + 1, dtype=np.int64)
         text = np.empty(ends[-1] if len(ends) else 0, dtype=np.uint8)
         text[ends - 1] = after
         for place in range(places):
@@ -191,9 +197,12 @@ def aligned_rows(docs: DataFrame, first: str, second: str, width: int, id_col: s
                     for i, j, _ in both.overlaps():
                         n_links += len(i)
                         parts.append(np.unique(a[i] * width + b[j], return_counts=True))
-                    own, at = np.unique(np.concatenate([p for p, _ in parts]), return_inverse=True)
+                    own, many = parts[0]
+                    if len(parts) > 1:
+                        own, at = np.unique(np.concatenate([p for p, _ in parts]), return_inverse=True)
+                        many = np.bincount(at, np.concatenate([t for _, t in parts])).astype(np.int64)
                     pairs.append(own)
-                    times.append(np.bincount(at, np.concatenate([t for _, t in parts])).astype(np.int64))
+                    times.append(many)
                     found = len(own)
                     counts = len(a), len(b), both.a_groups.width, n_links, both.links_together()
                     digest = hashlib.sha256(both.group_text()).hexdigest()
@@ -254,7 +263,7 @@ def align_tokens(
 
     The text with a space before it is encoded by a byte-level BPE (``first``, ids A) and by a sentencepiece model
     (``second``, ids B), strings of special tokens as plain text.  Tokens whose byte ranges overlap are linked: the
-    product of the token-byte matrices, A times B transposed.  Offsets where tokens of both end cut the tokens into
+    product of the token-part matrices, A times B transposed, where the ends of all tokens cut the bytes into parts.  Offsets where tokens of both end cut the tokens into
     groups; ``n_together`` counts the links of tokens in one group, the product of the token-group matrices.  The count
     of a pair of ids is the number of documents that hold it linked; ``n_best`` counts the links whose count is the
     highest of their A id, ties included, and ``count_sum`` adds up the counts of all links.

@@ -125,6 +125,19 @@ def test_product(seed, monkeypatch):
     assert (back.columns == np.nonzero(left.T)[1]).all() and back.width == 20
 
 
+@pytest.mark.parametrize("seed", range(5))
+def test_product_takes_parts_instead_of_bytes(seed):
+    rng = np.random.default_rng(seed)
+    ends = [np.unique(np.append(rng.integers(1, 5000, 40), 5000)) for _ in "ab"]
+    a_sizes, b_sizes = (np.diff(own, prepend=0) for own in ends)
+    both = alignment.Alignment.of(np.arange(len(a_sizes)), np.arange(len(b_sizes)), a_sizes, b_sizes)
+    assert both.a_parts.width == both.b_parts.width == len(np.union1d(*ends))  # and not 5000
+    got = [(i, j) for x, y, n in both.overlaps() for i, j, k in zip(x, y, n) if k == 1]
+    by_byte = zip(*(np.repeat(np.arange(len(s)), s) for s in (a_sizes, b_sizes)))
+    assert got == sorted(set(by_byte))
+    assert both.a_groups.width == len(np.intersect1d(*ends))
+
+
 def test_long_texts_in_parts(monkeypatch):
     rng = random.Random(2)
     two = SecondTokenizer(PIECES)
